@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 
 def flexible_date(text: Column) -> Column:
-    """First of year-month-day, month/day/year, month/day/short year, then any ISO timestamp."""
+    """First of year-month-day, month/day/year, month/day/short year, then any ISO timestamp.
+
+    Short years run from 1969 to 2068.
+    """
     clean = F.trim(text)
+    short = F.when(clean.rlike("/[0-9]{2}$"), F.try_to_date(clean, "M/d/yy"))
     return F.coalesce(
         F.try_to_date(clean, "yyyy-MM-dd"),
-        F.try_to_date(clean, "M/d/yyyy"),
-        F.try_to_date(clean, "M/d/yy"),
+        F.when(clean.rlike("/[0-9]{4}$"), F.try_to_date(clean, "M/d/yyyy")),
+        F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short),
         clean.try_cast("timestamp").cast("date"),
     )
 

@@ -49,7 +49,7 @@ def master_summary(df: DataFrame) -> DataFrame:
 
 def age_gender_crosstab(df: DataFrame, genders: Sequence[str]) -> DataFrame:
     """Teams per age group (rows) and gender (columns); the genders are given, so no extra pass finds them."""
-    table = df.where(F.col("age_group").isNotNull()).groupBy("age_group").pivot("gender", list(genders)).agg(F.count("*"))
+    table = df.where(F.col("age_group").isNotNull()).groupBy("age_group").pivot("gender", list(genders)).agg(F.count(F.lit(1)))
     return table.select("age_group", *[F.coalesce(F.col(g), F.lit(0)).alias(g) for g in genders])
 
 

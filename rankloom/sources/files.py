@@ -55,19 +55,22 @@ def consolidate_builds(
 ) -> DataFrame:
     """Games of the wanted slices from the latest build, or from all builds with ``refresh``.
 
-    Adds build_id and slice_key from the file path. Repeated games appear once.
+    Slices are files ``games_<feed>_<slice>.csv`` or folders ``games_<feed>/slice_key=<slice>``.
+    Adds build_id and slice_key from the path. Repeated games appear once.
     """
     builds = list_paths(spark, f"{root}/build_*")
     if not builds:
         raise FileNotFoundError(f"no build_* folders in {root}")
-    wanted = re.compile(rf"_({'|'.join(states)})_({'|'.join(genders)})_({'|'.join(ages)})\.csv$")
-    files = [p for b in (builds if refresh else builds[-1:]) for p in list_paths(spark, f"{b}/games_*.csv") if wanted.search(p)]
+    wanted = re.compile(rf"[_=]({'|'.join(states)})_({'|'.join(genders)})_({'|'.join(ages)})(\.csv)?$")
+    layouts = ("games_*.csv", "games_*/slice_key=*")
+    files = [p for b in (builds if refresh else builds[-1:]) for layout in layouts
+             for p in list_paths(spark, f"{b}/{layout}") if wanted.search(p)]
     if not files:
         raise ValueError("no games found for the requested slices")
     path = F.col("_metadata.file_path")
     games = read_csv(spark, files, GAME_RAW).select(
-        "*", F.regexp_extract(path, r"(build_[^/]+)/[^/]+$", 1).alias("build_id"),
-        F.regexp_extract(path, r"games_[^/]*?_([A-Z]{2}_[MF]_U[0-9]+)\.csv$", 1).alias("slice_key"),
+        "*", F.regexp_extract(path, r"/(build_[^/]+)/games_", 1).alias("build_id"),
+        F.regexp_extract(path, r"/games_.*?[_=]([A-Z]{2}_[MF]_U[0-9]+)", 1).alias("slice_key"),
     )
     return dedupe_games(normalize_games(games))
 
@@ -152,7 +155,8 @@ def read_feeds(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         rows = read_csv(spark, paths, schema)
         if "provider" not in columns:
-            rows = rows.withColumn("provider", provider_of_file(F.col("_metadata.file_name")))
+            inside = F.substring_index(F.col("_metadata.file_path"), f"{_name(folder)}/", -1)
+            rows = rows.withColumn("provider", provider_of_file(inside))
         result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)
     return result
 
@@ -193,9 +197,9 @@ def master_slices(master: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- registries
 
-def read_identity_map(spark: SparkSession, path: str) -> DataFrame:
-    """JSON objects keyed by team id (one object per file) as one row per team."""
-    entries = spark.read.text(path, wholetext=True).select(
+def read_identity_map(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """JSON objects keyed by team id as one row per team: one object per file, or per line with ``lines``."""
+    entries = spark.read.text(path, wholetext=not lines).select(
         F.explode(F.from_json("value", T.MapType(T.StringType(), IDENTITY))).alias("team_id", "entry")
     )
     return entries.select("team_id", "entry.*")
@@ -206,9 +210,9 @@ def read_registry(spark: SparkSession, path: str, schema: T.StructType = METADAT
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def read_hash_store(spark: SparkSession, path: str) -> DataFrame:
-    """Stored game hashes: one row per slice and game."""
-    stored = spark.read.schema(HASH_STORE).option("multiLine", True).json(path)
+def read_hash_store(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Stored game hashes: one row per slice and game; documents are files, or lines with ``lines``."""
+    stored = spark.read.schema(HASH_STORE).option("multiLine", not lines).json(path)
     return stored.select("slice_key", "build_id", F.explode("games").alias("game_id", "game_hash"))
 
 

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rankloom.functions.strings import strip
+
 
 def flexible_date(text: Column) -> Column:
     """First of year-month-day, month/day/year, month/day/short year, then any ISO timestamp.
 
     Short years run from 1969 to 2068.
     """
-    clean = F.trim(text)
+    clean = strip(text)
     short = F.when(clean.rlike("/[0-9]{2}$"), F.try_to_date(clean, "M/d/yy"))
     return F.coalesce(
         F.try_to_date(clean, "yyyy-MM-dd"),
@@ -37,7 +39,7 @@ def result_code(goals_for: Column, goals_against: Column) -> Column:
 
 def parse_result_text(text: Column) -> Column:
     """Struct (goals_for, goals_against, home_away, result) from text like ``W 3-1 (H)``."""
-    up = F.upper(F.trim(F.coalesce(text, F.lit(""))))
+    up = F.upper(strip(F.coalesce(text, F.lit(""))))
     pattern = r"([0-9]+)\s*[-:]\s*([0-9]+)"
     side = F.when(F.contains(up, F.lit("(H)")), "H").when(F.contains(up, F.lit("(A)")), "A").otherwise("H")
     head = F.substring(up, 1, 1)

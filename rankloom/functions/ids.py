@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.functions.strings import strip
+
 
 def gender_code(raw: Column) -> Column:
     """M or F; null for anything that is neither."""
-    text = F.lower(F.trim(raw.cast("string")))
+    text = F.lower(strip(raw.cast("string")))
     return F.when(text.isin("m", "male", "1", "1.0"), "M").when(text.isin("f", "female", "0", "0.0"), "F")
 
 
@@ -24,8 +26,8 @@ def team_id(name: Column, state: Column, age: Column, gender: Column) -> Column:
 
     Null when one of the parts is missing or not valid.
     """
-    clean_name = F.lower(F.trim(name))
-    clean_state = F.upper(F.trim(state))
+    clean_name = F.lower(strip(name))
+    clean_state = F.upper(strip(state))
     number, code = age_number(age), gender_code(gender)
     valid = (
         clean_name.isNotNull() & (clean_name != "") & (F.length(clean_state) == 2)
@@ -37,11 +39,11 @@ def team_id(name: Column, state: Column, age: Column, gender: Column) -> Column:
 
 def reject_reason(name: Column, state: Column, age: Column, gender: Column) -> Column:
     """Why ``team_id`` would be null, or null when it would not."""
-    clean_state = F.coalesce(F.trim(state), F.lit(""))
+    clean_state = F.coalesce(strip(state), F.lit(""))
     return (
         F.when(age_number(age).isNull(), "age")
         .when(gender_code(gender).isNull(), "gender")
-        .when(F.coalesce(F.trim(name), F.lit("")) == "", "name")
+        .when(F.coalesce(strip(name), F.lit("")) == "", "name")
         .when(clean_state == "", "state_empty")
         .when(F.length(clean_state) != 2, "state_length")
     )
@@ -49,7 +51,7 @@ def reject_reason(name: Column, state: Column, age: Column, gender: Column) -> C
 
 def canonical_id(raw: Column) -> Column:
     """Trimmed id text without the ``.0`` a float column leaves behind; blank is null."""
-    text = F.regexp_replace(F.trim(raw.cast("string")), "\\.0$", "")
+    text = F.regexp_replace(strip(raw.cast("string")), "\\.0$", "")
     return F.when(text != "", text)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankloom.functions.strings import strip
 from rankloom.schemas import NAME_STOPWORDS, US_STATES
 
 # Month names as they appear on game pages.
@@ -23,7 +24,7 @@ MISSING_GROUPS = {
 def name_tokens(name: Column) -> Column:
     """Words of a team name: lower case, letters and digits only, filler words out."""
     plain = F.regexp_replace(F.lower(name), "[^a-z0-9\\s]", "")
-    words = F.split(F.trim(F.regexp_replace(plain, "\\s+", " ")), " ")
+    words = F.split(strip(F.regexp_replace(plain, "\\s+", " ")), " ")
     return F.filter(words, lambda w: (w != "") & ~w.isin(*NAME_STOPWORDS))
 
 
@@ -58,7 +59,7 @@ def likely_same(a: Column, b: Column, threshold: float = 0.7) -> Column:
 
 def sorted_tokens(name: Column) -> Column:
     """Words of the name in order, joined by one blank (case is kept)."""
-    words = F.split(F.trim(F.regexp_replace(name, "\\s+", " ")), " ")
+    words = F.split(strip(F.regexp_replace(name, "\\s+", " ")), " ")
     return F.array_join(F.array_sort(words), " ")
 
 
@@ -96,7 +97,7 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
 
 def containment_score(a: Column, b: Column) -> Column:
     """Plain fallback: 1 when equal, 0.8 when one contains the other, else 0."""
-    x, y = F.lower(F.trim(a)), F.lower(F.trim(b))
+    x, y = F.lower(strip(a)), F.lower(strip(b))
     return F.when(x == y, 1.0).when(F.contains(x, y) | F.contains(y, x), 0.8).otherwise(0.0)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from rankloom.functions import ids
 from rankloom.functions.games import iso_date, result_code
+from rankloom.functions.strings import strip
 from rankloom.schemas import (GAME_COLUMNS, GAME_RENAMES, NON_US, REGION_TO_STATE, REQUIRED_GAME, US_STATES)
 
 ACTIVITY_FIELDS = ("last_seen_active_date", "last_active_date", "last_game_date")
@@ -144,7 +145,7 @@ def clean_feed_rows(df: DataFrame) -> DataFrame:
     """Feed rows with a name; unknown states blanked, missing fields defaulted."""
     state = F.when(F.col("state").isin(*US_STATES), F.col("state")).otherwise("")
     return df.where(F.coalesce(F.col("team_name"), F.lit("")) != "").select(
-        F.trim("team_name").alias("team_name"),
+        strip("team_name").alias("team_name"),
         F.coalesce("age_group", F.lit("Unknown")).alias("age_group"),
         F.coalesce("gender", F.lit("Unknown")).alias("gender"),
         F.coalesce("source", F.lit("Unknown")).alias("source"),
@@ -191,7 +192,7 @@ def clean_game_records(df: DataFrame) -> DataFrame:
     out = {c: field(c) for c in GAME_COLUMNS}
     out["game_date"] = F.when(out["game_date"].rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), out["game_date"])
     for c in ("team_name", "opponent_name", "venue"):
-        out[c] = F.trim(out[c])
+        out[c] = strip(out[c])
     for c in ("goals_for", "goals_against"):
         out[c] = out[c].try_cast("int")
     return df.select(*[out[c].alias(c) for c in GAME_COLUMNS])

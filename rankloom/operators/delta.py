@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions import text
+from rankloom.functions.strings import strip
 from rankloom.operators.clean import require_columns
 from rankloom.operators.windows import best_row
 from rankloom.schemas import COMPLETENESS_WEIGHTS, PROVIDER_PREFERENCE
@@ -23,7 +24,7 @@ FEED_KEY = ("team_name", "age_group", "gender", "state", "source", "rank", "poin
 def _absent(left: DataFrame, right: DataFrame, keys: Sequence[str], loose: bool = False) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``; nulls equal nulls."""
     def key(c: str) -> Column:
-        return F.lower(F.trim(F.col(c))) if loose else F.col(c)
+        return F.lower(strip(F.col(c))) if loose else F.col(c)
 
     probe = right.select(*[key(c).alias(f"_{c}") for c in keys]).distinct()
     same = reduce(and_, [key(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
@@ -136,7 +137,7 @@ def completeness(columns: Sequence[str], weights: Mapping[str, float] = COMPLETE
     """Weighted share of the known fields that hold something."""
     present = [(c, w) for c, w in weights.items() if c in columns]
     filled = sum(
-        (F.when(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) != "", w).otherwise(0.0) for c, w in present),
+        (F.when(F.coalesce(strip(F.col(c).cast("string")), F.lit("")) != "", w).otherwise(0.0) for c, w in present),
         start=F.lit(0.0),
     )
     total = sum(w for _, w in present)

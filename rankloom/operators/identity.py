@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions import ids, text
+from rankloom.functions.strings import strip
 from rankloom.operators.windows import best_row
 
 
 def club_lookup(games: DataFrame, provider: str) -> DataFrame:
     """Distinct club and state: first and last seen, first non-empty city."""
-    named = games.withColumn("club_name", F.trim("club_name")).where(F.coalesce("club_name", F.lit("")) != "")
+    named = games.withColumn("club_name", strip("club_name")).where(F.coalesce("club_name", F.lit("")) != "")
     city = F.when(F.col("city") != "", F.struct("scraped_at", "city"))
     return named.groupBy("club_name", "state").agg(
         F.min("scraped_at").alias("first_seen_at"), F.max("scraped_at").alias("last_seen_at"),
@@ -34,7 +35,7 @@ def observe_identities(rows: DataFrame) -> DataFrame:
         F.col("team_name"), F.col("state"), F.col("age_group"), F.col("gender")))
     valid = rows.withColumn("team_id", tid).where(F.col("team_id").rlike("^[a-f0-9]{12}$"))
     name = F.when(F.coalesce("team_name", F.lit("")) != "", F.col("team_name"))
-    club = F.when(F.trim("club_name") != "", F.trim("club_name"))
+    club = F.when(strip("club_name") != "", strip("club_name"))
     # Per team and feed first: map entries come from one row per feed.
     per_feed = valid.groupBy("team_id", "provider").agg(
         F.max(F.struct("seen_at", F.col("provider_team_id").cast("string").alias("pid")))["pid"].alias("pid"),

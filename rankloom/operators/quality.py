@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.functions.strings import strip
 from rankloom.operators.clean import last_activity_date
 from rankloom.schemas import (AGE_GROUP_FORMAT, DATE_FORMAT, STATE_FORMAT, TEAM_ID_FORMAT, TIMESTAMP_FORMAT,
                               US_STATES)
@@ -334,7 +335,7 @@ def game_statistics(games: DataFrame) -> DataFrame:
 
 def slice_summary(games: DataFrame, provider: str, build_id: str) -> DataFrame:
     """Per slice of one build: teams, games, clubs."""
-    club = F.when(F.trim("club_name") != "", F.trim("club_name"))
+    club = F.when(strip("club_name") != "", strip("club_name"))
     return games.groupBy("state", "gender", "age_group").agg(
         F.countDistinct("team_id_master").alias("teams_processed"), F.count("*").alias("games_written"),
         F.countDistinct(club).alias("clubs_found"),

@@ -112,21 +112,12 @@ TEAM_WORDS = ("SC", "FC", "United", "Academy", "Club", "Soccer", "Futbol")
 MASKS = {"url": "[URL_REDACTED]", "team": "[TEAM_NAME_REDACTED]", "id": "[ID_REDACTED]", "time": "[TIMESTAMP_REDACTED]"}
 
 
-def _mask_team_names(text: Column) -> Column:
-    """Mask letters and blanks up to the last team word of each unbroken stretch of them.
-
-    The stretches are cut out first. Searching the whole text for the pattern
-    would retry from every letter and take quadratic time on long documents.
-    """
-    stretches = F.regexp_extract_all(text, F.lit(r"[A-Za-z\s]++|[^A-Za-z\s]++"), F.lit(0))
-    pattern = rf"^[A-Za-z\s]+(?:{'|'.join(TEAM_WORDS)})"
-    return F.array_join(F.transform(stretches, lambda s: F.regexp_replace(s, pattern, MASKS["team"])), "")
-
-
 def redact(text: Column, max_length: int | None = 500) -> Column:
     """Mask links, team-like names, long numbers and timestamps; cut to ``max_length`` if given."""
     text = F.regexp_replace(text, r"https?://[^\s]+", MASKS["url"])
-    text = _mask_team_names(text)
+    # Letters and blanks up to the last team word of a stretch of them. The look-behind lets a match begin at the
+    # start of a stretch only; without it the search retries from every letter, quadratic in long documents.
+    text = F.regexp_replace(text, rf"(?<![A-Za-z\s])[A-Za-z\s]+(?:{'|'.join(TEAM_WORDS)})", MASKS["team"])
     text = F.regexp_replace(text, r"\b[0-9]{6,}\b", MASKS["id"])
     text = F.regexp_replace(text, r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?Z?", MASKS["time"])
     if max_length is None:

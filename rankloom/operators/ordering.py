@@ -79,11 +79,12 @@ def exact_quantiles(
     """Linear-interpolated quantiles: one row per group, ``<col>_q`` array per value column.
 
     ``percentile`` keeps every distinct value of a group in one buffer, so it is
-    used up to ``small_rows`` rows only; beyond that the two neighbours of each
-    quantile are picked by position.
+    used only while the largest group has at most ``small_rows`` rows; beyond
+    that the two neighbours of each quantile are picked by position.
     """
     groups = list(group_cols)
-    if row_count(df) <= small_rows:
+    largest = df.groupBy(*groups).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= small_rows:
         wanted = F.array(*[F.lit(float(p)) for p in probs])
         return df.groupBy(*groups).agg(*[F.percentile(c, wanted).alias(f"{c}_q") for c in value_cols])
     result = None

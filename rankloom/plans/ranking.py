@@ -13,6 +13,7 @@ most ``max_games`` rows per team and scenario), and three team-level tables.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -61,16 +62,33 @@ class RunSpec:
         return F.lit(self.as_of).cast("date")
 
     def param(self, name: str) -> Column:
-        """The parameter as a literal, or chosen by the row's scenario where scenarios differ."""
-        values = {s: as_dict(c)[name] for s, c in self.configs.items()}
-        kinds = {float(v) if not isinstance(v, bool) else v for v in values.values()}
-        if len(kinds) == 1:
-            return F.lit(next(iter(values.values())))
-        case = None
-        for scenario, value in values.items():
-            test = F.col("scenario") == scenario
-            case = F.when(test, F.lit(value)) if case is None else case.when(test, F.lit(value))
-        return case
+        """The parameter: a literal for one scenario, else a field of the row's ``_cfg`` (see ``with_params``)."""
+        if len(self.configs) == 1:
+            return F.lit(as_dict(next(iter(self.configs.values())))[name])
+        return F.col(f"_cfg.{name}")
+
+    def _scenario_structs(self) -> Column:
+        """All configurations as one constant: parsing a text is far cheaper to build than a literal per value."""
+        kinds = {bool: "boolean", int: "int", float: "double", str: "string"}
+        fields = ", ".join(f"{k}: {kinds[type(v)]}" for k, v in as_dict(BASELINE).items())
+        rows = [
+            {"scenario": name, "_cfg": {k: type(v)(as_dict(c)[k]) for k, v in as_dict(BASELINE).items()}}
+            for name, c in self.configs.items()
+        ]
+        return F.from_json(F.lit(json.dumps(rows)), f"array<struct<scenario: string, _cfg: struct<{fields}>>>")
+
+    def per_scenario(self, df: DataFrame) -> DataFrame:
+        """Each row once per scenario, with its ``scenario`` and, where they differ, its parameters."""
+        if len(self.configs) == 1:
+            return df.withColumn("scenario", F.lit(next(iter(self.configs))))
+        return df.select("*", F.explode(self._scenario_structs()).alias("_s")).select("*", "_s.scenario", "_s._cfg").drop("_s")
+
+    def with_params(self, df: DataFrame) -> DataFrame:
+        """Adds ``_cfg`` to rows that carry a scenario. The joined table has one row per configuration."""
+        if len(self.configs) == 1:
+            return df
+        table = df.sparkSession.range(1).select(F.explode(self._scenario_structs()).alias("_s")).select("_s.*")
+        return df.join(F.broadcast(table), "scenario")
 
 
 def run_spec(
@@ -98,8 +116,7 @@ def select_games(games: DataFrame, spec: RunSpec) -> DataFrame:
     needed = list(dict.fromkeys([TEAM, OPPONENT, "date", "gf", "ga", *ATTRIBUTES, *spec.pool_cols]))
     base = within_window(games.select(*needed).where(F.col(TEAM).isNotNull()), spec.as_of_date, widest)
     base = recent_games(base, [*spec.pool_cols, TEAM], most)
-    base = base.withColumn("scenario", F.explode(F.array(*[F.lit(s) for s in spec.configs])))
-    base = base.where(
+    base = spec.per_scenario(base).where(
         (F.col("game_index") < spec.param("max_games"))
         & (F.datediff(spec.as_of_date, F.col("date")) <= spec.param("window_days"))
     )
@@ -123,7 +140,7 @@ def select_games(games: DataFrame, spec: RunSpec) -> DataFrame:
         base.withColumn("gf", F.col("gf_kept")).withColumn("ga", F.col("ga_kept")).drop("gf_kept", "ga_kept")
         .withColumn("_w", taper)
         .withColumn("weight", F.when(total > 0, F.col("_w") / total).otherwise(0.0))
-        .drop("_w")
+        .drop("_w", "_cfg")
         .withColumn("days_since", F.datediff(spec.as_of_date, F.col("date")))
     )
 
@@ -136,16 +153,12 @@ def _defence() -> Column:
 
 def team_raw(selected: DataFrame, spec: RunSpec) -> DataFrame:
     """Weighted goals scored, weighted defence with its ridge, and games used per team."""
-    return (
-        selected.groupBy(*spec.team_keys)
-        .agg(
-            F.sum(F.col("weight") * F.col("gf")).alias("off_raw"),
-            F.sum(F.col("weight") * _defence()).alias("_def"),
-            F.count("*").alias("gp_used"),
-        )
-        .withColumn("def_raw", F.col("_def") + spec.param("ridge_ga"))
-        .drop("_def")
+    sums = selected.groupBy(*spec.team_keys).agg(
+        F.sum(F.col("weight") * F.col("gf")).alias("off_raw"),
+        F.sum(F.col("weight") * _defence()).alias("_def"),
+        F.count("*").alias("gp_used"),
     )
+    return spec.with_params(sums).withColumn("def_raw", F.col("_def") + spec.param("ridge_ga")).drop("_def", "_cfg")
 
 
 def league_stats(raw: DataFrame, spec: RunSpec) -> DataFrame:
@@ -188,7 +201,7 @@ def game_contributions(selected: DataFrame, strengths: DataFrame, spec: RunSpec)
     own = strengths.select(*spec.team_keys, "off_scaled", "gp_used")
     rows = selected.select(*spec.team_keys, OPPONENT, "game_index", "gf", "ga", "goal_diff", "weight")
     # Opponent first, own team last: the rows then already sit by team for the sum that follows.
-    rows = rows.join(opponent, [*spec.keys, OPPONENT], "left").join(own, spec.team_keys)
+    rows = spec.with_params(rows.join(opponent, [*spec.keys, OPPONENT], "left").join(own, spec.team_keys))
     known = F.col("opp_def_scaled").isNotNull()
     off, dfn = F.col("weight") * F.col("gf"), F.col("weight") * _defence()
     expected = F.col("off_scaled") - F.col("opp_def_scaled")
@@ -221,12 +234,12 @@ def team_layers(contributions: DataFrame, spec: RunSpec) -> DataFrame:
 def shrink(raw: DataFrame, layers: DataFrame, league: DataFrame, spec: RunSpec) -> DataFrame:
     """Performance layer pulled towards the league's raw mean."""
     tau = spec.param("shrink_tau")
+    rows = raw.join(layers, spec.team_keys).join(league.select(*spec.keys, "mean_off", "mean_def"), spec.keys)
     return (
-        raw.join(layers, spec.team_keys)
-        .join(league.select(*spec.keys, "mean_off", "mean_def"), spec.keys)
+        spec.with_params(rows)
         .withColumn("sao_shrunk", stats.shrunk(F.col("sao_perf"), F.col("gp_used"), F.col("mean_off"), tau))
         .withColumn("sad_shrunk", stats.shrunk(F.col("sad_perf"), F.col("gp_used"), F.col("mean_def"), tau))
-        .drop("mean_off", "mean_def")
+        .drop("mean_off", "mean_def", "_cfg")
     )
 
 
@@ -257,21 +270,23 @@ def schedule_strength(
     base = spec.param("unranked_base")
     pairs = selected.select(*spec.team_keys, canonical_id(F.col(OPPONENT)).alias("known_id")).where(
         F.col("known_id").isNotNull()
-    ).distinct()
+    )
     if aliases is not None:
         targets = aliases.select(F.col("alias_id").alias("known_id"), F.col("canonical_id").alias("_target"))
         pairs = pairs.join(targets, "known_id", "left").select(
             *spec.team_keys, F.coalesce("_target", "known_id").alias("known_id")
-        ).distinct()
+        )
+    # One distinct after resolving; the mean below then counts each opponent once.
+    pairs = pairs.distinct()
     pairs = pairs.where(F.col("known_id") != canonical_id(F.col(TEAM)))
     met = (
-        pairs.join(lookup, [*spec.keys, "known_id"], "left")
+        spec.with_params(pairs.join(lookup, [*spec.keys, "known_id"], "left"))
         .groupBy(*spec.team_keys)
         .agg(F.avg(F.coalesce(F.col("strength"), base)).alias("sos_component"))
     )
-    return shrunk.join(met, spec.team_keys, "left").withColumn(
+    return spec.with_params(shrunk.join(met, spec.team_keys, "left")).withColumn(
         "sos_component", F.coalesce(F.col("sos_component"), base)
-    )
+    ).drop("_cfg")
 
 
 # ---------------------------------------------------------------- scaling and score
@@ -323,7 +338,7 @@ def score(scaled: DataFrame, spec: RunSpec) -> DataFrame:
     sos = F.when(spec.param("apply_sos_stretch"), F.pow(sos, spec.param("sos_stretch"))).otherwise(sos)
     floor = F.when(~spec.param("stepwise_floor"), 1.0).when(gp < 8, 0.85).when(gp < 15, 0.95).otherwise(1.0)
     return (
-        scaled.withColumn("sos_norm", sos)
+        spec.with_params(scaled).withColumn("sos_norm", sos)
         .withColumn(
             "powerscore",
             spec.param("off_weight") * F.col("sao_norm") + spec.param("def_weight") * F.col("sad_norm")
@@ -331,16 +346,17 @@ def score(scaled: DataFrame, spec: RunSpec) -> DataFrame:
         )
         .withColumn("gp_mult", F.pow(F.least(gp, F.lit(20)) / 20.0, spec.param("provisional_alpha")))
         .withColumn("powerscore_adj", F.col("powerscore") * F.col("gp_mult") * floor)
+        .drop("_cfg")
     )
 
 
 def with_status(teams: DataFrame, spec: RunSpec) -> DataFrame:
-    return teams.withColumn(
+    return spec.with_params(teams).withColumn(
         "is_active", F.datediff(spec.as_of_date, F.col("last_game_date")) <= spec.param("inactive_days")
     ).withColumn(
         "status",
         F.when((F.col("gp_used") >= spec.param("min_games")) & F.col("is_active"), "Active").otherwise("Provisional"),
-    )
+    ).drop("_cfg")
 
 
 def rank_order() -> list[Column]:

@@ -263,7 +263,7 @@ BUILDS = {
     "build_rows": """
 SELECT strftime(o_orderdate, '%Y%m') || '01_0900' AS ts, date_trunc('month', o_orderdate)::DATE AS day, count(DISTINCT o_custkey) AS teams_total, count(DISTINCT o_custkey % 51) AS states_total,
        count(*) FILTER (o_orderstatus = 'O') AS added, count(*) FILTER (o_orderstatus = 'F') AS removed, count(*) FILTER (o_orderstatus = 'P' AND o_orderpriority LIKE '1%') AS renamed,
-       round(avg(o_totalprice) / 5000, 4) AS data_quality, sum(o_orderkey % 7)::BIGINT AS duration_seconds,
+       round(avg(o_totalprice) / 5000, 1) AS data_quality, sum(o_orderkey % 7)::BIGINT AS duration_seconds,
        CASE WHEN month(any_value(o_orderdate)) % 3 = 0 THEN 'full' ELSE 'incremental' END AS build_type FROM orders GROUP BY 1, 2""",
 }
 
@@ -278,7 +278,7 @@ def _builds(spark, sf):
         F.countDistinct("o_custkey").alias("teams_total"), F.countDistinct(F.col("o_custkey") % 51).alias("states_total"),
         n(F.col("o_orderstatus") == "O").alias("added"), n(F.col("o_orderstatus") == "F").alias("removed"),
         n((F.col("o_orderstatus") == "P") & F.startswith("o_orderpriority", F.lit("1"))).alias("renamed"),
-        F.round(F.avg("o_totalprice") / 5000, 4).alias("data_quality"), F.sum(F.col("o_orderkey") % 7).alias("duration_seconds"),
+        F.round(F.avg("o_totalprice") / 5000, 1).alias("data_quality"), F.sum(F.col("o_orderkey") % 7).alias("duration_seconds"),
     ).select(
         F.concat("ym", F.lit("01_0900")).alias("timestamp"), "*", F.col("states_total").alias("states_covered"),
         F.when(F.substring("ym", 5, 2).cast("int") % 3 == 0, "full").otherwise("incremental").alias("build_type")).drop("ym")

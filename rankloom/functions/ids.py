@@ -55,6 +55,11 @@ def canonical_id(raw: Column) -> Column:
     return F.when(text != "", text)
 
 
+def spread_null(key: Column, *by: str) -> Column:
+    """Join key whose missing values differ from row to row: they match nothing and do not pile up in one task."""
+    return F.coalesce(key, F.concat(F.lit("\x00"), F.xxhash64(*by).cast("string")))
+
+
 def resolve_alias(df: DataFrame, col: str, aliases: DataFrame | None) -> DataFrame:
     """Replace ``col`` by its canonical id, through ``aliases`` (alias_id, canonical_id) if given."""
     df = df.withColumn(col, canonical_id(F.col(col)))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.functions.ids import spread_null
+
 ID_COLUMNS = ("team_id_master", "opponent_id_master", "team_id_source", "opponent_id")
 ENRICH = ("team_name", "club_name", "state", "gender", "age_group")
 
@@ -38,8 +40,9 @@ def link_fallback(linked: DataFrame, master: DataFrame) -> DataFrame:
     right = master.where(F.col("provider_team_id").isNotNull()).select(
         F.col("provider_team_id").cast("string").alias("_pid"), *[F.col(c).alias(f"_{c}") for c in attributes]
     )
-    # Only the unlinked rows look for a second match.
-    key = F.when(~F.col("linked_primary"), F.col("team_id_source"))
+    # Only the unlinked rows look for a second match; the others spread over the tasks.
+    row = [c for c in ("team_id_source", "team_id_master", "opponent_id", "game_date") if c in linked.columns]
+    key = spread_null(F.when(~F.col("linked_primary"), F.col("team_id_source")), *row)
     joined = linked.withColumn("_key", key).join(right, F.col("_key") == F.col("_pid"), "left")
     filled = {f"{c}_master": F.coalesce(f"{c}_master", f"_{c}") for c in attributes}
     return joined.withColumns({
@@ -78,7 +81,8 @@ def unlinked(linked: DataFrame) -> DataFrame:
 def strength_by_opponent(games: DataFrame, teams: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Adds ``opp_<col>`` of the opponent to each game, null where the opponent is unknown."""
     side = teams.select(F.col("team_id_master").alias("_oid"), *[F.col(c).alias(f"opp_{c}") for c in cols])
-    return games.join(side, F.col("opponent_id_master") == F.col("_oid"), "left").drop("_oid")
+    keyed = games.withColumn("_key", spread_null(F.col("opponent_id_master"), *games.columns))
+    return keyed.join(side, F.col("_key") == F.col("_oid"), "left").drop("_oid", "_key")
 
 
 def remaining_teams(teams: DataFrame, progress: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from rankloom.config import BASELINE, RatingConfig, as_dict
 from rankloom.functions import stats
-from rankloom.functions.ids import canonical_id
+from rankloom.functions.ids import canonical_id, spread_null
 from rankloom.operators import graph
 from rankloom.operators.ordering import exact_quantiles, ranked
 from rankloom.operators.windows import recent_games
@@ -195,13 +195,16 @@ def strength_lookup(raw: DataFrame, league: DataFrame, spec: RunSpec) -> DataFra
 def game_contributions(selected: DataFrame, strengths: DataFrame, spec: RunSpec) -> DataFrame:
     """Per game: opponent, adaptive and performance contributions, raw where the opponent is unknown."""
     opponent = strengths.select(
-        *spec.keys, F.col(TEAM).alias(OPPONENT), F.col("off_ratio").alias("opp_off_ratio"),
+        *spec.keys, F.col(TEAM).alias("_opp_key"), F.col("off_ratio").alias("opp_off_ratio"),
         F.col("def_ratio").alias("opp_def_ratio"), F.col("def_scaled").alias("opp_def_scaled"),
     )
     own = strengths.select(*spec.team_keys, "off_scaled", "gp_used")
-    rows = selected.select(*spec.team_keys, OPPONENT, "game_index", "gf", "ga", "goal_diff", "weight")
+    rows = selected.select(
+        *spec.team_keys, OPPONENT, "game_index", "gf", "ga", "goal_diff", "weight",
+        spread_null(F.col(OPPONENT), TEAM, "game_index").alias("_opp_key"),
+    )
     # Opponent first, own team last: the rows then already sit by team for the sum that follows.
-    rows = spec.with_params(rows.join(opponent, [*spec.keys, OPPONENT], "left").join(own, spec.team_keys))
+    rows = spec.with_params(rows.join(opponent, [*spec.keys, "_opp_key"], "left").join(own, spec.team_keys))
     known = F.col("opp_def_scaled").isNotNull()
     off, dfn = F.col("weight") * F.col("gf"), F.col("weight") * _defence()
     expected = F.col("off_scaled") - F.col("opp_def_scaled")

@@ -8,8 +8,8 @@ from __future__ import annotations
 import re
 
 from rankloom.adapters import FEED_GENDERS, FEED_PROVIDERS, FEED_STATES, STATES_BY_NATION
-from rankloom.config import SCENARIO_OVERRIDES, as_dict, scenarios
-from rankloom.schemas import NAME_STOPWORDS, NON_US, REGION_TO_STATE, US_STATES
+from rankloom.config import as_dict, scenarios
+from rankloom.schemas import NAME_STOPWORDS, NON_US, REGION_TO_STATE
 
 
 def lst(values) -> str:
@@ -243,6 +243,3 @@ def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
     parts = [f"{name} AS ({known[name].strip()})" for name in known if name in needed]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body.strip()
 
-
-__all__ = ["CTES", "with_ctes", "lst", "inlist", "tokens", "team_id", "REGION_CASE", "GENDER_CASE", "AGE_CASE",
-           "US_STATES", "SCENARIO_OVERRIDES"]

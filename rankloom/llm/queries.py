@@ -4,7 +4,7 @@ from importlib import import_module
 
 from rankloom.llm import common
 
-MODULES = ("vector_search",)
+MODULES = ("vector_search", "decontamination", "sharding")
 
 
 def load():

@@ -4,7 +4,9 @@ from importlib import import_module
 
 from rankloom.llm import common
 
-MODULES = ("vector_search", "decontamination", "sharding")
+MODULES = (
+    "vector_search", "decontamination", "sharding", "toxicity", "language", "packing", "pages",
+)
 
 
 def load():

@@ -1,13 +1,14 @@
 """Toxic spans by a linear-chain conditional random field (operator 6).
 
 A token is a run of letters or digits, a sequence the tokens up to a sentence end or line break, of any length. Features of
-a token are its word and its first 3 to 6 bytes, hashed to ``BUCKETS`` weights. Labels mark whole documents, so token
+a token are its word and its first 3 to 8 bytes if it is longer, hashed to ``BUCKETS`` weights. Labels mark whole documents, so token
 labels come first: on the fitting rows, features are picked greedily that are nearly pure to toxic documents and
-explain those no earlier pick explains; tokens of toxic documents that have a picked feature are toxic. The field is then
+explain those no earlier pick explains, then all that are purer still and not rare; tokens of toxic documents that have a picked feature are toxic. The field is then
 fitted to these sequences by gradient steps on its likelihood, whose expectations come from forward-backward.
 
 With two states both passes need only the log ratio of the states, so all sequences of a block advance together. A
-document's score is a logistic function, fitted on the same rows, of its highest token marginal; its spans are the maximal
+document's score is a logistic function, fitted on the same rows, of its highest token marginal and of the marginals'
+sum; its spans are the maximal
 runs of tokens with a marginal of one half or more.
 
 Fitting takes at most about ``FIT_ROWS`` labelled rows of each class, chosen by a hash of the id, and runs on the driver;
@@ -28,11 +29,11 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 from rankloom.llm.common import fold, query, table
 from rankloom.llm.words import Block, Hasher, map_texts, mixed, word_bytes
 
-FIT_ROWS = 4000
+FIT_ROWS = 3000
 BUCKETS = 1 << 20
-PREFIXES = (3, 4, 5, 6)
-EPOCHS = 6
-PURE = 0.85
+PREFIXES = (3, 4, 5, 6, 7, 8)
+EPOCHS = 5
+PURE, SURE = 0.6, 0.9
 THRESHOLD = 0.3
 SCORED = StructType([StructField("score", DoubleType()), StructField("spans", ArrayType(LongType()))])
 #: Bytes that end a sequence: . ! ? line feed, and the zero byte between texts.
@@ -40,12 +41,12 @@ ENDS = np.isin(np.arange(256), [0, 10, 33, 46, 63])
 
 
 def features(block: Block) -> np.ndarray:
-    """Bucket of each feature of each token, one column per kind; a prefix the word doesn't have is bucket 0."""
+    """Bucket of each feature of each token, one column per kind; a prefix that isn't shorter than the word is bucket 0."""
     columns = [block.hashes()]
     for size in PREFIXES:
         end = np.minimum(block.begin + size, block.end)
         prefix = block.hasher.of(block.sums, block.begin, end)
-        columns.append(np.where(block.end - block.begin >= size, mixed(prefix + np.uint64(size)), np.uint64(0)))
+        columns.append(np.where(block.end - block.begin > size, mixed(prefix + np.uint64(size)), np.uint64(0)))
     return (np.stack(columns, axis=1) % np.uint64(BUCKETS)).astype(np.int64)
 
 
@@ -83,29 +84,31 @@ def logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
-def token_labels(kinds: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Tokens of toxic documents that have one of the greedily picked features."""
+def token_labels(kinds: np.ndarray, doc: np.ndarray, toxic: np.ndarray, clean_weight: float) -> np.ndarray:
+    """Tokens of toxic documents that have one of the picked features."""
     pairs = np.unique(np.concatenate([doc.astype(np.int64) * BUCKETS + c for c in kinds.T]))
     docs, buckets = pairs // BUCKETS, pairs % BUCKETS
     of_toxic = toxic[docs] == 1
-    clean = np.bincount(buckets[~of_toxic], minlength=BUCKETS)
+    clean = clean_weight * np.bincount(buckets[~of_toxic], minlength=BUCKETS)
     docs, buckets = docs[of_toxic], buckets[of_toxic]
     every = np.bincount(buckets, minlength=BUCKETS)
     pure = (every + 0.5) / (every + clean + 1.0)
     pure[0] = 0.0
-    keep = (pure[buckets] >= PURE) & (every[buckets] >= min(3, max(1, int(toxic.sum()) // 20)))
+    few = min(3, max(1, int(toxic.sum()) // 20))
+    keep = (pure[buckets] >= PURE) & (every[buckets] >= few)
     docs, buckets = docs[keep], buckets[keep]
-    picked = np.zeros(BUCKETS, bool)
+    picked = (pure >= SURE) & (every >= max(few, 0.02 * toxic.sum()))
+    sure, picked = picked, np.zeros(BUCKETS, bool)
     while len(docs):
-        gain = np.bincount(buckets, minlength=BUCKETS) * np.log(pure / max(toxic.mean(), 1e-6) + 1e-12)
+        gain = np.bincount(buckets, minlength=BUCKETS) - 2 * clean  # what it explains, less twice what it would accuse
         best = int(gain.argmax())
-        if gain[best] <= 0 or (picked.any() and gain[best] < 5.0):
+        if gain[best] < few:
             break
         picked[best] = True
         open_docs = np.ones(len(toxic), bool)
         open_docs[docs[buckets == best]] = False
         docs, buckets = docs[open_docs[docs]], buckets[open_docs[docs]]
-    return picked[kinds].any(axis=1) & (toxic[doc] == 1)
+    return (picked | sure)[kinds].any(axis=1) & (toxic[doc] == 1)
 
 
 class Field:
@@ -113,7 +116,7 @@ class Field:
 
     def __init__(self) -> None:
         self.weights, self.bias, self.t = np.zeros(BUCKETS, np.float32), 0.0, np.zeros((2, 2))
-        self.slope, self.shift = 1.0, 0.0
+        self.final = np.zeros(3)
 
     def unary(self, kinds: np.ndarray) -> np.ndarray:
         return self.bias + self.weights[kinds].sum(axis=1, dtype=np.float64)
@@ -151,27 +154,30 @@ class Field:
         return left + right
 
 
-def highest(odds: np.ndarray, block: Block) -> np.ndarray:
-    """The highest log odds of each text; -20 without tokens."""
-    out = np.full(len(block.count), -20.0)
+def summary(odds: np.ndarray, block: Block) -> np.ndarray:
+    """Of each text the highest log odds, the log of the expected number of toxic tokens, and 1; -20 and -7 without tokens."""
+    out = np.tile([-20.0, -7.0, 1.0], (len(block.count), 1))
     some = np.flatnonzero(block.count)
     if len(some):
-        out[some] = np.clip(np.maximum.reduceat(odds, block.first[some]), -20.0, 20.0)
+        p = logistic(odds)
+        out[some, 0] = np.clip(np.maximum.reduceat(odds, block.first[some]), -20.0, 20.0)
+        out[some, 1] = np.log(1e-3 + np.add.reduceat(np.where(p >= 0.05, p, 0.0), block.first[some]))
     return out
 
 
-def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic function of x, by Newton steps with a light pull to slope 0.5."""
-    design, w, pull = np.stack([x, np.ones_like(x)], axis=1), np.array([0.5, 0.0]), np.diag([1.0, 1e-3])
+def calibrate(design: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of a logistic function of ``summary``, by Newton steps with a light pull to (0.5, 0, 0)."""
+    start, pull = np.array([0.5, 0.0, 0.0]), np.diag([1.0, 1.0, 1e-3])
+    w = start
     for _ in range(30):
         p = logistic(design @ w)
-        grad = design.T @ (y - p) - pull @ (w - [0.5, 0.0])
-        w = w + np.linalg.solve((design * (p * (1 - p) + 1e-9)[:, None]).T @ design + pull, grad)
-    return float(max(w[0], 1e-3)), float(w[1])
+        grad = design.T @ (weight * (y - p)) - pull @ (w - start)
+        w = w + np.linalg.solve((design * (weight * p * (1 - p) + 1e-9)[:, None]).T @ design + pull, grad)
+    return w
 
 
-def fitted(texts: list[bytes], toxic: np.ndarray) -> Field:
-    """A field fitted to documents with labels 0 and 1."""
+def fitted(texts: list[bytes], toxic: np.ndarray, clean_weight: float = 1.0) -> Field:
+    """A field fitted to documents with labels 0 and 1; a clean one stands for ``clean_weight`` of them."""
     field, hasher, member, size = Field(), Hasher(), word_bytes(), 200
     blocks, docs, at = [], [], 0
     for start in range(0, len(texts), size):
@@ -179,11 +185,11 @@ def fitted(texts: list[bytes], toxic: np.ndarray) -> Field:
         blocks.append((features(block), *sequences(block), block))
         docs.append(block.owner() + start)
     if not toxic.any() or toxic.all():
-        field.slope, share = 1e-9, min(max(float(toxic.mean()) if len(toxic) else 0.0, 1e-9), 1 - 1e-9)
-        field.shift = float(np.log(share / (1 - share)))
+        share = min(max(float(toxic.mean()) if len(toxic) else 0.0, 1e-9), 1 - 1e-9)
+        field.final[2] = np.log(share / (1 - share))
         return field
     kinds = np.concatenate([b[0] for b in blocks])
-    labels = token_labels(kinds, np.concatenate(docs), toxic).astype(float)
+    labels = token_labels(kinds, np.concatenate(docs), toxic, clean_weight).astype(float)
     seen = np.bincount(kinds.ravel(), minlength=BUCKETS) >= 2
     seen[0] = False
     ready = []
@@ -191,8 +197,8 @@ def fitted(texts: list[bytes], toxic: np.ndarray) -> Field:
         ready.append((kinds, opens, lengths, labels[at:at + len(kinds)]))
         at += len(kinds)
     field.fit(ready, seen)
-    tops = [highest(field.marginals(b[3]), b[3]) for b in blocks]
-    field.slope, field.shift = calibrate(np.concatenate(tops), toxic.astype(float))
+    design = np.concatenate([summary(field.marginals(b[3]), b[3]) for b in blocks])
+    field.final = calibrate(design, toxic.astype(float), np.where(toxic == 1, 1.0, clean_weight))
     return field
 
 
@@ -210,7 +216,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Field:
     unique = {}
     for r in sorted(found, key=lambda r: (r["toxic"], r["text"])):
         unique[r["text"]] = int(r["toxic"])
-    return fitted([t.encode() for t in unique], np.array(list(unique.values()), np.int64))
+    weight = share.get(1, 1.0) / share.get(0, 1.0)
+    return fitted([t.encode() for t in unique], np.array(list(unique.values()), np.int64), weight)
 
 
 def scorer(field: Field):
@@ -219,7 +226,7 @@ def scorer(field: Field):
     def score(texts: list[bytes]) -> tuple[list, list]:
         block = Block(texts, member, hasher)
         odds = field.marginals(block)
-        scores = logistic(field.slope * highest(odds, block) + field.shift)
+        scores = logistic(summary(odds, block) @ field.final)
         spans: list[list[int]] = [[] for _ in texts]
         hot = odds >= 0.0
         for doc in np.unique(block.owner()[hot]):

@@ -11,7 +11,7 @@ document's score is a logistic function, fitted on the same rows, of its highest
 sum; its spans are the maximal
 runs of tokens with a marginal of one half or more.
 
-Fitting takes at most about ``FIT_ROWS`` labelled rows of each class, chosen by a hash of the id, and runs on the driver;
+Fitting takes at most about ``FIT_ROWS`` labelled rows of each class, chosen by a hash of the id, and runs in one task;
 scoring covers all rows where they are read, without a shuffle.
 
 Defined cases: null and empty texts and texts without tokens get the lowest score; a null label is no label; a document
@@ -21,7 +21,10 @@ score is the share of toxic ones (0 without any); columns named like a result ar
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
@@ -29,7 +32,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 from rankloom.llm.common import fold, query, table
 from rankloom.llm.words import Block, Hasher, map_texts, mixed, word_bytes
 
-FIT_ROWS = 3000
+FIT_ROWS = 2000
 BUCKETS = 1 << 20
 PREFIXES = (3, 4, 5, 6, 7, 8)
 EPOCHS = 5
@@ -47,7 +50,7 @@ def features(block: Block) -> np.ndarray:
         end = np.minimum(block.begin + size, block.end)
         prefix = block.hasher.of(block.sums, block.begin, end)
         columns.append(np.where(block.end - block.begin > size, mixed(prefix + np.uint64(size)), np.uint64(0)))
-    return (np.stack(columns, axis=1) % np.uint64(BUCKETS)).astype(np.int64)
+    return np.stack([(c % np.uint64(BUCKETS)).astype(np.int32) for c in columns], axis=1)
 
 
 def sequences(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +89,7 @@ def logistic(x: np.ndarray) -> np.ndarray:
 
 def token_labels(kinds: np.ndarray, doc: np.ndarray, toxic: np.ndarray, clean_weight: float) -> np.ndarray:
     """Tokens of toxic documents that have one of the picked features."""
-    pairs = np.unique(np.concatenate([doc.astype(np.int64) * BUCKETS + c for c in kinds.T]))
+    pairs = np.concatenate([np.unique(doc.astype(np.int64) * BUCKETS + c) for c in kinds.T])
     docs, buckets = pairs // BUCKETS, pairs % BUCKETS
     of_toxic = toxic[docs] == 1
     clean = clean_weight * np.bincount(buckets[~of_toxic], minlength=BUCKETS)
@@ -212,12 +215,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Field:
     chosen = marked.filter(chance < wanted)  # at most about 2 x rows, so small enough to send to every task
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     found = docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(
-        F.min("text").alias("text")).select("toxic", "text").collect()
-    unique = {}
-    for r in sorted(found, key=lambda r: (r["toxic"], r["text"])):
-        unique[r["text"]] = int(r["toxic"])
+        F.min("text").alias("text")).select("toxic", "text")
     weight = share.get(1, 1.0) / share.get(0, 1.0)
-    return fitted([t.encode() for t in unique], np.array(list(unique.values()), np.int64), weight)
+
+    def train(frames):
+        unique = {t: int(y) for frame in frames for t, y in zip(frame["text"], frame["toxic"], strict=True)}
+        rows = sorted(unique.items())
+        field = fitted([t.encode() for t, _ in rows], np.array([y for _, y in rows], np.int64), weight)
+        yield pd.DataFrame({"field": [pickle.dumps(vars(field))]})
+
+    field = Field()
+    trained = found.coalesce(1).mapInPandas(train, "field binary").collect()  # a bounded sample: one task
+    vars(field).update(pickle.loads(trained[0]["field"]) if trained else vars(fitted([], np.zeros(0, np.int64))))
+    return field
 
 
 def scorer(field: Field):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rankloom import adapters as A
 from rankloom.catalog.base import day_text, query, r6, rounded
 from rankloom.catalog.sql import with_ctes
-from rankloom.config import BASELINE, override, scenarios
+from rankloom.config import BASELINE, scenarios
 from rankloom.operators import clean, graph, ordering, windows
 from rankloom.plans import ranking as R
 from rankloom.plans import tuning as T
@@ -214,9 +214,8 @@ h AS (SELECT g.l_suppkey, greatest(lo, least(hi, v)) AS v FROM g JOIN q USING (l
 z AS (SELECT l_suppkey, 1 / (1 + exp(-(v - avg(v) OVER p) / stddev_samp(v) OVER p)) AS s FROM h WINDOW p AS (PARTITION BY l_suppkey))
 SELECT l_suppkey, count(*) AS n, round(avg(s), 6) AS mean_scaled, round(max(s), 6) AS max_scaled FROM z GROUP BY 1""")
 def r10_positions(spark, sf):
-    # The path for groups too large for one buffer, on every line item.
     prices = stage(A.table(spark, sf, "lineitem").select("l_suppkey", "l_extendedprice"), "prices")
-    scaled = R.robust_scale(prices, ["l_suppkey"], {"l_extendedprice": "s"}, small_rows=0)
+    scaled = R.robust_scale(prices, ["l_suppkey"], {"l_extendedprice": "s"})
     return scaled.groupBy("l_suppkey").agg(
         F.count("*").alias("n"), F.round(F.avg("s"), 6).alias("mean_scaled"), F.round(F.max("s"), 6).alias("max_scaled"))
 
@@ -397,14 +396,6 @@ def tuning_sql(body: str) -> str:
     return with_ctes(body, PAIRS)
 
 
-@query("t01_config_override", "SELECT scenario, window_days, max_games, shrink_tau, off_weight, gf AS games FROM scenario_rows, (SELECT count(*) AS gf FROM game_norm) g")
-def t01(spark, sf):
-    rows = [(n, c.window_days, c.max_games, float(c.shrink_tau), float(c.off_weight))
-            for n, c in ((n, override(BASELINE, {k: v for k, v in vars(c).items()})) for n, c in scenarios().items())]
-    table = spark.createDataFrame(rows, "scenario string, window_days int, max_games int, shrink_tau double, off_weight double")
-    return table.withColumn("games", A.game_norm(spark, sf).agg(F.count("*")).scalar())
-
-
 @query("t02_scenario_sweep", f"SELECT scenario, rank, team_id_master, gp_used, {r6('powerscore_adj')} FROM ranking")
 def t02(spark, sf):
     return rounded(_sweep(spark, sf).select("scenario", "rank", "team_id_master", "gp_used", "powerscore_adj"), "powerscore_adj")

@@ -2,29 +2,26 @@
 
 A window over the whole frame, or over one hot group, sorts everything in a
 single task. These operators sort by range instead: rows are range-partitioned
-on (group, order), numbered inside their partition, and shifted by the row
-counts of the partitions before. Only one count per partition reaches a window.
+on (group, order), numbered inside their partition, and shifted by the totals
+of the partitions before. Only one total per partition reaches a window, and
+there is one path for every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankloom.storage import SMALL_ROWS, broadcast_if_small, row_count, stage
+from rankloom.functions.joins import join_on
+from rankloom.storage import stage
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
-def global_positions(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
-    """Add ``name``: 1-based position of each row in its group under ``order``.
-
-    ``order`` must be a total order inside a group for the result to be unique.
-    """
+def _in_order(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Staged rows with ``_pid`` and ``_row``: partition and place in it under (group, order)."""
     keys = [F.col(c) for c in group_cols]
     numbered = stage(
         df.repartitionByRange(*keys, *order)
@@ -32,86 +29,59 @@ def global_positions(df: DataFrame, group_cols: Sequence[str], order: Sequence[C
         .withColumn("_mid", F.monotonically_increasing_id()),
         "positions",
     )
-    numbered = (
-        numbered.withColumn("_pid", F.shiftright("_mid", _ROW_BITS))
-        .withColumn("_row", F.col("_mid") - F.shiftleft(F.shiftright("_mid", _ROW_BITS), _ROW_BITS))
-    )
-    # One row per partition: bounded by the partition count, not by the data.
+    pid = F.shiftright("_mid", _ROW_BITS)
+    return numbered.withColumn("_pid", pid).withColumn("_row", F.col("_mid") - F.shiftleft(pid, _ROW_BITS)).drop("_mid")
+
+
+def _totals_before(rows: DataFrame, total: Column) -> DataFrame:
+    """(_pid, _offset): sum of ``total`` over the partitions before; one row per partition."""
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = numbered.groupBy("_pid").agg(F.count("*").alias("_n")).select(
-        "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    placed = numbered.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_row") + F.col("_offset") + 1)
+    return rows.groupBy("_pid").agg(total.alias("_n")).select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+
+
+def global_positions(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """Add ``name``: 1-based position of each row in its group under ``order``.
+
+    ``order`` must be a total order inside a group for the result to be unique.
+    """
+    rows = _in_order(df, group_cols, order)
+    placed = rows.join(F.broadcast(_totals_before(rows, F.count("*"))), "_pid").withColumn(
+        name, F.col("_row") + F.col("_offset") + 1)
     if group_cols:
         starts = stage(placed.groupBy(*group_cols).agg(F.min(name).alias("_start")), "group_starts")
-        starts = broadcast_if_small(starts)
-        same_group = reduce(and_, [placed[c].eqNullSafe(starts[c]) for c in group_cols])
-        return placed.join(starts, same_group).select(
-            *[placed[c] for c in df.columns], (placed[name] - F.col("_start") + 1).alias(name)
-        )
+        placed = join_on(placed, starts, group_cols).withColumn(name, F.col(name) - F.col("_start") + 1)
     return placed.select(*df.columns, name)
 
 
-def ranked(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    order: Sequence[Column],
-    name: str,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
-    """Row number per group: a window for small frames, range positions beyond.
-
-    ``df`` is counted, so pass a staged table.
-    """
-    if row_count(df) <= small_rows:
-        window = Window.partitionBy(*group_cols).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("long"))
+def ranked(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """Row number per group under a total order."""
     return global_positions(df, group_cols, order, name)
 
 
-def exact_quantiles(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    value_cols: Sequence[str],
-    probs: Sequence[float],
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles: one row per group, ``<col>_q`` array per value column.
 
-    ``percentile`` keeps every distinct value of a group in one buffer, so it is
-    used only while the largest group has at most ``small_rows`` rows; beyond
-    that the two neighbours of each quantile are picked by position.
+    Equal values are counted first, so a tie is one row whatever its size; the
+    values around each quantile are those at which the running count passes its
+    place. A missing key is a group, and a group without values has a null array.
     """
     groups = list(group_cols)
-    largest = df.groupBy(*groups).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= small_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        return df.groupBy(*groups).agg(*[F.percentile(c, wanted).alias(f"{c}_q") for c in value_cols])
-    result = None
-    for col in value_cols:
-        values = df.where(F.col(col).isNotNull()).select(*groups, F.col(col).cast("double").alias("_v"))
-        placed = stage(global_positions(values, groups, [F.col("_v")], "_pos"), "quantile_positions")
-        sizes = broadcast_if_small(stage(placed.groupBy(*groups).agg(F.max("_pos").alias("_size")), "sizes")) \
-            if groups else None
-        if groups:
-            placed = placed.join(sizes, groups)
-        else:
-            placed = placed.withColumn("_size", placed.agg(F.max("_pos")).scalar())
-        picks = []
-        for i, p in enumerate(probs):
-            at = (F.col("_size") - 1) * F.lit(float(p)) + 1
-            low, high = F.floor(at), F.ceil(at)
-            weight = F.when(F.col("_pos") == low, 1 - (at - low)).otherwise(0.0) + F.when(
-                (F.col("_pos") == high) & (high > low), at - low
-            ).otherwise(0.0)
-            picks.append(F.sum(F.when(F.col("_pos").isin(low, high), F.col("_v") * weight)).alias(f"_q{i}"))
-        part = placed.groupBy(*groups).agg(*picks).select(
-            *groups, F.array(*[f"_q{i}" for i in range(len(probs))]).alias(f"{col}_q")
-        )
-        if result is None:
-            result = part
-        elif groups:
-            result = result.join(part, groups, "full")
-        else:
-            result = result.withColumn(f"{col}_q", part.select(f"{col}_q").scalar())
-    return result
+    values = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in value_cols])
+    counts = df.select(*groups, F.explode(values).alias("_p")).select(*groups, "_p._col", "_p._v").groupBy(
+        *groups, "_col", "_v").agg(F.count("*").alias("_n"))
+    key = [*groups, "_col"]
+    rows = _in_order(counts.where(F.col("_v").isNotNull()), key, [F.col("_v")])
+    inside = Window.partitionBy("_pid").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    running = rows.join(F.broadcast(_totals_before(rows, F.sum("_n"))), "_pid").withColumn(
+        "_to", F.sum("_n").over(inside) + F.col("_offset"))
+    sizes = stage(running.groupBy(*key).agg(F.sum("_n").alias("_size"), F.max("_to").alias("_end")), "quantile_sizes")
+    placed = join_on(running, sizes, key).withColumn("_to", F.col("_to") - F.col("_end") + F.col("_size"))
+    picks = []
+    for i, p in enumerate(probs):
+        at = (F.col("_size") - 1) * F.lit(float(p)) + 1
+        low, high = (F.min(F.when(F.col("_to") >= f(at), F.col("_v"))) for f in (F.floor, F.ceil))
+        share = F.max(at - F.floor(at))
+        picks.append((low * (1 - share) + high * share).alias(f"_q{i}"))
+    found = placed.groupBy(*key).agg(*picks).select(*key, F.array(*[f"_q{i}" for i in range(len(probs))]).alias("_q"))
+    wide = found.groupBy(*groups).agg(*[F.max(F.when(F.col("_col") == c, F.col("_q"))).alias(f"{c}_q") for c in value_cols])
+    return join_on(df.select(*groups).distinct(), wide, groups, "left") if groups else wide

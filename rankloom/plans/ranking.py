@@ -21,12 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.config import BASELINE, RatingConfig, as_dict
+from rankloom.functions.joins import join_on
 from rankloom.functions import stats
 from rankloom.functions.ids import canonical_id, spread_null
 from rankloom.operators import graph
 from rankloom.operators.ordering import exact_quantiles, ranked
 from rankloom.operators.windows import recent_games
-from rankloom.storage import broadcast_if_small, stage
+from rankloom.storage import stage
 
 TEAM = "team_id_master"
 OPPONENT = "opponent_id_master"
@@ -181,7 +182,7 @@ def strength_lookup(raw: DataFrame, league: DataFrame, spec: RunSpec) -> DataFra
     def scaled(value: str, low: str, high: str) -> Column:
         return (F.col(value) - F.col(low)) / F.greatest(F.lit(EPS), F.col(high) - F.col(low))
 
-    return raw.join(league, spec.keys).select(
+    return join_on(raw, league, spec.keys).select(
         *spec.team_keys, "gp_used",
         scaled("off_raw", "min_off", "max_off").alias("off_scaled"),
         scaled("def_raw", "min_def", "max_def").alias("def_scaled"),
@@ -204,7 +205,7 @@ def game_contributions(selected: DataFrame, strengths: DataFrame, spec: RunSpec)
         spread_null(F.col(OPPONENT), TEAM, "game_index").alias("_opp_key"),
     )
     # Opponent first, own team last: the rows then already sit by team for the sum that follows.
-    rows = spec.with_params(rows.join(opponent, [*spec.keys, "_opp_key"], "left").join(own, spec.team_keys))
+    rows = spec.with_params(join_on(join_on(rows, opponent, [*spec.keys, "_opp_key"], "left"), own, spec.team_keys))
     known = F.col("opp_def_scaled").isNotNull()
     off, dfn = F.col("weight") * F.col("gf"), F.col("weight") * _defence()
     expected = F.col("off_scaled") - F.col("opp_def_scaled")
@@ -237,7 +238,7 @@ def team_layers(contributions: DataFrame, spec: RunSpec) -> DataFrame:
 def shrink(raw: DataFrame, layers: DataFrame, league: DataFrame, spec: RunSpec) -> DataFrame:
     """Performance layer pulled towards the league's raw mean."""
     tau = spec.param("shrink_tau")
-    rows = raw.join(layers, spec.team_keys).join(league.select(*spec.keys, "mean_off", "mean_def"), spec.keys)
+    rows = join_on(join_on(raw, layers, spec.team_keys), league.select(*spec.keys, "mean_off", "mean_def"), spec.keys)
     return (
         spec.with_params(rows)
         .withColumn("sao_shrunk", stats.shrunk(F.col("sao_perf"), F.col("gp_used"), F.col("mean_off"), tau))
@@ -269,7 +270,8 @@ def schedule_strength(
 ) -> DataFrame:
     """Mean strength of each team's distinct opponents; unknown opponents count at the base value."""
     strength = 0.5 * F.col("sao_shrunk") + 0.5 * F.col("sad_shrunk")
-    lookup = alias_strengths(shrunk.select(*spec.team_keys, strength.alias("strength")), aliases, spec)
+    # Staged, so that a popular opponent's pairs can be split against it.
+    lookup = stage(alias_strengths(shrunk.select(*spec.team_keys, strength.alias("strength")), aliases, spec), "strengths")
     base = spec.param("unranked_base")
     pairs = selected.select(*spec.team_keys, canonical_id(F.col(OPPONENT)).alias("known_id")).where(
         F.col("known_id").isNotNull()
@@ -283,11 +285,11 @@ def schedule_strength(
     pairs = pairs.distinct()
     pairs = pairs.where(F.col("known_id") != canonical_id(F.col(TEAM)))
     met = (
-        spec.with_params(pairs.join(lookup, [*spec.keys, "known_id"], "left"))
+        spec.with_params(join_on(pairs, lookup, [*spec.keys, "known_id"], "left"))
         .groupBy(*spec.team_keys)
         .agg(F.avg(F.coalesce(F.col("strength"), base)).alias("sos_component"))
     )
-    return spec.with_params(shrunk.join(met, spec.team_keys, "left")).withColumn(
+    return spec.with_params(join_on(shrunk, met, spec.team_keys, "left")).withColumn(
         "sos_component", F.coalesce(F.col("sos_component"), base)
     ).drop("_cfg")
 
@@ -295,26 +297,22 @@ def schedule_strength(
 # ---------------------------------------------------------------- scaling and score
 
 def robust_scale(
-    df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], low: float = 0.01, high: float = 0.99,
-    small_rows: int | None = None,
+    df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], low: float = 0.01, high: float = 0.99
 ) -> DataFrame:
     """Hold to two quantiles, standardize with the sample deviation, squash to (0, 1).
 
     ``cols`` maps input to output columns. No spread at all gives 0.5.
     ``df`` should be staged: it is read for the quantiles, the spread and the result.
     """
-    limits = {} if small_rows is None else {"small_rows": small_rows}
-    bounds = exact_quantiles(df, keys, list(cols), [low, high], **limits)
-    bounds = broadcast_if_small(stage(bounds, "quantiles"))
-    held = df.join(bounds, list(keys))
+    bounds = stage(exact_quantiles(df, keys, list(cols), [low, high]), "quantiles")
+    held = join_on(df, bounds, keys)
     for c in cols:
         held = held.withColumn(f"{c}_held", stats.clip(F.col(c), F.col(f"{c}_q")[0], F.col(f"{c}_q")[1]))
     spread = held.groupBy(*keys).agg(
         *[F.avg(f"{c}_held").alias(f"{c}_mean") for c in cols],
         *[F.stddev_samp(f"{c}_held").alias(f"{c}_std") for c in cols],
     )
-    spread = broadcast_if_small(stage(spread, "spread"))
-    scaled = held.join(spread, list(keys))
+    scaled = join_on(held, stage(spread, "spread"), keys)
     for c, out in cols.items():
         deviation = F.coalesce(F.nullif(F.col(f"{c}_std"), F.lit(0.0)), F.lit(1.0))
         scaled = scaled.withColumn(out, stats.logistic((F.col(f"{c}_held") - F.col(f"{c}_mean")) / deviation))
@@ -325,8 +323,8 @@ def range_scale(
     df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], low: float = 0.05, high: float = 0.95
 ) -> DataFrame:
     """Alternative: stretch between two quantiles to 0..1, then squash; equal quantiles give 0.5."""
-    bounds = broadcast_if_small(stage(exact_quantiles(df, keys, list(cols), [low, high]), "quantiles"))
-    held = df.join(bounds, list(keys))
+    bounds = stage(exact_quantiles(df, keys, list(cols), [low, high]), "quantiles")
+    held = join_on(df, bounds, keys)
     for c, out in cols.items():
         a, b = F.col(f"{c}_q")[0], F.col(f"{c}_q")[1]
         share = (stats.clip(F.col(c), a, b) - a) / F.nullif(b - a, F.lit(0.0))
@@ -371,9 +369,8 @@ def rank_order() -> list[Column]:
     return [F.round(F.col(c).cast("double"), 9).desc() for c in RANK_ORDER] + [F.col(TEAM).asc()]
 
 
-def rank_rows(teams: DataFrame, keys: Sequence[str], name: str, small_rows: int | None = None) -> DataFrame:
-    limits = {} if small_rows is None else {"small_rows": small_rows}
-    return ranked(teams, list(keys), rank_order(), name, **limits)
+def rank_rows(teams: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return ranked(teams, list(keys), rank_order(), name)
 
 
 # ---------------------------------------------------------------- the whole run
@@ -382,7 +379,7 @@ def rate_teams(games: DataFrame, spec: RunSpec, aliases: DataFrame | None = None
     """All layers up to the score, one row per run key and team (staged, unranked)."""
     selected = stage(select_games(games, spec), "selected")
     raw = stage(team_raw(selected, spec), "team_raw")
-    league = broadcast_if_small(stage(league_stats(raw, spec), "league"))
+    league = stage(league_stats(raw, spec), "league")
     strengths = strength_lookup(raw, league, spec)
     layers = team_layers(game_contributions(selected, strengths, spec), spec)
     shrunk = stage(shrink(raw, layers, league, spec), "shrunk")
@@ -394,7 +391,7 @@ def rate_teams(games: DataFrame, spec: RunSpec, aliases: DataFrame | None = None
     newest = selected.where(F.col("game_index") == 0).select(
         *spec.team_keys, F.col("date").alias("last_game_date"), *[c for c in ATTRIBUTES if c not in spec.pool_cols]
     )
-    return stage(with_status(score(scaled, spec).join(newest, spec.team_keys), spec), "scored")
+    return stage(with_status(join_on(score(scaled, spec), newest, spec.team_keys), spec), "scored")
 
 
 def rank_teams(
@@ -424,9 +421,9 @@ def rank_teams(
             F.coalesce("degree", F.lit(0)).alias("degree"),
         )
     else:
-        sizes = broadcast_if_small(stage(teams.groupBy(*spec.keys).agg(F.count("*").alias("component_size")), "sizes"))
+        sizes = stage(teams.groupBy(*spec.keys).agg(F.count("*").alias("component_size")), "sizes")
         ranking = (
-            ranking.join(sizes, spec.keys)
+            join_on(ranking, sizes, spec.keys)
             .withColumn("component_id", F.lit("0")).withColumn("degree", F.lit(0).cast("long"))
         )
     return ranking.select(

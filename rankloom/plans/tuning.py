@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.config import RatingConfig, scenarios
+from rankloom.functions.joins import join_on
 from rankloom.operators.ordering import exact_quantiles, ranked
 from rankloom.plans.ranking import TEAM, rank_teams, run_spec
 from rankloom.storage import stage
@@ -28,10 +29,13 @@ def sweep(
 
 
 def align(base: DataFrame, test: DataFrame, cols: Sequence[str] = ("rank",), test_keys: Sequence[str] = ()) -> DataFrame:
-    """Teams in both rankings with ``<col>_base`` and ``<col>_test``; ``test_keys`` (scenario) are kept."""
+    """Teams in both rankings with ``<col>_base`` and ``<col>_test``; ``test_keys`` (scenario) are kept.
+
+    A missing state, gender or age group equals a missing one.
+    """
     left = base.select(*ALIGN, *[F.col(c).alias(f"{c}_base") for c in cols])
     right = test.select(*test_keys, *ALIGN, *[F.col(c).alias(f"{c}_test") for c in cols])
-    return right.join(left, list(ALIGN))
+    return join_on(right, left, ALIGN)
 
 
 def aligned_sweep(rankings: DataFrame, baseline: str = "baseline", cols: Sequence[str] = ("rank",)) -> DataFrame:
@@ -50,9 +54,13 @@ def spearman(pairs: DataFrame, keys: Sequence[str] = ("scenario",)) -> DataFrame
 
 
 def _inversions(values: np.ndarray) -> int:
-    """Pairs in the wrong order, by merging runs of doubling width."""
+    """Pairs in the wrong order: inside short runs by comparing shifted copies, then by merging runs of doubling width."""
     values = np.asarray(values)
-    n, width, count = len(values), 1, 0
+    n, width, count = len(values), 32, 0
+    padded = np.append(values, np.full(-n % width, np.iinfo(values.dtype).max, values.dtype)).reshape(-1, width)
+    for shift in range(1, width):
+        count += int((padded[:, shift:] < padded[:, :-shift]).sum())
+    values = np.sort(padded, axis=1).ravel()[:n].copy()
     while width < n:
         for start in range(0, n, 2 * width):
             left, right = values[start:start + width], values[start + width:start + 2 * width]
@@ -106,7 +114,7 @@ def kendall(pairs: DataFrame, keys: Sequence[str] = ("scenario",), block_rows: i
     bad = same_test.unionByName(same_base).unionByName(across).groupBy(*keys).agg(F.sum("bad").alias("bad"))
     totals = pairs.groupBy(*keys).agg(F.count("*").alias("n"))
     all_pairs = F.col("n") * (F.col("n") - 1) / 2
-    return totals.join(bad, keys).select(*keys, (1 - 2 * F.col("bad") / F.nullif(all_pairs, F.lit(0))).alias("kendall"))
+    return join_on(totals, bad, keys).select(*keys, (1 - 2 * F.col("bad") / F.nullif(all_pairs, F.lit(0))).alias("kendall"))
 
 
 def overlaps(pairs: DataFrame, keys: Sequence[str] = ("scenario",), ks: Sequence[int] = (5, 10, 20)) -> DataFrame:
@@ -126,7 +134,7 @@ def rank_deltas(pairs: DataFrame, keys: Sequence[str] = ("scenario",)) -> DataFr
     change = pairs.withColumn("delta", F.abs(F.col("rank_test") - F.col("rank_base")).cast("double"))
     quantiles = exact_quantiles(change, keys, ["delta"], [0.5, 0.9])
     extremes = change.groupBy(*keys).agg(F.max("delta").alias("max_rank_delta"), F.count("*").alias("teams_compared"))
-    return extremes.join(quantiles, keys).select(
+    return join_on(extremes, quantiles, keys).select(
         *keys, F.col("delta_q")[0].alias("median_rank_delta"), F.col("delta_q")[1].alias("p90_rank_delta"),
         "max_rank_delta", "teams_compared",
     )
@@ -154,7 +162,7 @@ def compare_sweep(rankings: DataFrame, baseline: str = "baseline") -> DataFrame:
     keys = ["scenario"]
     result = names
     for part in (spearman(renumbered), kendall(renumbered), overlaps(renumbered), rank_deltas(pairs)):
-        result = result.join(part, keys, "left")
+        result = join_on(result, part, keys, "left")
     return result.select("scenario", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in METRIC_NAMES])
 
 

@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A table at or under this many rows may be broadcast or held by one task.
-SMALL_ROWS = 500_000
-# A table at or under this many rows may be broadcast (rows are narrow).
-BROADCAST_ROWS = 100_000
 
 
 def shared_root(spark: SparkSession) -> str:
     """Folder for stage tables: ``spark.checkpoint.dir`` as the session has it.
 
-    A cluster must name one. Only a local master falls back to a temporary
-    folder, since there the driver and the tasks share one disk.
+    A cluster must name one. Only a master within one process, as in tests, falls
+    back to a temporary folder, which goes when the program ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="rankloom-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
@@ -47,16 +45,3 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when a count shows at most ``limit`` rows.
-
-    ``df`` should be a staged table: the count then reads file footers only.
-    Larger tables keep no hint and join by shuffle.
-    """
-    return F.broadcast(df) if df.count() <= limit else df
-
-
-def row_count(df: DataFrame) -> int:
-    return df.count()

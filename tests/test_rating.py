@@ -7,6 +7,7 @@ import statistics
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rankloom.config import BASELINE, override, scenarios
@@ -174,9 +175,9 @@ def test_positions_by_range_equal_a_full_sort(spark, hot_rows):
     placed = {r["i"]: r["p"] for r in ordering.global_positions(df, [], order, "p").collect()}
     expected = {r[2]: n + 1 for n, r in enumerate(sorted(hot_rows, key=lambda r: (-r[1], r[2])))}
     assert placed == expected
-    grouped = {r["i"]: r["p"] for r in ordering.ranked(df, ["g"], order, "p", small_rows=0).collect()}
-    window = {r["i"]: r["p"] for r in ordering.ranked(df, ["g"], order, "p").collect()}
-    assert grouped == window
+    grouped = {r["i"]: r["p"] for r in ordering.ranked(df, ["g"], order, "p").collect()}
+    window = Window.partitionBy("g").orderBy(*order)
+    assert grouped == {r["i"]: r["p"] for r in df.withColumn("p", F.row_number().over(window)).collect()}
 
 
 def test_positions_keep_null_groups(spark):
@@ -185,14 +186,16 @@ def test_positions_keep_null_groups(spark):
 
 
 def test_quantiles_by_position_equal_the_aggregate(spark, hot_rows):
-    df = stage(spark.createDataFrame(hot_rows, "g string, v double, i int"))
+    extra = [(None, 2.0, -1), (None, 4.0, -2), ("empty", None, -3), ("tied", 7.0, -4), ("tied", 7.0, -5)]
+    df = stage(spark.createDataFrame(hot_rows + extra, "g string, v double, i int"))
     probs = [0.0, 0.01, 0.5, 0.9, 0.99, 1.0]
+    wanted = F.array(*[F.lit(p) for p in probs])
     for groups in (["g"], []):
-        big = {tuple(r[g] for g in groups): r["v_q"] for r in ordering.exact_quantiles(df, groups, ["v"], probs, small_rows=0).collect()}
-        small = {tuple(r[g] for g in groups): r["v_q"] for r in ordering.exact_quantiles(df, groups, ["v"], probs).collect()}
-        assert big.keys() == small.keys()
-        for k in big:
-            assert big[k] == pytest.approx(small[k], abs=1e-12)
+        got = {tuple(r[g] for g in groups): r["v_q"] for r in ordering.exact_quantiles(df, groups, ["v"], probs).collect()}
+        plain = {tuple(r[g] for g in groups): r["v_q"] for r in df.groupBy(*groups).agg(F.percentile("v", wanted).alias("v_q")).collect()}
+        assert got.keys() == plain.keys()
+        for k in got:
+            assert got[k] == (plain[k] and pytest.approx(plain[k], abs=1e-12))
 
 
 # ---------------------------------------------------------------- tuning

@@ -17,14 +17,16 @@ SELECT CASE WHEN s_suppkey % 8 = 1 THEN 'other-' || s_suppkey ELSE s_suppkey::VA
        CASE WHEN s_suppkey % 8 < 6 THEN 'S' || s_suppkey END AS provider_team_id, s_name AS team_name,
        CASE WHEN s_suppkey % 4 <> 0 THEN 'Club ' || (s_nationkey % 7) END AS club_name, {lst(A.STATES_BY_NATION)}[s_nationkey + 1] AS state,
        CASE WHEN s_suppkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender, 'U' || (10 + s_suppkey % 9) AS age_group
-FROM supplier WHERE s_acctbal > 1000"""
+FROM supplier WHERE s_acctbal > 1000
+UNION ALL SELECT 'twin-' || s_suppkey, 'S' || s_suppkey, 'Twin of ' || s_name, NULL, 'AZ', 'M', 'U10' FROM supplier WHERE s_acctbal > 1000 AND s_suppkey % 8 < 3"""
 IDENT_SQL = "SELECT s_suppkey::VARCHAR AS team_id, ['Alpha ' || s_nationkey, 'Zeta ' || (s_suppkey % 5)] AS club_history FROM supplier WHERE s_suppkey % 6 = 0"
 LINKED_SQL = """
 SELECT g.*, p.team_id_master AS p_id, f.provider_team_id AS f_id, coalesce(p.team_name, f.team_name) AS team_name_master,
        coalesce(p.club_name, f.club_name) AS club_name_master, coalesce(p.state, f.state) AS state_master,
        CASE WHEN p.team_id_master IS NOT NULL THEN 'primary' WHEN f.provider_team_id IS NOT NULL THEN 'fallback' ELSE 'unlinked' END AS link_status
 FROM game_raw g LEFT JOIN msx p ON g.team_id_master = p.team_id_master
-LEFT JOIN msx f ON p.team_id_master IS NULL AND g.team_id_source = f.provider_team_id"""
+LEFT JOIN (SELECT DISTINCT ON (provider_team_id) * FROM msx WHERE provider_team_id IS NOT NULL ORDER BY provider_team_id, team_id_master) f
+  ON p.team_id_master IS NULL AND g.team_id_source = f.provider_team_id"""
 EXTRA = {"msx": MASTER_SQL, "idents": IDENT_SQL, "linked": LINKED_SQL}
 
 
@@ -35,13 +37,19 @@ def sql(body: str) -> str:
 def _master(spark, sf):
     sk = F.col("s_suppkey")
     text = sk.cast("string")
-    return A.table(spark, sf, "supplier").where("s_acctbal > 1000").select(
+    rows = A.table(spark, sf, "supplier").where("s_acctbal > 1000")
+    # Some feed ids stand for two teams.
+    twins = rows.where(sk % 8 < 3).select(
+        F.concat(F.lit("twin-"), text).alias("team_id_master"), F.concat(F.lit("S"), text).alias("provider_team_id"),
+        F.concat(F.lit("Twin of "), "s_name").alias("team_name"), F.lit(None).cast("string").alias("club_name"), F.lit("AZ").alias("state"),
+        F.lit("M").alias("gender"), F.lit("U10").alias("age_group"))
+    return rows.select(
         F.when(sk % 8 == 1, F.concat(F.lit("other-"), text)).otherwise(text).alias("team_id_master"),
         F.when(sk % 8 < 6, F.concat(F.lit("S"), text)).alias("provider_team_id"), F.col("s_name").alias("team_name"),
         F.when(sk % 4 != 0, F.concat(F.lit("Club "), (F.col("s_nationkey") % 7).cast("string"))).alias("club_name"),
         A.pick(A.STATES_BY_NATION, F.col("s_nationkey")).alias("state"),
         F.when(sk % 2 == 0, "M").otherwise("F").alias("gender"),
-        F.concat(F.lit("U"), (10 + sk % 9).cast("string")).alias("age_group"))
+        F.concat(F.lit("U"), (10 + sk % 9).cast("string")).alias("age_group")).unionByName(twins)
 
 
 def _identities(spark, sf):
@@ -181,29 +189,49 @@ def jaccard_sql(a: str, b: str) -> str:
             f"len(list_distinct(list_concat({a}, {b}))) END")
 
 
-@query("c11_renamed_teams", with_ctes(f"""
+def trigrams(expr: str) -> str:
+    name = f"(' ' || array_to_string({tokens(expr)}, ' ') || ' ')"
+    return f"CASE WHEN length({name}) > 2 THEN list_transform(range(1, length({name}) - 1), lambda i: substr({name}, i, 3)) ELSE [] END"
+
+
+def renamed_sql(cut, least: float) -> str:
+    return with_ctes(f"""
 SELECT old_name AS old_team_name, n.team_name AS new_team_name, n.age_group, n.gender, n.state, round(score * 100, 6) AS similarity_score,
        n.rank AS new_rank, first_rank AS old_rank
 FROM new_build n JOIN (
   SELECT *, row_number() OVER (PARTITION BY age_group, gender, state, new_name ORDER BY score DESC, old_name) AS rn FROM (
     SELECT n.age_group, n.gender, n.state, n.team_name AS new_name, o.team_name AS old_name, {jaccard_sql('n.words', 'o.words')} AS score
-    FROM (SELECT DISTINCT age_group, gender, state, team_name, list_distinct({tokens('team_name')}) AS words FROM new_build) n
-    JOIN (SELECT DISTINCT age_group, gender, state, team_name, list_distinct({tokens('team_name')}) AS words FROM old_build) o USING (age_group, gender, state)
+    FROM (SELECT DISTINCT age_group, gender, state, team_name, list_distinct({cut('team_name')}) AS words FROM new_build) n
+    JOIN (SELECT DISTINCT age_group, gender, state, team_name, list_distinct({cut('team_name')}) AS words FROM old_build) o USING (age_group, gender, state)
     JOIN (SELECT age_group, gender, state FROM (SELECT age_group, gender, state, count(*) AS c FROM new_build GROUP BY 1, 2, 3) a
           JOIN (SELECT age_group, gender, state, count(*) AS c FROM old_build GROUP BY 1, 2, 3) b USING (age_group, gender, state) WHERE a.c <> b.c) u USING (age_group, gender, state)
-  ) p WHERE score > 0.7) b ON b.rn = 1 AND b.new_name = n.team_name AND b.age_group = n.age_group AND b.gender = n.gender AND b.state = n.state
+  ) p WHERE score > {least}) b ON b.rn = 1 AND b.new_name = n.team_name AND b.age_group = n.age_group AND b.gender = n.gender AND b.state = n.state
 JOIN (SELECT age_group, gender, state, team_name, arg_min(rank, rank * 1000000 + points) AS first_rank FROM old_build GROUP BY 1, 2, 3, 4) f
-  ON f.team_name = b.old_name AND f.age_group = n.age_group AND f.gender = n.gender AND f.state = n.state""", VERSIONS))
-def c11(spark, sf):
-    found = delta.renamed_teams(*_builds(spark, sf))
+  ON f.team_name = b.old_name AND f.age_group = n.age_group AND f.gender = n.gender AND f.state = n.state""", VERSIONS)
+
+
+def _renamed(spark, sf, scorer):
+    found = delta.renamed_teams(*_builds(spark, sf), scorer=scorer)
     return rounded(found.select("old_team_name", "new_team_name", "age_group", "gender", "state", "similarity_score", "new_rank", "old_rank"),
                    "similarity_score")
 
 
+@query("c11_renamed_teams", renamed_sql(tokens, 0.7))
+def c11(spark, sf):
+    return _renamed(spark, sf, "words")
+
+
+@query("c11_renamed_by_letters", renamed_sql(trigrams, 0.5))
+def c11_letters(spark, sf):
+    return _renamed(spark, sf, "letters")
+
+
 @query("c14_baseline_merge", versions("""
-SELECT custkey, copy, team_id FROM old_build UNION ALL SELECT custkey, copy, team_id FROM new_build WHERE team_id NOT IN (SELECT team_id FROM old_build)"""))
+SELECT custkey, copy, team_id FROM old_build UNION ALL
+SELECT custkey, copy, team_id FROM (SELECT *, row_number() OVER (PARTITION BY team_id ORDER BY custkey, copy) AS rn FROM new_build
+  WHERE team_id NOT IN (SELECT team_id FROM old_build)) n WHERE rn = 1"""))
 def c14(spark, sf):
-    return delta.merge_with_baseline(*_builds(spark, sf)).select("custkey", "copy", "team_id")
+    return delta.merge_with_baseline(*_builds(spark, sf), prefer=("custkey", "copy")).select("custkey", "copy", "team_id")
 
 
 @query("c12_ranking_alignment", with_ctes("""

@@ -61,7 +61,7 @@ def s02(spark, sf):
 def s03(spark, sf):
     # A game is a repeat when user, kind, day and value were seen before.
     stream = _events(spark, sf).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    unique = I.run_deduped(stream, scratch_path(spark, "s03"), "ts", "40 days", ["user_id", "event_type", "day", "value"])
+    unique = I.run_deduped(stream, scratch_path(spark, "s03"), "day", ["user_id", "event_type", "day", "value"])
     return unique.groupBy("user_id", "event_type", "day").agg(F.count("*").alias("n"))
 
 

@@ -49,6 +49,13 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(left) > 0) & (F.size(right) > 0), score).otherwise(0.0)
 
 
+def trigrams(col: Column | str) -> Column:
+    """Groups of three letters of the normalized name between blanks; empty for an empty name."""
+    name = F.concat(F.lit(" "), normalized_name(col), F.lit(" "))
+    groups = F.transform(F.sequence(F.lit(1), F.length(name) - 2), lambda i: F.substring(name, i, F.lit(3)))
+    return F.when(F.length(name) > 2, groups).otherwise(F.array().cast("array<string>"))
+
+
 def name_similarity(a: Column, b: Column) -> Column:
     return jaccard(name_tokens(a), name_tokens(b))
 

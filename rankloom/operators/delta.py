@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -59,27 +59,29 @@ def compare_builds(new: DataFrame, old: DataFrame, key_cols: Sequence[str] = CEL
 # ---------------------------------------------------------------- similar names
 
 def similar_names(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], threshold: float, strict: bool = False
+    left: DataFrame, right: DataFrame, keys: Sequence[str], threshold: float, strict: bool = False,
+    tokens: Callable[[Column], Column] = text.name_tokens,
 ) -> DataFrame:
-    """Pairs of distinct names of the same block whose word overlap reaches ``threshold``.
+    """Pairs of distinct names of the same block whose overlap of words (or other ``tokens``) reaches ``threshold``.
 
     (keys, left_name, right_name, score). Exact without comparing everyone in a
     block: two word sets that overlap enough share one of the rarest words of
     each, so each name is joined on that short prefix of rare words only. Names
-    with the same text are one entry here, however many teams carry them.
+    with the same text are one entry here, however many teams carry them. A block
+    full of names that are nearly the same still has as many pairs as it has.
     """
     def entries(df: DataFrame, side: str) -> DataFrame:
         return (
             df.select(*keys, F.col("team_name").alias(f"{side}_name")).where(F.col(f"{side}_name").isNotNull())
-            .distinct().withColumn("_words", F.array_sort(F.array_distinct(text.name_tokens(F.col(f"{side}_name")))))
+            .distinct().withColumn("_words", F.array_sort(F.array_distinct(tokens(F.col(f"{side}_name")))))
             .where(F.size("_words") > 0)
         )
 
     a, b = stage(entries(left, "left"), "names"), stage(entries(right, "right"), "names")
-    counts = (
+    # Staged, so that the names with a frequent word can be split in the join.
+    counts = stage(
         a.select(F.explode("_words").alias("word")).unionAll(b.select(F.explode("_words")))
-        .groupBy("word").agg(F.count("*").alias("n"))
-    )
+        .groupBy("word").agg(F.count("*").alias("n")), "word_counts")
 
     def prefixes(df: DataFrame, side: str) -> DataFrame:
         ordered = (
@@ -105,18 +107,27 @@ def similar_names(
     return pairs.select(*keys, "left_name", "right_name", "score").distinct()
 
 
-def renamed_teams(new: DataFrame, old: DataFrame, threshold: float = 0.7, key_cols: Sequence[str] = CELL) -> DataFrame:
+#: Ways to compare names: what they are cut into, and the overlap that a rename must exceed.
+SCORERS = {"letters": (text.trigrams, 0.5), "words": (text.name_tokens, 0.7)}
+
+
+def renamed_teams(new: DataFrame, old: DataFrame, threshold: float | None = None, key_cols: Sequence[str] = CELL,
+                  scorer: str = "letters") -> DataFrame:
     """Best old name above the threshold for each new name, in cells whose team counts differ.
 
+    ``scorer`` is letters (groups of three, which forgives typing errors) or words.
+
     Cells of equal size are skipped. Ties go to the smaller old name. Every team
     row with that name appears, next to the first old row of the matched name.
     """
     keys = list(key_cols)
+    tokens, usual = SCORERS[scorer]
+    threshold = usual if threshold is None else threshold
     sizes_new = new.groupBy(*keys).agg(F.count("*").alias("_n_new"))
     sizes_old = old.groupBy(*keys).agg(F.count("*").alias("_n_old"))
     uneven = sizes_new.join(sizes_old, keys).where("_n_new <> _n_old").select(*keys)
     pairs = similar_names(new.join(uneven, keys, "left_semi"), old.join(uneven, keys, "left_semi"), keys,
-                          threshold, strict=True)
+                          threshold, strict=True, tokens=tokens)
     best = best_row(pairs, [*keys, "left_name"], [F.desc("score"), F.asc("right_name")])
     extra = [c for c in ("rank", "points") if c in old.columns and c in new.columns]
     first_old = best_row(
@@ -162,7 +173,8 @@ def resolve_conflicts(df: DataFrame, tie_break: Sequence[str] = ("source_url",))
 
 
 def dedupe_feed(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates(list(FEED_KEY))
+    """One row per team and feed entry, the first by its other columns."""
+    return best_row(df, FEED_KEY, [])
 
 
 def dedupe_prefer_id(df: DataFrame) -> DataFrame:
@@ -170,10 +182,15 @@ def dedupe_prefer_id(df: DataFrame) -> DataFrame:
     return best_row(df, TEAM_KEY, [F.col("team_id").asc_nulls_last()])
 
 
-def merge_with_baseline(new: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Baseline plus the new rows whose team id it does not have."""
+def merge_with_baseline(new: DataFrame, baseline: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
+    """Baseline plus one new row per team id it does not have: the first by ``prefer``, then by all columns.
+
+    New rows without a team id are all kept.
+    """
     known = baseline.select("team_id").where("team_id IS NOT NULL").distinct()
-    return baseline.unionByName(new.join(known, "team_id", "left_anti"), allowMissingColumns=True)
+    unknown = new.where("team_id IS NOT NULL").join(known, "team_id", "left_anti").select(*new.columns)
+    fresh = best_row(unknown, ["team_id"], [F.col(c).asc_nulls_last() for c in prefer])
+    return baseline.unionByName(fresh.unionByName(new.where("team_id IS NULL")), allowMissingColumns=True)
 
 
 def merge_summary(df: DataFrame) -> DataFrame:

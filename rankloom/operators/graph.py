@@ -110,15 +110,16 @@ def components(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
     seen = None
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("low").alias("node"), F.col("node").alias("low")))
-        lowest = both.groupBy("node").agg(F.min("low").alias("_m")).select(
+        # Minima are staged before the joins: only then can the edges of a hot node be split.
+        lowest = stage(both.groupBy("node").agg(F.min("low").alias("_m")).select(
             "node", F.least("node", "_m").alias("lowest")
-        )
+        ), "lowest")
         wide = (
             both.where("low > node").join(lowest, "node")
             .select(F.col("low").alias("node"), F.col("lowest").alias("low")).distinct()
         )
         wide = stage(wide.where("node <> low"), "wide")
-        floor = wide.groupBy("node").agg(F.min("low").alias("lowest"))
+        floor = stage(wide.groupBy("node").agg(F.min("low").alias("lowest")), "floor")
         narrow = (
             wide.join(floor, "node").where("low <> lowest")
             .select(F.col("low").alias("node"), F.col("lowest").alias("low"))

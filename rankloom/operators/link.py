@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.ids import spread_null
+from rankloom.operators.windows import best_row
 
 ID_COLUMNS = ("team_id_master", "opponent_id_master", "team_id_source", "opponent_id")
 ENRICH = ("team_name", "club_name", "state", "gender", "age_group")
@@ -23,9 +24,9 @@ def text_key_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
 
 
 def link_primary(games: DataFrame, master: DataFrame) -> DataFrame:
-    """Left join on team_id_master; master attributes carry the suffix ``_master``."""
+    """Left join on team_id_master; master attributes carry the suffix ``_master``. A game stays one row."""
     attributes = [c for c in ENRICH if c in master.columns]
-    right = master.select(
+    right = best_row(master, ["team_id_master"], []).select(
         F.col("team_id_master").cast("string").alias("_mid"), *[F.col(c).alias(f"{c}_master") for c in attributes]
     )
     return (
@@ -35,20 +36,42 @@ def link_primary(games: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def link_fallback(linked: DataFrame, master: DataFrame) -> DataFrame:
-    """Rows without a primary link are tried by team_id_source = provider_team_id."""
+    """Rows without a primary link are tried by team_id_source = provider_team_id, of the same provider if both name one.
+
+    Of several master rows with one key (see ``ambiguous_keys``) the one with the smallest team id counts.
+    """
     attributes = [c for c in ENRICH if f"{c}_master" in linked.columns]
-    right = master.where(F.col("provider_team_id").isNotNull()).select(
-        F.col("provider_team_id").cast("string").alias("_pid"), *[F.col(c).alias(f"_{c}") for c in attributes]
+    on_provider = "provider" in linked.columns and "provider" in master.columns
+    keys = _fallback_keys(master) if on_provider else ["provider_team_id"]
+    known = best_row(master.where(F.col("provider_team_id").isNotNull()), keys, [F.col("team_id_master").asc_nulls_last()])
+    right = known.select(
+        F.col("provider_team_id").cast("string").alias("_pid"),
+        F.col("provider" if on_provider else "provider_team_id").cast("string").alias("_feed"),
+        *[F.col(c).alias(f"_{c}") for c in attributes],
     )
     # Only the unlinked rows look for a second match; the others spread over the tasks.
     row = [c for c in ("team_id_source", "team_id_master", "opponent_id", "game_date") if c in linked.columns]
     key = spread_null(F.when(~F.col("linked_primary"), F.col("team_id_source")), *row)
-    joined = linked.withColumn("_key", key).join(right, F.col("_key") == F.col("_pid"), "left")
+    same = F.col("_key") == F.col("_pid")
+    if on_provider:
+        same = same & linked["provider"].eqNullSafe(F.col("_feed"))
+    joined = linked.withColumn("_key", key).join(right, same, "left")
     filled = {f"{c}_master": F.coalesce(f"{c}_master", f"_{c}") for c in attributes}
     return joined.withColumns({
         **filled, "link_status": F.when(F.col("linked_primary"), "primary")
         .when(F.col("_pid").isNotNull(), "fallback").otherwise("unlinked"),
-    }).drop("_key", "_pid", *[f"_{c}" for c in attributes])
+    }).drop("_key", "_pid", "_feed", *[f"_{c}" for c in attributes])
+
+
+def _fallback_keys(master: DataFrame) -> list[str]:
+    return [c for c in ("provider", "provider_team_id") if c in master.columns]
+
+
+def ambiguous_keys(master: DataFrame) -> DataFrame:
+    """Feed ids that several master teams share, with their number and the team that a fallback link takes."""
+    keys = _fallback_keys(master)
+    return master.where(F.col("provider_team_id").isNotNull()).groupBy(*keys).agg(
+        F.countDistinct("team_id_master").alias("teams"), F.min("team_id_master").alias("taken")).where("teams > 1")
 
 
 def backfill_club(linked: DataFrame, identities: DataFrame) -> DataFrame:

@@ -55,6 +55,7 @@ def scouting_all(games: DataFrame) -> DataFrame:
     records = games.groupBy(F.col("team").alias("opponent")).agg(
         F.count("*").alias("games"), (F.count_if(F.col("result") == "W") / F.count("*")).alias("win_rate")
     ).withColumn("weak", (F.col("games") < 5) | (F.col("win_rate") < 0.3))
+    records = stage(records, "records")  # so that the meetings of a popular opponent can be split
     met = games.select("team", "opponent").where("opponent IS NOT NULL").distinct()
     return met.join(records, "opponent").groupBy("team").agg(
         F.count("*").alias("opponents"), F.count_if("weak").alias("weak_opponents"),
@@ -70,6 +71,7 @@ def opponent_presence(games: DataFrame) -> DataFrame:
     goals = games.groupBy(F.col("team_id_master").alias("opponent_id_master")).agg(
         F.sum("gf").alias("opp_gf"), F.sum("ga").alias("opp_ga")
     )
+    met, goals = stage(met, "meetings"), stage(goals, "goals")  # so that a popular opponent's rows can be split
     joined = met.join(goals, "opponent_id_master", "left")
     return joined.withColumns({
         "present": F.col("opp_gf").isNotNull(),

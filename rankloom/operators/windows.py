@@ -8,12 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions import stats
+from rankloom.functions.joins import join_on
+from rankloom.storage import stage
 
 
-def newest_first() -> list[Column]:
-    """Order of a team's games. Rows equal on all of it are interchangeable."""
-    return [F.col("date").desc_nulls_last(), F.col("opponent_id_master").asc_nulls_last(),
-            F.col("gf").asc_nulls_last(), F.col("ga").asc_nulls_last()]
+def payload_order(df: DataFrame, used: Sequence[str]) -> list[Column]:
+    """All other columns, so that ties are broken alike on every run; maps have no order and are left out."""
+    return [F.col(f"`{f.name}`").asc_nulls_last() for f in df.schema
+            if f.name not in used and not f.dataType.simpleString().startswith(("map<", "variant"))]
+
+
+def newest_first(games: DataFrame) -> list[Column]:
+    """Order of a team's games: date, then opponent and score, then all that is left."""
+    first = ("date", "opponent_id_master", "gf", "ga")
+    return [F.col("date").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in first[1:]], *payload_order(games, first)]
 
 
 def recent_games(games: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
@@ -22,7 +30,7 @@ def recent_games(games: DataFrame, keys: Sequence[str], limit: int) -> DataFrame
     ``row_number() <= limit`` becomes a group limit on both sides of the
     shuffle, so a hot team sends at most ``limit`` rows per map task.
     """
-    window = Window.partitionBy(*keys).orderBy(*newest_first())
+    window = Window.partitionBy(*keys).orderBy(*newest_first(games))
     return (
         games.withColumn("game_index", F.row_number().over(window))
         .where(F.col("game_index") <= limit)
@@ -37,14 +45,16 @@ def with_days_since(games: DataFrame, as_of: Column) -> DataFrame:
 def clip_by_group(df: DataFrame, keys: Sequence[str], cols: Sequence[str], z: float) -> DataFrame:
     """Hold each value within z sample deviations of its group mean.
 
-    Group statistics are pre-aggregated and joined back, so a hot group is never
-    gathered in one task. Groups of one row, or without spread, stay as they are.
+    Group statistics are pre-aggregated, staged and joined back, so that the
+    rows of a hot group can be split. Groups of one row, or without spread, stay
+    as they are.
     """
     measures = []
     for c in cols:
         measures += [F.avg(c).alias(f"_{c}_mean"), F.stddev_samp(c).alias(f"_{c}_std")]
-    bounds = df.groupBy(*keys).agg(*measures)
-    joined = df.join(bounds, list(keys), "left")
+    # Staged: a join with rows that are still being summed up cannot be split where one group is hot.
+    bounds = stage(df.groupBy(*keys).agg(*measures), "group_bounds")
+    joined = join_on(df, bounds, keys, "left")
     for c in cols:
         joined = joined.withColumn(c, stats.sigma_clip(F.col(c), F.col(f"_{c}_mean"), F.col(f"_{c}_std"), z))
     return joined.select(*df.columns)
@@ -80,6 +90,6 @@ def newest_row(games: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Da
 
 
 def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row per key under ``order``; limited before and after the shuffle."""
-    window = Window.partitionBy(*keys).orderBy(*order)
+    """First row per key under ``order``, then under all other columns; limited before and after the shuffle."""
+    window = Window.partitionBy(*keys).orderBy(*order, *payload_order(df, keys))
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")

@@ -72,12 +72,12 @@ def consolidate_builds(
         "*", F.regexp_extract(path, r"/(build_[^/]+)/games_", 1).alias("build_id"),
         F.regexp_extract(path, r"/games_.*?[_=]([A-Z]{2}_[MF]_U[0-9]+)", 1).alias("slice_key"),
     )
-    return dedupe_games(normalize_games(games))
+    return dedupe_games(normalize_games(games)).orderBy(F.col("date").desc_nulls_last(), *GAME_DEDUPE)
 
 
 def dedupe_games(games: DataFrame) -> DataFrame:
-    """One row per team, opponent, date and score."""
-    return games.dropDuplicates(list(GAME_DEDUPE))
+    """One row per team, opponent, date and score: that of the first build, then the first by its other columns."""
+    return best_row(games, GAME_DEDUPE, [F.col("build_id").asc_nulls_last()] if "build_id" in games.columns else [])
 
 
 def append_games(existing: DataFrame, new: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ same after a failure.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,12 @@ from pyspark.sql import types as T
 
 from rankloom.operators.identity import upsert_identities
 from rankloom.operators.integrity import diff_hashes, hash_games
+from rankloom.operators.windows import best_row
 from rankloom.sources.files import list_paths
+from rankloom.storage import stage
+
+#: Days of one batch that are named to prune the stored partitions; a batch with more reads them all.
+MAX_DAYS = 400
 
 PROGRESS = T.StructType([
     T.StructField("team_id_master", T.StringType()), T.StructField("last_scraped", T.DateType()),
@@ -83,13 +90,17 @@ def advance_progress(progress: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def run_progress(stream: DataFrame, folder: str, as_of: Column, max_back: int = 365) -> DataFrame:
-    """High-water mark per team over the stream: accepts new games, then moves the mark."""
+    """High-water mark per team over the stream: accepts new games, then moves the mark.
+
+    Games are judged by the mark as it stood before the run, so the result does
+    not depend on how the run's files are cut into batches.
+    """
     spark = stream.sparkSession
     table = VersionedTable(spark, f"{folder}/progress", PROGRESS)
+    mark = stage(table.before(), "mark")
 
     def each(batch: DataFrame, number: int) -> None:
-        before = table.before(number)
-        table.write(advance_progress(before, games_since(batch, before, as_of, max_back)), number)
+        table.write(advance_progress(table.before(number), games_since(batch, mark, as_of, max_back)), number)
 
     run_batches(stream, each, f"{folder}/offsets")
     return table.before()
@@ -97,15 +108,34 @@ def run_progress(stream: DataFrame, folder: str, as_of: Column, max_back: int =
 
 # ---------------------------------------------------------------- append with dedupe
 
-def run_deduped(stream: DataFrame, folder: str, time_col: str, delay: str, keys: Sequence[str]) -> DataFrame:
-    """Stream to parquet, dropping repeats of ``keys`` seen within ``delay``."""
-    unique = stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
-    query = (
-        unique.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{folder}/offsets")
-        .option("path", f"{folder}/games").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return stream.sparkSession.read.schema(unique.schema).parquet(f"{folder}/games")
+def run_deduped(stream: DataFrame, folder: str, day_col: str, keys: Sequence[str]) -> DataFrame:
+    """Append the stream's rows whose ``keys`` are not stored yet, however late they come.
+
+    ``day_col`` is one of the keys; stored rows are partitioned by it, and only
+    the days of a batch are read again. A repeated batch overwrites its own rows.
+    """
+    spark, out = stream.sparkSession, f"{folder}/games"
+    part = "_day"
+
+    def stored(number: int | None = None) -> DataFrame | None:
+        done = [p for p in list_paths(spark, f"{out}/batch=*") if number is None or int(p.rstrip("/").rsplit("=", 1)[1]) < number]
+        return spark.read.schema(f"`{part}` string, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)).option(
+            "basePath", out).parquet(*done) if done else None
+
+    def each(batch: DataFrame, number: int) -> None:
+        fresh = best_row(batch, keys, []).withColumn(part, F.coalesce(F.col(day_col).cast("string"), F.lit("none")))
+        before = stored(number)
+        if before is not None:
+            days = [r[0] for r in fresh.select(part).distinct().limit(MAX_DAYS + 1).collect()]
+            if len(days) <= MAX_DAYS:
+                before = before.where(F.col(part).isin(days))
+            same = reduce(and_, [fresh[k].eqNullSafe(before[k]) for k in [part, *keys]])
+            fresh = fresh.join(before, same, "left_anti")
+        fresh.write.partitionBy(part).mode("overwrite").parquet(f"{out}/batch={number}")
+
+    run_batches(stream, each, f"{folder}/offsets")
+    games = stored()
+    return spark.createDataFrame([], stream.schema) if games is None else games.select(*stream.columns)
 
 
 # ---------------------------------------------------------------- identities

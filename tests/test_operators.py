@@ -1,5 +1,6 @@
 """Graph, change detection, linking, sources and streams on small fixtures."""
 
+import datetime as dt
 import json
 import random
 import statistics
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.functions import text
-from rankloom.operators import clean, delta, graph, identity, integrity, quality, registry
+from rankloom.operators import clean, delta, graph, identity, integrity, link, quality, registry
 from rankloom.sources import files, payloads
 from rankloom.storage import stage
 from rankloom.streaming import incremental as I
@@ -216,3 +217,63 @@ def test_identity_upsert_flags(spark):
     got = {r["canonical_name"]: (r["is_new"], r["was_updated"], r["club_history"]) for r in identity.upsert_identities(before, rows).collect()}
     assert got == {"Red": (False, False, []), "Blue": (True, True, ["Club"])}
     assert spark.range(1).select(text.likely_same(F.lit("Red Lion"), F.lit("lion RED"))).first()[0]
+
+
+# ---------------------------------------------------------------- rows that must not get lost or multiply
+
+def test_rename_with_a_typing_error(spark):
+    schema = "team_name string, age_group string, gender string, state string"
+    old = spark.createDataFrame([("Phoenix Rising", "U10", "M", "AZ"), ("Tucson Lions", "U10", "M", "AZ")], schema)
+    new = spark.createDataFrame([("Pheonix Rising", "U10", "M", "AZ")], schema)
+    found = {s: [(r["old_team_name"], r["new_team_name"]) for r in delta.renamed_teams(new, old, scorer=s).collect()] for s in ("letters", "words")}
+    assert found == {"letters": [("Phoenix Rising", "Pheonix Rising")], "words": []}
+
+
+def test_ambiguous_feed_ids_do_not_multiply_games(spark):
+    games = spark.createDataFrame([("x", "7", None, "p"), ("x", "7", None, "q"), ("m1", "9", None, "p")],
+                                  "team_id_master string, team_id_source string, opponent_id string, provider string")
+    master = spark.createDataFrame([("m2", "7", "p", "Two"), ("m3", "7", "p", "Three"), ("m4", "7", "q", "Four"), ("m1", "1", "p", "One")],
+                                   "team_id_master string, provider_team_id string, provider string, team_name string")
+    got = link.link_games(games, master).select("team_id_source", "provider", "link_status", "team_name_master").collect()
+    assert sorted(map(tuple, got)) == [("7", "p", "fallback", "Two"), ("7", "q", "fallback", "Four"), ("9", "p", "primary", "One")]
+    assert [tuple(r) for r in link.ambiguous_keys(master).collect()] == [("p", "7", 2, "m2")]
+
+
+def test_survivors_do_not_depend_on_row_order(spark):
+    rows = [("Red", "U10", "M", "AZ", "s", 1, 5, url) for url in ("b", "a", "c")]
+    schema = "team_name string, age_group string, gender string, state string, source string, rank int, points int, url string"
+    for order in (rows, rows[::-1]):
+        assert [r["url"] for r in delta.dedupe_feed(spark.createDataFrame(order, schema)).collect()] == ["a"]
+    new = spark.createDataFrame([("t", "b"), ("t", "a"), (None, "z"), ("k", "n")], "team_id string, name string")
+    base = spark.createDataFrame([("k", "old")], "team_id string, name string")
+    assert sorted((r["team_id"] or "", r["name"]) for r in delta.merge_with_baseline(new, base).collect()) == [("", "z"), ("k", "old"), ("t", "a")]
+
+
+@pytest.mark.parametrize("per_batch", [1, 16])
+def test_late_unique_games_are_stored_once(spark, tmp_path, per_batch):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "id int, day string, note string"
+    for part in ([(1, "2025-06-01", "x")], [(2, "2025-06-20", "x"), (1, "2025-06-01", "y")], [(3, "2025-03-01", "x"), (4, None, "n")], [(4, None, "n")]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = I.game_stream(spark, source, spark.createDataFrame([], schema).schema, files_per_batch=per_batch)
+    assert sorted(r["id"] for r in I.run_deduped(stream, folder, "day", ["id", "day"]).collect()) == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("per_batch", [1, 16])
+def test_progress_does_not_depend_on_batches(spark, tmp_path, per_batch):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "team_id_master string, date date"
+    for day in ("2025-01-08", "2025-01-02"):
+        spark.createDataFrame([("a", dt.date.fromisoformat(day))], schema).coalesce(1).write.mode("append").parquet(source)
+    stream = I.game_stream(spark, source, spark.createDataFrame([], schema).schema, files_per_batch=per_batch)
+    assert [tuple(r)[1:] for r in I.run_progress(stream, folder, F.lit("2025-01-10").cast("date")).collect()] == [(dt.date(2025, 1, 8), 2)]
+
+
+def test_page_entries_are_read_by_line(spark):
+    entry = "Saturday, March 1, 2025\nRush 2016 Boys\n3 - 1\nPhoenix Rising 2015\n2025 Spring Cup\n9:30 AM"
+    inline = "Sunday, March 2, 2025\n10:00 AM\nPhoenix Rising 2015 0 - 2 Rush 2016 Boys\n2025 Fall League"
+    rows = [("f", "1", "m", "Rush 2016 Boys", "U10", "M", "AZ", e) for e in (entry, inline, "no date\n1 - 2", None)]
+    df = spark.createDataFrame(rows, "provider string, team_id_source string, team_id_master string, team_name string, age_group string, gender string, state string, entry string")
+    got = payloads.parse_game_entries(df).select("game_date", "home_away", "opponent_name", "goals_for", "goals_against", "competition").collect()
+    assert sorted(map(tuple, got)) == [("2025-03-01", "H", "Phoenix Rising 2015", 3, 1, "2025 Spring Cup"),
+                                       ("2025-03-02", "A", "Phoenix Rising 2015", 0, 2, "2025 Fall League")]

@@ -167,8 +167,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, class_id, n_links) for each row of ``docs``."""
+    """(id, class_id, n_links, text_key) for each row of ``docs``; text_key tells rows of one id apart."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     signed = stage(map_texts(texts, signer, SIGNED).drop("text"), "near-signed")
     some = signed.filter(F.col("node").isNotNull())
     # Documents of a node: how many, one to take the set from, and the band hashes, which are the same for all.
@@ -184,8 +185,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "home", F.pmod(F.xxhash64("node"), F.coalesce("cut", F.lit(1)))).alias("tile")), "near-tile")
     placed = stage(meeting.drop("low").join(tile, "node"), "near-placed")
     tiles = stage(placed.groupBy("band", "hash").agg(F.collect_set("tile").alias("tiles")), "near-tiles")
-    pairs = placed.join(tiles, ["band", "hash"]).select("node", "tile", F.explode("tiles").alias("other")).select(
-        "node", "tile", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two")).distinct()
+    others = placed.join(tiles, ["band", "hash"]).groupBy("node", "tile").agg(F.array_distinct(F.flatten(F.collect_set("tiles"))).alias("others"))
+    pairs = others.select("node", "tile", F.explode("others").alias("other")).select(
+        "node", "tile", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"))
     wanted = tile.join(node, "node").select("id").distinct()
     sets = stage(map_texts(texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]), "left_semi"), setter, SETS).drop("text").select(
         "node", "shingles").dropDuplicates(["node"]).join(node.select("node", "copies"), "node"), "near-sets")
@@ -196,8 +198,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "node", "id", F.coalesce("root", "node").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "near-about")
     names = stage(about.groupBy("root").agg(F.min("id").alias("class_id")), "near-names")
     named = stage(about.join(names, "root").select("node", "class_id", "n_links"), "near-named")
-    alone = signed.filter(F.col("node").isNull()).select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return some.select("id", "node").join(named, "node").select("id", "class_id", "n_links").unionByName(alone).withColumnRenamed("id", id_col)
+    alone = signed.filter(F.col("node").isNull()).select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "text_key")
+    return some.select("id", "node", "text_key").join(named, "node").select("id", "class_id", "n_links", "text_key").unionByName(alone).withColumnRenamed("id", id_col)
 
 
 SQL2 = r"""
@@ -217,4 +219,4 @@ SELECT d.doc_id, (SELECT min(y) FROM reach r WHERE r.x = d.doc_id) AS class_id,
 @query("op2_near_copies", SQL2.replace("WITH w AS", "WITH RECURSIVE w AS", 1))
 def op2(spark, sf_dir):
     """Class and number of links of every document."""
-    return near_copies(table(spark, sf_dir, "documents"))
+    return near_copies(table(spark, sf_dir, "documents")).drop("text_key")

@@ -5,15 +5,16 @@ The positions i of a document with i mod 133 in a perfect difference cover are i
 strings of 200 bytes, some offset below 133 puts both on sample positions, where 68 bytes or more are still equal.
 
 1. Sample suffixes, cut at 68 bytes, are dealt to buckets, one bucket is sorted at a time, and equal ones get a tie mark. Only
-   positions with a tied sample within reach can start a repeat: elsewhere no suffix is built.
-2. Long ties are settled by the sample: its tied suffixes are ranked again at 332 bytes; a tie there settles 133 positions
-   at once, the inside of copies and long passages.
-3. The suffixes still open, near the ends of matches, are dealt, sorted and compared at 200 bytes.
+   positions with a tied sample within reach can start a repeat: elsewhere no further suffix is built.
+2. Long ties are settled in runs: anchors, positions chosen by the 16 bytes that follow, have their suffixes sorted at 200 bytes
+   and the way to the next anchor. A tie there settles all positions from one anchor to the next.
+3. The suffixes still open, near the ends of matches, and one copy of each settled one are sorted at 200 bytes.
 
-A suffix is represented by the 64-bit hash of its prefix (40 bits and the bucket in step 1, whose false ties cost only
+A suffix is represented by the 64-bit hash of its prefix (32 bits and the bucket in step 1, whose false ties cost only
 work), since equality at a fixed depth is all that is asked; so buckets hold numbers, not texts, and ties within a block of
-texts are joined before they are dealt. Blocks of about ``BLOCK`` bytes of whole documents are staged compressed; answers come
-back as one bit per suffix and block. Buckets grow in number with the input, so memory is bounded by block and bucket.
+texts are joined before they are dealt. Answers come back as bits per suffix and block. Buckets grow in number with the
+input, so memory is bounded by block and bucket. Blocks are whole documents of one task, about ``BLOCK`` bytes; they are named by
+their content, so a lost task that comes back with other rows is an error, not a wrong answer.
 
 Defined cases: null texts are empty; texts shorter than the length start no repeat; repeated rows are documents, so they repeat each
 other whole; null and repeated ids are kept row by row; an empty table gives no rows; other columns are not read.
@@ -39,69 +40,89 @@ from rankloom.storage import scratch_path
 #: A perfect difference cover: each number from 1 to 132 is the difference of one pair, mod 133. Fixed values.
 COVER = (1, 10, 11, 13, 27, 31, 68, 75, 83, 110, 115, 121)
 PERIOD = 133
-BLOCK = 1_000_000
+BLOCK = 3_000_000
+#: Bytes that choose an anchor, one place in how many is one, and the farthest that one settles.
+ANCHOR, EVERY, WAY = 16, 64, 512
+#: Bytes of a hash that are dealt for samples, anchors and open suffixes.
+WIDTHS = (4, 8, 8)
 #: Bytes of hashes that a bucket should hold on average.
 BUCKET = 16_000_000
 
 
 def packed(a: np.ndarray) -> bytes:
-    return zstandard.compress(a.tobytes(), 1)
+    return zstandard.compress(a.tobytes(), 3)
 
 
-def unpacked(data: bytes, kind: type = np.uint8) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), kind)
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), np.uint8)
+
+
+def steps(hashes: np.ndarray, width: int) -> bytes:
+    """Sorted hashes, of which the leading ``width`` bytes are given, as their differences by byte place: small and exact."""
+    lead = hashes >> np.uint64(64 - 8 * width)
+    return packed(np.ascontiguousarray(np.diff(lead, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, :width].T))
+
+
+def unstepped(data: bytes, width: int) -> np.ndarray:
+    planes = unpacked(data).reshape(width, -1)
+    whole = np.zeros((planes.shape[1], 8), np.uint8)
+    whole[:, :width] = planes.T
+    return np.cumsum(whole.view(np.uint64).ravel(), dtype=np.uint64) << np.uint64(64 - 8 * width)
 
 
 class Texts:
     """A block's bytes, the documents' bounds in it, and each byte's place in its document and bytes left from it."""
 
-    def __init__(self, data: bytes, sizes: list[int]) -> None:
-        self.data, self.sizes = unpacked(data), np.array(sizes, np.int64)
+    def __init__(self, data: np.ndarray, sizes: list[int]) -> None:
+        self.data, self.sizes = data, np.array(sizes, np.int64)
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
         self.place = np.arange(len(self.data), dtype=np.int32) - np.repeat(self.starts, self.sizes).astype(np.int32)
         self.left = np.repeat(self.sizes, self.sizes).astype(np.int32) - self.place
         self.sums: np.ndarray | None = None
 
-    def hashes(self, at: np.ndarray, length: int, hasher: Hasher) -> np.ndarray:
+    def hashes(self, at: np.ndarray, length: np.ndarray | int, hasher: Hasher) -> np.ndarray:
         if self.sums is None:
             self.sums = hasher.sums(self.data)
         return hasher.of(self.sums, at, at + length)
 
 
 class Depths:
-    """The lengths compared: of the sample, of long ties, and of repeats."""
+    """Which suffixes of a block are compared, and how far."""
 
     def __init__(self, length: int) -> None:
         if length < PERIOD + 15:
             raise ValueError(f"repeats must be of {PERIOD + 15} bytes or more")
-        self.repeat, self.sample, self.long = length, length - PERIOD + 1, length + PERIOD - 1
+        self.repeat, self.sample = length, length - PERIOD + 1
 
-    def samples(self, t: Texts) -> np.ndarray:
+    def samples(self, t: Texts, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and hashes of the sample."""
         cover = np.zeros(PERIOD, bool)
         cover[list(COVER)] = True
-        return np.flatnonzero(cover[t.place % PERIOD] & (t.left >= self.sample))
-
-    def long_samples(self, t: Texts, ties: np.ndarray) -> np.ndarray:
-        return ties[t.left[ties] >= self.long]
-
-    def open_starts(self, t: Texts, ties: np.ndarray, settled: np.ndarray, speaking: np.ndarray) -> np.ndarray:
-        """Starts with a tied sample in reach that no long tie has settled, or settled ones that this block speaks for.
-
-        The latter are compared too, since an open start may have no other partner; one copy of each is enough.
-        """
-        reach = np.zeros(len(t.data) + 1, np.int32)
-        np.add.at(reach, ties - np.minimum(t.place[ties], PERIOD - 1), 1)
-        np.add.at(reach, ties + 1, -1)
-        return np.flatnonzero((np.cumsum(reach[:-1]) > 0) & (t.left >= self.repeat) & (
-            ~covered(settled, PERIOD, len(t.data)) | covered(speaking, PERIOD, len(t.data))))
-
-
-def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
-    """Places within ``length`` from any start."""
+        at = np.flatnonzero(cover[t.place % PERIOD] & (t.left >= self.sample))
+        return at, t.hashes(at, self.sample, hasher) & np.uint64(0xFFFFFFFF00000000)
+
+    def anchors(self, t: Texts, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions, ways to the next anchor (or ``WAY``), and hashes."""
+        at = np.arange(max(0, len(t.data) - ANCHOR + 1))
+        at = at[t.hashes(at, ANCHOR, hasher) % np.uint64(EVERY) == 0]
+        at = at[t.left[at] >= ANCHOR]
+        way = np.minimum(np.diff(np.append(at, len(t.data) + WAY)), WAY)
+        fits = t.left[at] >= self.repeat + way
+        at, way = at[fits], way[fits]
+        return at, way, t.hashes(at, self.repeat + way, hasher)
+
+    def possible(self, t: Texts, ties: np.ndarray) -> np.ndarray:
+        """Whether a tied sample is in reach of each position."""
+        reach = np.minimum(t.place[ties], PERIOD - 1).astype(np.int64)
+        return covered(ties - reach, reach + 1, len(t.data)) & (t.left >= self.repeat)
+
+
+def covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray:
+    """Places that lie in any of the stretches."""
     edges = np.zeros(n + 1, np.int32)
     np.add.at(edges, starts, 1)
-    np.add.at(edges, np.minimum(starts + length, n), -1)
+    np.add.at(edges, np.minimum(starts + lengths, n), -1)
     return np.cumsum(edges[:-1]) > 0
 
 
@@ -111,36 +132,33 @@ def bounds(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.append(np.searchsorted(sorted_hashes >> np.uint64(32), lows[:-1]), len(sorted_hashes))
 
 
-def ties(blocks: DataFrame, suffixes: Callable, buckets: int, width: int) -> DataFrame:
-    """(block, marks): for each block, per bucket two bits for each distinct suffix: it stands elsewhere too; this block is
-    the one that speaks for it.
+def ties(rows: DataFrame, suffixes: Callable, buckets: int) -> DataFrame:
+    """(block, marks): for each block, per kind and bucket two bits for each distinct suffix: it stands elsewhere too; this block
+    is the one that speaks for it.
 
-    ``suffixes(row, hasher)`` gives a block's suffix hashes in a fixed order; ``width`` bytes of each are dealt.
+    ``suffixes(batch, hasher)`` gives (block, [hashes of kind 0, of kind 1, ...]); ``WIDTHS`` bytes of each are dealt.
     """
-    columns = [c for c in blocks.columns if c != "done"]
-    dealt = StructType([StructField("bucket", IntegerType()), StructField("block", LongType()), StructField("hashes", BinaryType()),
-                        StructField("twice", BinaryType())])
+    dealt = StructType([StructField("kind", IntegerType()), StructField("bucket", IntegerType()), StructField("block", LongType()),
+                        StructField("hashes", BinaryType()), StructField("twice", BinaryType())])
 
     def deal(batches):
         hasher = Hasher()
         for batch in batches:
-            for row in batch.to_pylist():
-                h, times = np.unique(suffixes(row, hasher), return_counts=True)
-                at = bounds(h, buckets)
-                some = np.flatnonzero(np.diff(at))
-                cut = np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, 8 - width - 1:7] if width < 8 else h.view(np.uint8).reshape(-1, 8)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()),
-                    pa.array([cut[at[b]:at[b + 1]].tobytes() for b in some], pa.binary()),
-                    pa.array([np.packbits(times[at[b]:at[b + 1]] > 1).tobytes() for b in some], pa.binary())], names=dealt.names)
+            for block, kinds in suffixes(batch, hasher):
+                for kind, hashes in kinds:
+                    h, times = np.unique(hashes, return_counts=True)
+                    at = bounds(h, buckets)
+                    some = np.flatnonzero(np.diff(at))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([kind] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
+                        pa.array([steps(h[at[b]:at[b + 1]], WIDTHS[kind]) for b in some], pa.binary()),
+                        pa.array([np.packbits(times[at[b]:at[b + 1]] > 1).tobytes() for b in some], pa.binary())], names=dealt.names)
 
     def sort(bucket: pa.Table) -> pa.Table:
         bucket = bucket.sort_by("block")  # so that a second run, after a loss, answers alike
-        parts_in = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in bucket.column("hashes").to_pylist()]
-        sizes = [len(x) for x in parts_in]
-        whole = np.zeros((sum(sizes), 8), np.uint8)
-        whole[:, :width] = np.concatenate(parts_in)
-        hashes = whole.view(np.uint64).ravel()
+        width = WIDTHS[bucket.column("kind")[0].as_py()]
+        held = [unstepped(x, width) for x in bucket.column("hashes").to_pylist()]
+        sizes, hashes = [len(x) for x in held], np.concatenate(held)
         order = np.argsort(hashes)
         same = hashes[order[1:]] == hashes[order[:-1]]
         tied, first = np.zeros(len(hashes), bool), np.ones(len(hashes), bool)
@@ -151,21 +169,25 @@ def ties(blocks: DataFrame, suffixes: Callable, buckets: int, width: int) -> Dat
             out.append(np.packbits(tied[at:at + n] | (np.unpackbits(np.frombuffer(twice, np.uint8), count=n) == 1)).tobytes())
             leads.append(np.packbits(first[at:at + n]).tobytes())
             at += n
-        return pa.table([bucket.column("block"), bucket.column("bucket"), pa.array(out, pa.binary()), pa.array(leads, pa.binary())],
-                        names=["block", "bucket", "bits", "first"])
+        columns = [bucket.column("block"), bucket.column("kind"), bucket.column("bucket"), pa.array(out, pa.binary()), pa.array(leads, pa.binary())]
+        return pa.table(columns, names=["block", "kind", "bucket", "bits", "first"])
 
-    return blocks.select(columns).mapInArrow(deal, dealt).groupBy("bucket").applyInArrow(
-        sort, "block long, bucket int, bits binary, first binary").groupBy("block").agg(
-            F.array_sort(F.collect_list(F.struct("bucket", "bits", "first"))).alias("marks"))
+    return rows.mapInArrow(deal, dealt).groupBy("kind", "bucket").applyInArrow(
+        sort, "block long, kind int, bucket int, bits binary, first binary").groupBy("block").agg(
+            F.array_sort(F.collect_list(F.struct("kind", "bucket", "bits", "first"))).alias("marks"))
 
 
-def marked(hashes: np.ndarray, marks: list | None, buckets: int, plane: str = "bits") -> np.ndarray:
+def marked(hashes: np.ndarray, row: dict, kind: int, buckets: int, plane: str = "bits") -> np.ndarray:
     """A mark of each suffix of a block, from the bits per bucket."""
     distinct, number = np.unique(hashes, return_inverse=True)
-    at, tied = bounds(distinct, buckets), np.zeros(len(distinct), bool)
-    for mark in marks or ():
-        low, high = at[mark["bucket"]], at[mark["bucket"] + 1]
-        tied[low:high] = np.unpackbits(np.frombuffer(mark[plane], np.uint8), count=high - low)
+    at, tied, known = bounds(distinct, buckets), np.zeros(len(distinct), bool), 0
+    for mark in row["marks"] or ():
+        if mark["kind"] == kind:
+            low, high = at[mark["bucket"]], at[mark["bucket"] + 1]
+            tied[low:high] = np.unpackbits(np.frombuffer(mark[plane], np.uint8), count=high - low)
+            known += high - low
+    if known != len(distinct):
+        raise RuntimeError("a block's rows changed between two reads of the input; give documents in a stable order")
     return tied[number]
 
 
@@ -177,7 +199,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, spans) per row; spans: start, end, start, end in bytes."""
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, spans) per row; spans: start, end, start, end in bytes.
+
+    ``docs`` are read twice and must come in the same order, as files do.
+    """
     spark, depth = docs.sparkSession, Depths(length)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
     kind = rows.schema["id"].dataType
@@ -185,86 +210,80 @@ def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
                          StructField("n_spans", LongType()), StructField("kept_sha256", StringType()), StructField("spans", ArrayType(LongType()))])
     block_kind = StructType([StructField("block", LongType()), StructField("ids", ArrayType(kind)), StructField("sizes", ArrayType(LongType())),
                              StructField("data", BinaryType())])
-    tied_kind = StructType(block_kind.fields + [StructField("ties", BinaryType()), StructField("done", ArrayType(result))])
-    open_kind = StructType(block_kind.fields + [StructField("settled", BinaryType()), StructField("open", BinaryType())])
+    live_kind = StructType(block_kind.fields + [StructField("settled", BinaryType()), StructField("open", BinaryType()),
+                                                StructField("done", ArrayType(result))])
+
+    def blocks_of(batch):
+        pairs = list(zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True))
+        for number, part in enumerate(by_size(pairs, lambda r: len(r[1]), BLOCK)):
+            data, sizes = b"".join(t for _, t in part), [len(t) for _, t in part]
+            name = hashlib.blake2b(data, digest_size=8, salt=repr((TaskContext.get().partitionId(), number)).encode()[:16])
+            name.update(repr(sizes).encode())
+            yield int.from_bytes(name.digest(), "big", signed=True), [i for i, _ in part], sizes, data
 
     def make_blocks(batches):
-        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            pairs = list(zip(batch.column("id"), batch.column("text").to_pylist(), strict=True))
-            for part in by_size(pairs, lambda r: len(r[1]), BLOCK):
-                data = packed(np.frombuffer(b"".join(t for _, t in part), np.uint8))
-                yield from frame(block_kind, [{"block": number, "ids": [i.as_py() for i, _ in part], "sizes": [len(t) for _, t in part], "data": data}])
-                number += 1
-
-    def each(schema: StructType, work: Callable) -> Callable:
-        def run(batches):
-            hasher = Hasher()
-            for batch in batches:
-                for row in batch.to_pylist():
-                    yield from frame(schema, work(row, hasher))
-        return run
-
-    def sample_hashes(row: dict, hasher: Hasher) -> np.ndarray:
-        t = Texts(row["data"], row["sizes"])
-        return t.hashes(depth.samples(t), depth.sample, hasher)
-
-    def narrow(row: dict, hasher: Hasher) -> list[dict]:
-        """Documents with a tied sample go on; the others are done."""
-        t = Texts(row["data"], row["sizes"])
-        at = depth.samples(t)
-        at = at[marked(coarse(t.hashes(at, depth.sample, hasher)), row["marks"], buckets)]
-        doc = np.searchsorted(t.ends, at, "right")
-        some = np.zeros(len(t.sizes), bool)
-        some[doc] = True
-        moved = t.starts - (np.cumsum(np.where(some, t.sizes, 0)) - np.where(some, t.sizes, 0))
-        done = [{"id": row["ids"][d], "n_bytes": int(t.sizes[d]), "n_removed": 0, "n_spans": 0, "spans": [],
-                 "kept_sha256": hashlib.sha256(t.data[t.starts[d]:t.ends[d]].tobytes()).hexdigest()} for d in np.flatnonzero(~some)]
-        return [{"block": row["block"], "ids": [i for i, on in zip(row["ids"], some, strict=True) if on], "sizes": t.sizes[some].tolist(),
-                 "data": packed(t.data[np.repeat(some, t.sizes)]), "ties": packed((at - moved[doc]).astype(np.uint32)), "done": done}]
-
-    def long_hashes(row: dict, hasher: Hasher) -> np.ndarray:
-        t = Texts(row["data"], row["sizes"])
-        return t.hashes(depth.long_samples(t, unpacked(row["ties"], np.uint32).astype(np.int64)), depth.long, hasher)
-
-    def settle(row: dict, hasher: Hasher) -> list[dict]:
-        t, at = Texts(row["data"], row["sizes"]), unpacked(row["ties"], np.uint32).astype(np.int64)
-        long = depth.long_samples(t, at)
-        hashes = t.hashes(long, depth.long, hasher)
-        tied_here = marked(hashes, row["marks"], buckets)
-        settled, speaking = long[tied_here], long[tied_here & marked(hashes, row["marks"], buckets, "first")]
-        return [{**{c: row[c] for c in block_kind.names}, "settled": packed(settled.astype(np.uint32)),
-                 "open": packed(depth.open_starts(t, at, settled, speaking).astype(np.uint32))}]
-
-    def open_hashes(row: dict, hasher: Hasher) -> np.ndarray:
-        return Texts(row["data"], row["sizes"]).hashes(unpacked(row["open"], np.uint32).astype(np.int64), depth.repeat, hasher)
-
-    def finish(row: dict, hasher: Hasher) -> list[dict]:
-        t, at = Texts(row["data"], row["sizes"]), unpacked(row["open"], np.uint32).astype(np.int64)
-        found = at[marked(t.hashes(at, depth.repeat, hasher), row["marks"], buckets)]
-        settled = unpacked(row["settled"], np.uint32).astype(np.int64)
-        gone = covered(found, depth.repeat, len(t.data)) | covered(settled, depth.long, len(t.data))
-        out = []
-        for i, a, b in zip(row["ids"], t.starts, t.ends, strict=True):
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], gone[a:b].astype(np.int8), [0]])))
-            out.append({"id": i, "n_bytes": int(b - a), "n_removed": int(gone[a:b].sum()), "n_spans": len(edges) // 2,
-                        "kept_sha256": hashlib.sha256(t.data[a:b][~gone[a:b]].tobytes()).hexdigest(), "spans": edges.tolist()})
-        return out
-
-    blocks = staged(rows.mapInArrow(make_blocks, block_kind), "repeat-blocks")
-    held = blocks.agg(F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x)"))).first()[0] or 0
+            for block, ids, sizes, data in blocks_of(batch):
+                yield from frame(block_kind, [{"block": block, "ids": ids, "sizes": sizes, "data": packed(np.frombuffer(data, np.uint8))}])
+
+    def first_suffixes(batch, hasher: Hasher):
+        for block, _, sizes, data in blocks_of(batch):
+            t = Texts(np.frombuffer(data, np.uint8), sizes)
+            yield block, [(0, depth.samples(t, hasher)[1]), (1, depth.anchors(t, hasher)[2])]
+
+    def narrow(batches):
+        """Documents where a repeat can start go on, with the settled and the open positions; the others are done."""
+        hasher = Hasher()
+        for batch in batches:
+            for row in batch.to_pylist():
+                t = Texts(unpacked(row["data"]), row["sizes"])
+                at, hashes = depth.samples(t, hasher)
+                possible = depth.possible(t, at[marked(hashes, row, 0, buckets)])
+                at, way, hashes = depth.anchors(t, hasher)
+                tied = marked(hashes, row, 1, buckets)
+                speaks = tied & marked(hashes, row, 1, buckets, "first")
+                settled = covered(at[tied], way[tied], len(t.data))
+                to_sort = (possible & ~settled) | covered(at[speaks], way[speaks], len(t.data))
+                some = np.zeros(len(t.sizes), bool)
+                some[np.searchsorted(t.ends, np.flatnonzero(settled | to_sort), "right")] = True
+                done = [{"id": row["ids"][d], "n_bytes": int(t.sizes[d]), "n_removed": 0, "n_spans": 0, "spans": [],
+                         "kept_sha256": hashlib.sha256(t.data[t.starts[d]:t.ends[d]].tobytes()).hexdigest()} for d in np.flatnonzero(~some)]
+                keep = np.repeat(some, t.sizes)
+                yield from frame(live_kind, [{
+                    "block": row["block"], "ids": [i for i, on in zip(row["ids"], some, strict=True) if on], "sizes": t.sizes[some].tolist(),
+                    "data": packed(t.data[keep]), "settled": packed(np.packbits(settled[keep])), "open": packed(np.packbits(to_sort[keep])), "done": done}])
+
+    def last_suffixes(batch, hasher: Hasher):
+        for row in batch.to_pylist():
+            t = Texts(unpacked(row["data"]), row["sizes"])
+            yield row["block"], [(2, t.hashes(places(row["open"], t), depth.repeat, hasher))]
+
+    def finish(batches):
+        hasher = Hasher()
+        for batch in batches:
+            for row in batch.to_pylist():
+                t = Texts(unpacked(row["data"]), row["sizes"])
+                at = places(row["open"], t)
+                found = at[marked(t.hashes(at, depth.repeat, hasher), row, 2, buckets)]
+                gone = covered(np.concatenate([found, places(row["settled"], t)]), depth.repeat, len(t.data))
+                out = []
+                for i, a, b in zip(row["ids"], t.starts, t.ends, strict=True):
+                    edges = np.flatnonzero(np.diff(np.concatenate([[0], gone[a:b].astype(np.int8), [0]])))
+                    out.append({"id": i, "n_bytes": int(b - a), "n_removed": int(gone[a:b].sum()), "n_spans": len(edges) // 2,
+                                "kept_sha256": hashlib.sha256(t.data[a:b][~gone[a:b]].tobytes()).hexdigest(), "spans": edges.tolist()})
+                yield from frame(result, out)
+
+    held = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4 * parts(spark), int(held * 8 * len(COVER) / PERIOD / BUCKET))
-    tied = staged(blocks.join(ties(blocks, lambda r, h: coarse(sample_hashes(r, h)), buckets, 5), "block", "left").mapInArrow(
-        each(tied_kind, narrow), tied_kind), "repeat-tied")
-    live = tied.filter(F.size("ids") > 0).drop("done")
-    opened = staged(live.join(ties(live, long_hashes, buckets, 8), "block", "left").mapInArrow(each(open_kind, settle), open_kind), "repeat-open")
-    found = opened.join(ties(opened, open_hashes, buckets, 8), "block", "left").mapInArrow(each(result, finish), result)
-    return found.unionByName(tied.select(F.explode("done").alias("d")).select("d.*")).withColumnRenamed("id", id_col)
+    blocks = rows.mapInArrow(make_blocks, block_kind)
+    staged_blocks = staged(blocks.join(ties(rows, first_suffixes, buckets), "block", "left").mapInArrow(narrow, live_kind), "repeat-blocks")
+    live = staged_blocks.filter(F.size("ids") > 0).drop("done")
+    found = live.join(ties(live.drop("ids", "settled"), last_suffixes, buckets), "block", "left").mapInArrow(finish, result)
+    return found.unionByName(staged_blocks.select(F.explode("done").alias("d")).select("d.*")).withColumnRenamed("id", id_col)
 
 
-def coarse(hashes: np.ndarray) -> np.ndarray:
-    """The 32 leading bits, which choose the bucket, and 16 more: what 5 bytes and a bucket can carry."""
-    return hashes & np.uint64(0xFFFFFFFFFFFF0000)
+def places(mask: bytes, t: Texts) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(unpacked(mask), count=len(t.data)))
 
 
 def frame(schema: StructType, rows: list[dict]) -> list[pa.RecordBatch]:

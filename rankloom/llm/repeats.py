@@ -1,10 +1,10 @@
 """Repeated byte strings by blockwise suffix sorting with a difference cover (operator 1).
 
 A position starts a repeat if the ``length`` bytes from it also start elsewhere. Suffixes are compared to that depth only.
-The positions i of a document with i mod 133 in a perfect difference cover are its sample: whatever the places of two equal
-strings of 200 bytes, some offset below 133 puts both on sample positions, where 68 bytes or more are still equal.
+The positions i of a document with i mod 91 in a perfect difference cover are its sample: whatever the places of two equal
+strings of 200 bytes, some offset below 91 puts both on sample positions, where 110 bytes or more are still equal.
 
-1. Sample suffixes, cut at 68 bytes, are dealt to buckets, one bucket is sorted at a time, and equal ones get a tie mark. Only
+1. Sample suffixes, cut at 110 bytes, are dealt to buckets, one bucket is sorted at a time, and equal ones get a tie mark. Only
    positions with a tied sample within reach can start a repeat: elsewhere no further suffix is built.
 2. Long ties are settled in runs: anchors, positions chosen by the 16 bytes that follow, have their suffixes sorted at 200 bytes
    and the way to the next anchor. A tie there settles all positions from one anchor to the next.
@@ -37,9 +37,9 @@ from rankloom.llm.common import by_size, parts, query, table
 from rankloom.llm.words import Hasher
 from rankloom.storage import scratch_path
 
-#: A perfect difference cover: each number from 1 to 132 is the difference of one pair, mod 133. Fixed values.
-COVER = (1, 10, 11, 13, 27, 31, 68, 75, 83, 110, 115, 121)
-PERIOD = 133
+#: A perfect difference cover: each number from 1 to 90 is the difference of one pair, mod 91. Fixed values.
+COVER = (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
+PERIOD = 91
 BLOCK = 3_000_000
 #: Bytes that choose an anchor, one place in how many is one, and the farthest that one settles.
 ANCHOR, EVERY, WAY = 16, 64, 512

@@ -136,23 +136,22 @@ def ties(rows: DataFrame, suffixes: Callable, buckets: int) -> DataFrame:
     """(block, marks): for each block, per kind and bucket two bits for each distinct suffix: it stands elsewhere too; this block
     is the one that speaks for it.
 
-    ``suffixes(batch, hasher)`` gives (block, [hashes of kind 0, of kind 1, ...]); ``WIDTHS`` bytes of each are dealt.
+    ``suffixes(batches, hasher)`` gives (block, [hashes of kind 0, of kind 1, ...]); ``WIDTHS`` bytes of each are dealt.
     """
     dealt = StructType([StructField("kind", IntegerType()), StructField("bucket", IntegerType()), StructField("block", LongType()),
                         StructField("hashes", BinaryType()), StructField("twice", BinaryType())])
 
     def deal(batches):
         hasher = Hasher()
-        for batch in batches:
-            for block, kinds in suffixes(batch, hasher):
-                for kind, hashes in kinds:
-                    h, times = np.unique(hashes, return_counts=True)
-                    at = bounds(h, buckets)
-                    some = np.flatnonzero(np.diff(at))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([kind] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
-                        pa.array([steps(h[at[b]:at[b + 1]], WIDTHS[kind]) for b in some], pa.binary()),
-                        pa.array([np.packbits(times[at[b]:at[b + 1]] > 1).tobytes() for b in some], pa.binary())], names=dealt.names)
+        for block, kinds in suffixes(batches, hasher):
+            for kind, hashes in kinds:
+                h, times = np.unique(hashes, return_counts=True)
+                at = bounds(h, buckets)
+                some = np.flatnonzero(np.diff(at))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([kind] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
+                    pa.array([steps(h[at[b]:at[b + 1]], WIDTHS[kind]) for b in some], pa.binary()),
+                    pa.array([np.packbits(times[at[b]:at[b + 1]] > 1).tobytes() for b in some], pa.binary())], names=dealt.names)
 
     def sort(bucket: pa.Table) -> pa.Table:
         bucket = bucket.sort_by("block")  # so that a second run, after a loss, answers alike
@@ -213,21 +212,23 @@ def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
     live_kind = StructType(block_kind.fields + [StructField("settled", BinaryType()), StructField("open", BinaryType()),
                                                 StructField("done", ArrayType(result))])
 
-    def blocks_of(batch):
-        pairs = list(zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True))
-        for number, part in enumerate(by_size(pairs, lambda r: len(r[1]), BLOCK)):
-            data, sizes = b"".join(t for _, t in part), [len(t) for _, t in part]
-            name = hashlib.blake2b(data, digest_size=8, salt=repr((TaskContext.get().partitionId(), number)).encode()[:16])
-            name.update(repr(sizes).encode())
-            yield int.from_bytes(name.digest(), "big", signed=True), [i for i, _ in part], sizes, data
+    def blocks_of(batches):
+        number = 0  # of the task, not of the batch: two batches of the same rows are two blocks
+        for batch in batches:
+            pairs = list(zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True))
+            for part in by_size(pairs, lambda r: len(r[1]), BLOCK):
+                data, sizes = b"".join(t for _, t in part), [len(t) for _, t in part]
+                name = hashlib.blake2b(data, digest_size=8, salt=TaskContext.get().partitionId().to_bytes(8) + number.to_bytes(8))
+                name.update(repr(sizes).encode())
+                number += 1
+                yield int.from_bytes(name.digest(), "big", signed=True), [i for i, _ in part], sizes, data
 
     def make_blocks(batches):
-        for batch in batches:
-            for block, ids, sizes, data in blocks_of(batch):
-                yield from frame(block_kind, [{"block": block, "ids": ids, "sizes": sizes, "data": packed(np.frombuffer(data, np.uint8))}])
+        for block, ids, sizes, data in blocks_of(batches):
+            yield from frame(block_kind, [{"block": block, "ids": ids, "sizes": sizes, "data": packed(np.frombuffer(data, np.uint8))}])
 
-    def first_suffixes(batch, hasher: Hasher):
-        for block, _, sizes, data in blocks_of(batch):
+    def first_suffixes(batches, hasher: Hasher):
+        for block, _, sizes, data in blocks_of(batches):
             t = Texts(np.frombuffer(data, np.uint8), sizes)
             yield block, [(0, depth.samples(t, hasher)[1]), (1, depth.anchors(t, hasher)[2])]
 
@@ -253,10 +254,11 @@ def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
                     "block": row["block"], "ids": [i for i, on in zip(row["ids"], some, strict=True) if on], "sizes": t.sizes[some].tolist(),
                     "data": packed(t.data[keep]), "settled": packed(np.packbits(settled[keep])), "open": packed(np.packbits(to_sort[keep])), "done": done}])
 
-    def last_suffixes(batch, hasher: Hasher):
-        for row in batch.to_pylist():
-            t = Texts(unpacked(row["data"]), row["sizes"])
-            yield row["block"], [(2, t.hashes(places(row["open"], t), depth.repeat, hasher))]
+    def last_suffixes(batches, hasher: Hasher):
+        for batch in batches:
+            for row in batch.to_pylist():
+                t = Texts(unpacked(row["data"]), row["sizes"])
+                yield row["block"], [(2, t.hashes(places(row["open"], t), depth.repeat, hasher))]
 
     def finish(batches):
         hasher = Hasher()

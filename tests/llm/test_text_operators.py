@@ -140,6 +140,14 @@ def test_repeats_of_random_cuts(spark):
     assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans") == sorted(expected, key=repr)
 
 
+def test_repeats_of_a_run_of_copies(spark):
+    """Batches of one partition that hold the same rows are blocks of their own."""
+    docs = spark.range(0, 25_000, 1, 1).selectExpr("id AS doc_id", "repeat('0123456789', 30) AS text")
+    got = repeats.find_repeats(docs).drop("doc_id").distinct().collect()
+    assert [tuple(r) for r in got] == [(300, 300, 1, hashlib.sha256(b"").hexdigest(), [0, 300])]
+    assert repeats.find_repeats(docs).count() == 25_000
+
+
 def test_repeats_of_nothing(no_docs):
     assert repeats.find_repeats(no_docs).count() == 0
     with pytest.raises(ValueError):

@@ -130,6 +130,37 @@ def test_links_discount_and_siblings_stay():
     assert "item" not in text and text.count("Sentence") == 40
 
 
+BODY = "<p>Short lead.</p>" + f"<p>{'Body, with commas, and length. ' * 8}</p>" * 4 + "<blockquote>Said.</blockquote><ul><li>one</li></ul>"
+
+
+@pytest.mark.parametrize("html", [
+    "<article><h1>Title</h1><div class=body>BODY</div><p>After.</p></article>",
+    "<main><h1>Title</h1><p>Lead.</p><div>BODY</div><pre>code</pre></main>",
+    "<article><div class=entry-header><h1>Title</h1></div><div>BODY</div></article>",
+    "<div class='content no-sidebar'><article><h1>Title</h1>BODY</article></div>",
+    "<div class='post has-comments page_with_sidebar'><h1>Title</h1>BODY</div>",
+    "<main><div class='content sidebar-left'><h1>Title</h1>BODY</div></main>",
+    "<div class='post comments-open'><h1>Title</h1>BODY</div><p>x</p>",
+])
+def test_whole_article_stays(html):
+    page = "<body><nav>Menu</nav><div class=sidebar><p>Elsewhere, too.</p></div>" + html.replace("BODY", BODY) + "<footer>Foot</footer>"
+    text = pages.main_text(page)
+    assert text.startswith("Title\n\n") and "Short lead." in text and "Said." in text and "one" in text and text.count("Body, ") == 32
+    assert not any(w in text for w in ("Menu", "Elsewhere", "Foot")) and all(w in text for w in ("Lead.", "After.", "code") if w in html)
+
+
+def test_text_between_kept_siblings_stays():
+    story = f"<p>{'Sentence, with commas, and length. ' * 5}</p>" * 4
+    text = pages.main_text(f"<body><div>{story * 2}</div><h2>Part two</h2>loose words<p>Short.</p><div>{story}</div><div>{'x ' * 9}</div></body>")
+    assert [w for w in text.split("\n\n") if not w.startswith("Sentence")] == ["Part two", "loose words", "Short."]
+
+
+def test_long_comments_and_single_adverts_stay_out():
+    said = f"<p>{'So, true, yes, but, no. ' * 9}</p>" * 20
+    assert pages.main_text(f"<div><p>Body, text, here.</p></div><div id=comments>{said}</div>") == "Body, text, here."
+    assert pages.main_text("<div class=ad>Buy, now, here, cheap</div>") == ""
+
+
 def test_pages_on_awkward_rows(spark):
     deep = "<div>" * 20000 + "deep text" + "</x>" * 20000
     rows = [(1, "u", None), (2, None, ""), (3, "u", deep), (3, "u", deep), (4, "u", "<p" * 30000), (5, "u", "<!--" * 30000), (6, "u", "<a b='" * 5000 + "> t")]

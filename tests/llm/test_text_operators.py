@@ -194,6 +194,15 @@ def test_personal_data_native(docs):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_long_secrets_are_one_span(spark):
+    token = "aB3-_x.9+/" * 100
+    rows = [(i, f"login token={token} end {i}") for i in range(20)] + [(20, "key secret=" + "7" * 200_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = personal.label(docs, personal.fit(docs)).withColumn("safe", personal.redacted("text", "spans")).where("doc_id < 20")
+    assert sorted((r.doc_id, [(s.s, s.e, s.kind) for s in r.spans], r.safe) for r in got.collect()) == [
+        (i, [(6, 1012, "secret")], f"login [SECRET] end {i}") for i in range(20)]
+
+
 def test_labelers_are_weighed():
     """A labeler that contradicts the others is found unreliable."""
     rng = np.random.default_rng(0)

@@ -114,6 +114,9 @@ def edit_similarity(a: Column, b: Column) -> Column:
     return F.when(longest == 0, 1.0).otherwise(1.0 - F.levenshtein(a, b) / longest)
 
 
+# A character of a word in any script, an accent with its letter: what \b takes for one depends on the version of Java.
+WORD_CHAR = r"[\p{L}\p{M}\p{N}_]"
+
 # Words that end a team-like name, and the marks put in place of masked text.
 TEAM_WORDS = ("SC", "FC", "United", "Academy", "Club", "Soccer", "Futbol")
 MASKS = {"url": "[URL_REDACTED]", "team": "[TEAM_NAME_REDACTED]", "id": "[ID_REDACTED]", "time": "[TIMESTAMP_REDACTED]"}
@@ -125,7 +128,7 @@ def redact(text: Column, max_length: int | None = 500) -> Column:
     # Letters and blanks up to the last team word of a stretch of them. The look-behind lets a match begin at the
     # start of a stretch only; without it the search retries from every letter, quadratic in long documents.
     text = F.regexp_replace(text, rf"(?<![A-Za-z\s])[A-Za-z\s]+(?:{'|'.join(TEAM_WORDS)})", MASKS["team"])
-    text = F.regexp_replace(text, r"\b[0-9]{6,}\b", MASKS["id"])
+    text = F.regexp_replace(text, rf"(?<!{WORD_CHAR})[0-9]{{6,}}(?!{WORD_CHAR})", MASKS["id"])
     text = F.regexp_replace(text, r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?Z?", MASKS["time"])
     if max_length is None:
         return text
@@ -141,7 +144,7 @@ def first_number(text: Column) -> Column:
 
 def first_state(text: Column) -> Column:
     """First two-letter word in the text that is a US state, else an empty string."""
-    words = F.regexp_extract_all(F.upper(text), F.lit(r"\b([A-Z]{2})\b"), F.lit(1))
+    words = F.regexp_extract_all(F.upper(text), F.lit(rf"(?<!{WORD_CHAR})([A-Z]{{2}})(?!{WORD_CHAR})"), F.lit(1))
     valid = F.filter(words, lambda w: w.isin(*US_STATES))
     return F.coalesce(F.get(valid, F.lit(0)), F.lit(""))
 

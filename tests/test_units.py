@@ -104,6 +104,24 @@ def test_redaction_masks_and_cuts(spark):
     assert len(cut) == 450 + len("... and more failures") and cut.endswith("more failures")
 
 
+def test_word_ends_in_any_script(spark):
+    import itertools
+    import unicodedata
+    inner = lambda c: c == "_" or unicodedata.category(c)[0] in "LMN"
+
+    def plain(raw, allowed):
+        runs = ["".join(g) for word, g in itertools.groupby(raw, inner) if word]
+        return [w for w in runs if set(w) <= set(allowed)]
+    around = ["", " ", "É", "ß", "京", "я", "²", "e\u0301", "\u0301", "_", "7", "-", "€", "\u00a0"]
+    raws = [f"{a}{w}{b} {tail}" for a in around for b in around for w, tail in (("CA", "TX"), ("1234567", "x"))]
+    df = spark.createDataFrame([(r,) for r in raws], "raw string")
+    for r in df.select("raw", text.first_state(F.col("raw")).alias("state"), text.redact(F.col("raw"), None).alias("safe")).collect():
+        states = [w for w in plain(r.raw.upper(), "ACTX") if w in ("CA", "TX")]
+        assert r.state == (states[0] if states else "")
+        ids = [w for w in plain(r.raw, "0123456789") if len(w) >= 6]
+        assert r.safe == (r.raw.replace(ids[0], "[ID_REDACTED]") if ids else r.raw)
+
+
 def test_redaction_equals_the_plain_pattern(spark):
     import re
     for raw in ["FC", "FC ", " FC", "FCFC", "x SC y SC z", "ab\ncd Club9Club", "Soccer", "aSoccer1 Academy", "no words"]:

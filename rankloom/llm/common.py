@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +62,14 @@ def by_size(rows: Iterator[tuple], size: Callable[[tuple], int], limit: int) ->
         held += size(row)
     if block:
         yield block
+
+
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``limit`` bytes in a text column; a row larger than that is a slice of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop

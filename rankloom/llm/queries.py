@@ -5,7 +5,7 @@ from importlib import import_module
 from rankloom.llm import common
 
 MODULES = (
-    "vector_search", "decontamination", "sharding", "toxicity", "language", "packing", "pages", "personal", "near_copies", "repeats",
+    "vector_search", "decontamination", "sharding", "toxicity", "language", "packing", "pages", "personal", "near_copies", "repeats", "filter_audit", "chat_format", "prefix_trie",
 )
 
 

@@ -1,9 +1,8 @@
-"""Incremental jobs on Structured Streaming.
+"""Incremental jobs on Structured Streaming: append without repeats, tamper check, running totals.
 
-State that outlives a batch is a table of numbered versions in a folder all
-executors share: batch ``n`` reads the newest version below ``n`` and writes
-version ``n``. A repeated batch overwrites its own version, so results are the
-same after a failure.
+What is known per team is kept by ``streaming.state``. Here each batch writes a
+folder named by its number, so a repeated batch overwrites its own rows and
+results are the same after a failure.
 """
 
 from __future__ import annotations
@@ -16,20 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankloom.operators.identity import upsert_identities
-from rankloom.operators.integrity import diff_hashes, hash_games
+from rankloom.operators.digests import check_batch
+from rankloom.operators.integrity import hash_games
 from rankloom.operators.windows import best_row
 from rankloom.sources.files import list_paths
-from rankloom.storage import stage
+from rankloom.streaming.state import run_progress  # noqa: F401 - one of the jobs here, kept with its state
 
 #: Days of one batch that are named to prune the stored partitions; a batch with more reads them all.
 MAX_DAYS = 400
 
-PROGRESS = T.StructType([
-    T.StructField("team_id_master", T.StringType()), T.StructField("last_scraped", T.DateType()),
-    T.StructField("games_scraped", T.LongType()),
-])
-
 
 def game_stream(spark: SparkSession, folder: str, schema: T.StructType, file_filter: str | None = None,
                 files_per_batch: int | None = None) -> DataFrame:
@@ -69,43 +63,6 @@ class VersionedTable:
         df.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.root}/v{batch:012d}")
 
 
-# ---------------------------------------------------------------- progress
-
-def games_since(games: DataFrame, progress: DataFrame, as_of: Column, max_back: int = 365) -> DataFrame:
-    """Games on or after the team's last fetched date, at most ``max_back`` days old."""
-    last = progress.select(F.col("team_id_master").alias("_tid"), "last_scraped")
-    floor = F.date_sub(as_of, max_back)
-    since = F.greatest(F.coalesce("last_scraped", floor), floor)
-    return games.join(last, F.col("team_id_master") == F.col("_tid"), "left").where(F.col("date") >= since).drop(
-        "_tid", "last_scraped"
-    )
-
-
-def advance_progress(progress: DataFrame, games: DataFrame) -> DataFrame:
-    """Last game date and number of games per team after one more batch."""
-    seen = games.groupBy("team_id_master").agg(F.max("date").alias("last_scraped"), F.count("*").alias("games_scraped"))
-    return progress.unionByName(seen).groupBy("team_id_master").agg(
-        F.max("last_scraped").alias("last_scraped"), F.sum("games_scraped").alias("games_scraped")
-    )
-
-
-def run_progress(stream: DataFrame, folder: str, as_of: Column, max_back: int = 365) -> DataFrame:
-    """High-water mark per team over the stream: accepts new games, then moves the mark.
-
-    Games are judged by the mark as it stood before the run, so the result does
-    not depend on how the run's files are cut into batches.
-    """
-    spark = stream.sparkSession
-    table = VersionedTable(spark, f"{folder}/progress", PROGRESS)
-    mark = stage(table.before(), "mark")
-
-    def each(batch: DataFrame, number: int) -> None:
-        table.write(advance_progress(table.before(number), games_since(batch, mark, as_of, max_back)), number)
-
-    run_batches(stream, each, f"{folder}/offsets")
-    return table.before()
-
-
 # ---------------------------------------------------------------- append with dedupe
 
 def run_deduped(stream: DataFrame, folder: str, day_col: str, keys: Sequence[str]) -> DataFrame:
@@ -138,31 +95,18 @@ def run_deduped(stream: DataFrame, folder: str, day_col: str, keys: Sequence[str
     return spark.createDataFrame([], stream.schema) if games is None else games.select(*stream.columns)
 
 
-# ---------------------------------------------------------------- identities
-
-def run_identities(stream: DataFrame, folder: str, schema: T.StructType) -> DataFrame:
-    """Fold each batch of sightings into the identity map."""
-    table = VersionedTable(stream.sparkSession, f"{folder}/identities", schema)
-
-    def each(batch: DataFrame, number: int) -> None:
-        table.write(upsert_identities(table.before(number), batch).drop("is_new", "was_updated"), number)
-
-    run_batches(stream, each, f"{folder}/offsets")
-    return table.before()
-
-
 # ---------------------------------------------------------------- tamper check
 
-def run_integrity(stream: DataFrame, stored: DataFrame, folder: str, slice_cols: Sequence[str] = (),
+def run_integrity(stream: DataFrame, store: str, folder: str, slice_cols: Sequence[str] = (),
                   with_opponent: bool = False) -> DataFrame:
-    """Status of each arriving game against the stored hashes; deletions need the full picture and are not judged."""
+    """Status of each arriving game against the hash store (``operators.digests``), of which a batch reads the leaves it touches.
+
+    Deletions need the full picture and are not judged.
+    """
     out = f"{folder}/status"
 
     def each(batch: DataFrame, number: int) -> None:
-        current = hash_games(batch, slice_cols, with_opponent)
-        diff_hashes(stored, current, slice_cols).where("status <> 'deleted'").write.mode("overwrite").parquet(
-            f"{out}/batch={number}"
-        )
+        check_batch(hash_games(batch, slice_cols, with_opponent), store, slice_cols).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     run_batches(stream, each, f"{folder}/offsets")
     return stream.sparkSession.read.parquet(out).drop("batch")

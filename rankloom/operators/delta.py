@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rankloom.functions import text
 from rankloom.functions.strings import strip
 from rankloom.operators.clean import require_columns
+from rankloom.operators.matching import best_matches
 from rankloom.operators.windows import best_row
 from rankloom.schemas import COMPLETENESS_WEIGHTS, PROVIDER_PREFERENCE
 from rankloom.storage import stage
@@ -107,15 +108,16 @@ def similar_names(
     return pairs.select(*keys, "left_name", "right_name", "score").distinct()
 
 
-#: Ways to compare names: what they are cut into, and the overlap that a rename must exceed.
-SCORERS = {"letters": (text.trigrams, 0.5), "words": (text.name_tokens, 0.7)}
+#: Ways to compare names: what they are cut into (none: the weighted score), and what a rename must exceed.
+SCORERS = {"letters": (text.trigrams, 0.5), "words": (text.name_tokens, 0.7), "weighted": (None, 0.7)}
 
 
 def renamed_teams(new: DataFrame, old: DataFrame, threshold: float | None = None, key_cols: Sequence[str] = CELL,
                   scorer: str = "letters") -> DataFrame:
     """Best old name above the threshold for each new name, in cells whose team counts differ.
 
-    ``scorer`` is letters (groups of three, which forgives typing errors) or words.
+    ``scorer`` is letters (groups of three, which forgives typing errors), words, or weighted (the best of plain, sorted,
+    set and window forms, see ``operators.matching``).
 
     Cells of equal size are skipped. Ties go to the smaller old name. Every team
     row with that name appears, next to the first old row of the matched name.
@@ -126,9 +128,12 @@ def renamed_teams(new: DataFrame, old: DataFrame, threshold: float | None = None
     sizes_new = new.groupBy(*keys).agg(F.count("*").alias("_n_new"))
     sizes_old = old.groupBy(*keys).agg(F.count("*").alias("_n_old"))
     uneven = sizes_new.join(sizes_old, keys).where("_n_new <> _n_old").select(*keys)
-    pairs = similar_names(new.join(uneven, keys, "left_semi"), old.join(uneven, keys, "left_semi"), keys,
-                          threshold, strict=True, tokens=tokens)
-    best = best_row(pairs, [*keys, "left_name"], [F.desc("score"), F.asc("right_name")])
+    sides = [build.join(uneven, keys, "left_semi") for build in (new, old)]
+    if tokens is None:
+        best = best_matches(*sides, keys, threshold)
+    else:
+        pairs = similar_names(*sides, keys, threshold, strict=True, tokens=tokens)
+        best = best_row(pairs, [*keys, "left_name"], [F.desc("score"), F.asc("right_name")])
     extra = [c for c in ("rank", "points") if c in old.columns and c in new.columns]
     first_old = best_row(
         old.select(*keys, F.col("team_name").alias("right_name"), *[F.col(c).alias(f"old_{c}") for c in extra]),

@@ -10,8 +10,8 @@ strings of 200 bytes, some offset below 91 puts both on sample positions, where
    and the way to the next anchor. A tie there settles all positions from one anchor to the next.
 3. The suffixes still open, near the ends of matches, and one copy of each settled one are sorted at 200 bytes.
 
-A suffix is represented by the 64-bit hash of its prefix (32 bits and the bucket in step 1, whose false ties cost only
-work), since equality at a fixed depth is all that is asked; so buckets hold numbers, not texts, and ties within a block of
+A suffix is represented by the 64-bit hash of its prefix (in step 1 by its leading 5 bytes, 6 above some 30 GB and 7 above
+10 TB, so that false ties, which cost only work, stay below one sample in 256), since equality at a fixed depth is all that is asked; so buckets hold numbers, not texts, and ties within a block of
 texts are joined before they are dealt. Answers come back as bits per suffix and block. Buckets grow in number with the
 input, so memory is bounded by block and bucket. Blocks are whole documents of one task, about ``BLOCK`` bytes; they are named by
 their content, so a lost task that comes back with other rows is an error, not a wrong answer.
@@ -43,8 +43,8 @@ PERIOD = 91
 BLOCK = 3_000_000
 #: Bytes that choose an anchor, one place in how many is one, and the farthest that one settles.
 ANCHOR, EVERY, WAY = 16, 64, 512
-#: Bytes of a hash that are dealt for samples, anchors and open suffixes.
-WIDTHS = (4, 8, 8)
+#: Bytes of a hash that are dealt for anchors and open suffixes; and the fewest for samples, of which larger inputs need more.
+FULL, LEAST = 8, 5
 #: Bytes of hashes that a bucket should hold on average.
 BUCKET = 16_000_000
 
@@ -87,20 +87,28 @@ class Texts:
         return hasher.of(self.sums, at, at + length)
 
 
+def sample_width(held: int) -> int:
+    """Bytes of a sample's hash with which at most one sample in 256 is tied by chance, over so many bytes of text."""
+    samples = max(1, held * len(COVER) // PERIOD)
+    return min(FULL, max(LEAST, -(-(samples.bit_length() + 8) // 8)))
+
+
 class Depths:
-    """Which suffixes of a block are compared, and how far."""
+    """Which suffixes of a block are compared, how far, and by how many bytes of a hash per kind."""
 
-    def __init__(self, length: int) -> None:
+    def __init__(self, length: int, width: int = LEAST) -> None:
         if length < PERIOD + 15:
             raise ValueError(f"repeats must be of {PERIOD + 15} bytes or more")
         self.repeat, self.sample = length, length - PERIOD + 1
+        self.widths = (width, FULL, FULL)
+        self.sieve = ~np.uint64((1 << (64 - 8 * width)) - 1)
 
     def samples(self, t: Texts, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
         """Positions and hashes of the sample."""
         cover = np.zeros(PERIOD, bool)
         cover[list(COVER)] = True
         at = np.flatnonzero(cover[t.place % PERIOD] & (t.left >= self.sample))
-        return at, t.hashes(at, self.sample, hasher) & np.uint64(0xFFFFFFFF00000000)
+        return at, t.hashes(at, self.sample, hasher) & self.sieve
 
     def anchors(self, t: Texts, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Positions, ways to the next anchor (or ``WAY``), and hashes."""
@@ -132,11 +140,11 @@ def bounds(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.append(np.searchsorted(sorted_hashes >> np.uint64(32), lows[:-1]), len(sorted_hashes))
 
 
-def ties(rows: DataFrame, suffixes: Callable, buckets: int) -> DataFrame:
+def ties(rows: DataFrame, suffixes: Callable, buckets: int, widths: tuple[int, ...]) -> DataFrame:
     """(block, marks): for each block, per kind and bucket two bits for each distinct suffix: it stands elsewhere too; this block
     is the one that speaks for it.
 
-    ``suffixes(batches, hasher)`` gives (block, [hashes of kind 0, of kind 1, ...]); ``WIDTHS`` bytes of each are dealt.
+    ``suffixes(batches, hasher)`` gives (block, [hashes of kind 0, of kind 1, ...]); ``widths`` bytes of each are dealt.
     """
     dealt = StructType([StructField("kind", IntegerType()), StructField("bucket", IntegerType()), StructField("block", LongType()),
                         StructField("hashes", BinaryType()), StructField("twice", BinaryType())])
@@ -150,12 +158,12 @@ def ties(rows: DataFrame, suffixes: Callable, buckets: int) -> DataFrame:
                 some = np.flatnonzero(np.diff(at))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([kind] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
-                    pa.array([steps(h[at[b]:at[b + 1]], WIDTHS[kind]) for b in some], pa.binary()),
+                    pa.array([steps(h[at[b]:at[b + 1]], widths[kind]) for b in some], pa.binary()),
                     pa.array([np.packbits(times[at[b]:at[b + 1]] > 1).tobytes() for b in some], pa.binary())], names=dealt.names)
 
     def sort(bucket: pa.Table) -> pa.Table:
         bucket = bucket.sort_by("block")  # so that a second run, after a loss, answers alike
-        width = WIDTHS[bucket.column("kind")[0].as_py()]
+        width = widths[bucket.column("kind")[0].as_py()]
         held = [unstepped(x, width) for x in bucket.column("hashes").to_pylist()]
         sizes, hashes = [len(x) for x in held], np.concatenate(held)
         order = np.argsort(hashes)
@@ -202,9 +210,11 @@ def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
 
     ``docs`` are read twice and must come in the same order, as files do.
     """
-    spark, depth = docs.sparkSession, Depths(length)
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    kind = rows.schema["id"].dataType
+    held = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    depth, kind = Depths(length, sample_width(held)), rows.schema["id"].dataType
+    buckets = max(4 * parts(spark), int(held * 8 * len(COVER) / PERIOD / BUCKET))
     result = StructType([StructField("id", kind), StructField("n_bytes", LongType()), StructField("n_removed", LongType()),
                          StructField("n_spans", LongType()), StructField("kept_sha256", StringType()), StructField("spans", ArrayType(LongType()))])
     block_kind = StructType([StructField("block", LongType()), StructField("ids", ArrayType(kind)), StructField("sizes", ArrayType(LongType())),
@@ -275,12 +285,10 @@ def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
                                 "kept_sha256": hashlib.sha256(t.data[a:b][~gone[a:b]].tobytes()).hexdigest(), "spans": edges.tolist()})
                 yield from frame(result, out)
 
-    held = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(4 * parts(spark), int(held * 8 * len(COVER) / PERIOD / BUCKET))
     blocks = rows.mapInArrow(make_blocks, block_kind)
-    staged_blocks = staged(blocks.join(ties(rows, first_suffixes, buckets), "block", "left").mapInArrow(narrow, live_kind), "repeat-blocks")
+    staged_blocks = staged(blocks.join(ties(rows, first_suffixes, buckets, depth.widths), "block", "left").mapInArrow(narrow, live_kind), "repeat-blocks")
     live = staged_blocks.filter(F.size("ids") > 0).drop("done")
-    found = live.join(ties(live.drop("ids", "settled"), last_suffixes, buckets), "block", "left").mapInArrow(finish, result)
+    found = live.join(ties(live.drop("ids", "settled"), last_suffixes, buckets, depth.widths), "block", "left").mapInArrow(finish, result)
     return found.unionByName(staged_blocks.select(F.explode("done").alias("d")).select("d.*")).withColumnRenamed("id", id_col)
 
 

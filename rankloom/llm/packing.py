@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import zlib
 from bisect import bisect_right, insort
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ from rankloom.llm.common import by_size, query, table
 WINDOW = 4096
 END = 2
 UNIT = 8_000_000
-#: Exact combinations enumerated per longest member; words kept by a task before it forgets them.
-TRIPLES, KEPT_WORDS = 4, 400_000
+#: Characters that are encoded at a time: the arrays of words and places are many times the text, the ids are not.
+STEP = 1_000_000
+#: Exact combinations enumerated per longest member; words, and characters in them, kept by a task before it forgets them.
+TRIPLES, KEPT_WORDS, KEPT_CHARS = 4, 400_000, 16_000_000
 SWEEPS = 8
 PIECE = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
@@ -59,10 +62,11 @@ class Encoder:
     def forget(self) -> None:
         self.words, self.ids, self.at = Words(), np.array([END], np.uint32), np.array([0, 1], np.int64)
         self.words["\n"] = 0  # stands for the end of a text: no word has a line feed
+        self.chars = 0
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (with the end)."""
-        if len(self.words) > KEPT_WORDS:
+        if len(self.words) > KEPT_WORDS or self.chars > KEPT_CHARS:
             self.forget()
         known, numbers, sizes = len(self.words), [], []
         for text in texts:
@@ -70,7 +74,8 @@ class Encoder:
             numbers += map(self.words.__getitem__, words)
             numbers.append(0)
             sizes.append(len(words) + 1)
-        new = list(self.words)[known:]
+        new = list(islice(self.words, known, None))
+        self.chars += sum(map(len, new))
         coded = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
         self.ids = np.concatenate([self.ids, np.fromiter((i for c in coded for i in c), np.uint32)])
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(c) for c in coded], dtype=np.int64)])
@@ -81,6 +86,16 @@ class Encoder:
         return ids, np.concatenate([[0], ends[np.cumsum(sizes) - 1]]) if texts else np.zeros(1, np.int64)
 
 
+def encoded(encode: Encoder, unit: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
+    """As the encoder gives it, for a unit of any size: steps are encoded one by one and only their ids are kept."""
+    ids, sizes = [], [np.zeros(1, np.int64)]
+    for step in by_size(iter(unit), lambda r: len(r[1]), STEP):
+        found, at = encode([t for _, t in step])
+        ids.append(found)
+        sizes.append(np.diff(at))
+    return np.concatenate(ids), np.cumsum(np.concatenate(sizes))
+
+
 def combinations(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, ...]]:
     """Sets of two or three of the lengths that fill the window exactly, longest first."""
     there = np.zeros(window + 1, bool)
@@ -167,9 +182,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         encode, sequence = Encoder(tokenizer), TaskContext.get().partitionId() << 32
         for batch in batches:
-            texts = [(i, t or "") for i, t in enumerate(batch.column(1).to_pylist())]
+            texts = ((i, t.as_py() or "") for i, t in enumerate(batch.column(1)))
             for unit in by_size(texts, lambda r: len(r[1]), UNIT):
-                ids, at = encode([t for _, t in unit])
+                ids, at = encoded(encode, unit)
                 pieces = []
                 for parts in packed(np.diff(at)):
                     offset = 0

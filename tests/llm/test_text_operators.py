@@ -267,3 +267,21 @@ def test_least_squares_uses_exact_sets():
 
 def test_packing_of_nothing(no_docs):
     assert packing.pack(no_docs, packing.public_vocabulary()).count() == 0
+
+
+def test_packing_of_long_words_forgets_them(spark, monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_CHARS", 1_000_000)
+    encode = packing.Encoder(packing.public_vocabulary())
+    blobs = ["ab" * 700_000 + str(i) for i in range(3)]
+    for blob in blobs:
+        ids, at = packing.encoded(encode, [(0, blob), (1, "a b")])
+        assert encode.chars < 3_000_000 and ids[-1] == packing.END and at[-1] == len(ids) and len(at) == 3
+    rows = packing.pack(spark.createDataFrame(list(enumerate(blobs)), "doc_id long, text string"), packing.public_vocabulary()).collect()
+    for i, blob in enumerate(blobs):
+        ids, _ = packing.Encoder(packing.public_vocabulary())([blob])
+        pieces = sorted(r for r in rows if r["doc_id"] == i)
+        assert sum(r["length"] for r in pieces) == len(ids) == pieces[0]["doc_tokens"]
+
+
+def test_sample_hashes_widen_with_the_input():
+    assert [repeats.sample_width(n) for n in (0, 10**9, 3 * 10**10, 10**12, 10**14)] == [5, 5, 5, 6, 7]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -73,3 +74,11 @@ def by_bytes(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.Reco
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(start, stop - start)
         start = stop
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: Python workers live on and would keep it through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rankloom.llm.common import by_size, query, table
+from rankloom.llm.common import by_size, give_back, query, table
 
 WINDOW = 4096
 END = 2
@@ -38,6 +38,8 @@ STEP = 1_000_000
 #: Exact combinations enumerated per longest member; words, and characters in them, kept by a task before it forgets them.
 TRIPLES, KEPT_WORDS, KEPT_CHARS = 4, 400_000, 16_000_000
 SWEEPS = 8
+#: Words encoded together; characters at which Python parts words and the vocabulary does not.
+TOGETHER, PARTED = 1000, "\x1c\x1d\x1e\x1f"
 PIECE = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -57,6 +59,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        special = sorted((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
+        self.mark_id, self.mark = special[0] if special else (None, None)
         self.forget()
 
     def forget(self) -> None:
@@ -64,21 +68,39 @@ class Encoder:
         self.words["\n"] = 0  # stands for the end of a text: no word has a line feed
         self.chars = 0
 
+    def code(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, and how many each has. Words are encoded together, parted by a special token that none of them holds."""
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for start in range(0, len(words), TOGETHER):
+            part = words[start:start + TOGETHER]
+            joined = self.mark.join(part) if self.mark else ""
+            if self.mark and joined.count(self.mark) == len(part) - 1:
+                found = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+                marks = np.append(np.flatnonzero(found == self.mark_id), len(found))
+                ids.append(found[found != self.mark_id])
+                counts.append(np.diff(marks, prepend=-1) - 1)
+            else:
+                coded = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                ids.append(np.array([i for c in coded for i in c], np.uint32))
+                counts.append(np.array([len(c) for c in coded], np.int64))
+        return np.concatenate(ids), np.concatenate(counts)
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (with the end)."""
         if len(self.words) > KEPT_WORDS or self.chars > KEPT_CHARS:
             self.forget()
         known, numbers, sizes = len(self.words), [], []
         for text in texts:
-            words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            # The short way parts at four control characters as well, which are no blanks for the vocabulary.
+            words = text.split() if not any(c in text for c in PARTED) else text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
             numbers += map(self.words.__getitem__, words)
             numbers.append(0)
             sizes.append(len(words) + 1)
         new = list(islice(self.words, known, None))
         self.chars += sum(map(len, new))
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.ids = np.concatenate([self.ids, np.fromiter((i for c in coded for i in c), np.uint32)])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(c) for c in coded], dtype=np.int64)])
+        coded, counts = self.code(new)
+        self.ids = np.concatenate([self.ids, coded])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(counts, dtype=np.int64)])
         order = np.array(numbers, np.int64)
         length = np.diff(self.at)[order]
         ends = np.cumsum(length)
@@ -197,6 +219,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 columns = list(zip(*pieces, strict=True))
                 owner = batch.column(0).take(pa.array(columns[0], pa.int64()))
                 yield pa.RecordBatch.from_arrays([owner] + [pa.array(c, pa.int64()) for c in columns[1:]], names=schema.names)
+        del encode
+        give_back()
 
     return rows.mapInArrow(run, schema)
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from rankloom.llm.common import fold, query, table
+from rankloom.llm.common import fold, give_back, query, table
 from rankloom.llm.words import Block, Hasher, map_texts, mixed, word_bytes
 
 FIT_ROWS = 2000
@@ -89,11 +89,14 @@ def logistic(x: np.ndarray) -> np.ndarray:
 
 def token_labels(kinds: np.ndarray, doc: np.ndarray, toxic: np.ndarray, clean_weight: float) -> np.ndarray:
     """Tokens of toxic documents that have one of the picked features."""
-    pairs = np.concatenate([np.unique(doc.astype(np.int64) * BUCKETS + c) for c in kinds.T])
-    docs, buckets = pairs // BUCKETS, pairs % BUCKETS
-    of_toxic = toxic[docs] == 1
-    clean = clean_weight * np.bincount(buckets[~of_toxic], minlength=BUCKETS)
-    docs, buckets = docs[of_toxic], buckets[of_toxic]
+    clean, docs, buckets = np.zeros(BUCKETS), [], []
+    for column in kinds.T:  # one kind at a time: pairs of document and bucket are many times the tokens
+        pairs = np.unique(doc.astype(np.int64) * BUCKETS + column)
+        of_toxic = toxic[pairs // BUCKETS] == 1
+        clean += clean_weight * np.bincount(pairs[~of_toxic] % BUCKETS, minlength=BUCKETS)
+        docs.append((pairs[of_toxic] // BUCKETS).astype(np.int32))
+        buckets.append((pairs[of_toxic] % BUCKETS).astype(np.int32))
+    docs, buckets = np.concatenate(docs), np.concatenate(buckets)
     every = np.bincount(buckets, minlength=BUCKETS)
     pure = (every + 0.5) / (every + clean + 1.0)
     pure[0] = 0.0
@@ -185,8 +188,8 @@ def fitted(texts: list[bytes], toxic: np.ndarray, clean_weight: float = 1.0) ->
     blocks, docs, at = [], [], 0
     for start in range(0, len(texts), size):
         block = Block(texts[start:start + size], member, hasher)
-        blocks.append((features(block), *sequences(block), block))
-        docs.append(block.owner() + start)
+        blocks.append((features(block), *sequences(block)))
+        docs.append((block.owner() + start).astype(np.int32))
     if not toxic.any() or toxic.all():
         share = min(max(float(toxic.mean()) if len(toxic) else 0.0, 1e-9), 1 - 1e-9)
         field.final[2] = np.log(share / (1 - share))
@@ -196,11 +199,16 @@ def fitted(texts: list[bytes], toxic: np.ndarray, clean_weight: float = 1.0) ->
     seen = np.bincount(kinds.ravel(), minlength=BUCKETS) >= 2
     seen[0] = False
     ready = []
-    for kinds, opens, lengths, _ in blocks:
+    del kinds
+    for kinds, opens, lengths in blocks:
         ready.append((kinds, opens, lengths, labels[at:at + len(kinds)]))
         at += len(kinds)
     field.fit(ready, seen)
-    design = np.concatenate([summary(field.marginals(b[3]), b[3]) for b in blocks])
+    design = []
+    for start in range(0, len(texts), size):
+        block = Block(texts[start:start + size], member, hasher)
+        design.append(summary(field.marginals(block), block))
+    design = np.concatenate(design)
     field.final = calibrate(design, toxic.astype(float), np.where(toxic == 1, 1.0, clean_weight))
     return field
 
@@ -223,6 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Field:
         rows = sorted(unique.items())
         field = fitted([t.encode() for t, _ in rows], np.array([y for _, y in rows], np.int64), weight)
         yield pd.DataFrame({"field": [pickle.dumps(vars(field))]})
+        give_back()
 
     field = Field()
     trained = found.coalesce(1).mapInPandas(train, "field binary").collect()  # a bounded sample: one task

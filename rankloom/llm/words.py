@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from rankloom.llm.common import by_size, text_bytes
+from rankloom.llm.common import by_size, give_back, text_bytes
 
 #: Bytes of text that one NumPy step works on; a longer text is a step of its own.
 BLOCK = 2_000_000
@@ -35,6 +35,8 @@ def map_texts(df: DataFrame, make: Callable[[], Callable], fields: StructType, t
             done = [work(block) for block in by_size(texts, len, BLOCK)]
             new = [pa.array([v for part in done for v in part[i]], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + new, names=schema.names)
+        del work
+        give_back()
 
     return df.select(*[f"`{c}`" for c in read]).mapInArrow(run, schema)
 

@@ -285,3 +285,15 @@ def test_packing_of_long_words_forgets_them(spark, monkeypatch):
 
 def test_sample_hashes_widen_with_the_input():
     assert [repeats.sample_width(n) for n in (0, 10**9, 3 * 10**10, 10**12, 10**14)] == [5, 5, 5, 6, 7]
+
+
+def test_words_encoded_together_equal_words_alone():
+    encode = packing.Encoder(packing.public_vocabulary())
+    words = ["a", "Größe,", "naïve", "<|startoftext|>", "x<|endoftext|>y", "\x1c", "e\u0301", "'s", "don't", "42nd", "京都", "😀", "", "a"]
+    for some in (words, [w for w in words if w != "<|startoftext|>"] * 700, []):
+        ids, counts = encode.code(some)
+        alone = [e.ids for e in encode.tokenizer.encode_batch(some, add_special_tokens=False)]
+        assert counts.tolist() == [len(a) for a in alone] and ids.tolist() == [i for a in alone for i in a]
+    text = "a\x1cb  c\u00a0d\u2028e\nf\tg\x0bh\u3000i"
+    ids, _ = encode([text])
+    assert ids.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids + [packing.END]

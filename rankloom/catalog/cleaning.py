@@ -243,11 +243,9 @@ def b23(spark, sf):
 
 @query("b24_points_and_state", f"""
 SELECT doc_id, coalesce(try_cast(regexp_extract(text, '([0-9]+)', 1) AS BIGINT), 0) AS points,
-       coalesce(list_filter(regexp_extract_all(upper(text), '\\b([A-Z]{{2}})\\b', 1), lambda w: w IN {inlist(US_STATES)})[1], '') AS state
-FROM (SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7F]', ' ', 'g') AS text FROM documents) d""")
+       coalesce(list_filter(regexp_extract_all(upper(text), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+'), lambda w: w IN {inlist(US_STATES)})[1], '') AS state FROM documents""")
 def b24(spark, sf):
-    # Letters outside ASCII become blanks so that both engines see the same word ends.
-    docs = A.table(spark, sf, "documents").select("doc_id", F.regexp_replace("text", r"[^\x00-\x7F]", " ").alias("text"))
+    docs = A.table(spark, sf, "documents")
     return docs.select("doc_id", text.first_number(F.col("text")).alias("points"), text.first_state(F.col("text")).alias("state"))
 
 
@@ -288,22 +286,23 @@ def b28(spark, sf):
     return f.select("custkey", "copy", text.name_year(F.col("raw")).alias("year"), text.name_without_year(F.col("raw")).alias("name"))
 
 
+# Word ends in any script, without look-arounds: a number between two other characters, twice, since neighbours share one.
+_ID = "'(^|[^\\p{L}\\p{M}\\p{N}_])[0-9]{6,}($|[^\\p{L}\\p{M}\\p{N}_])', '\\1[ID_REDACTED]\\2', 'g')"
 _REDACT = (
-    "regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, 'https?://[^\\s]+', '[URL_REDACTED]', 'g'), "
-    "'[A-Za-z\\s]+(?:SC|FC|United|Academy|Club|Soccer|Futbol)', '[TEAM_NAME_REDACTED]', 'g'), "
-    "'\\b[0-9]{6,}\\b', '[ID_REDACTED]', 'g'), "
+    f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, 'https?://[^\\s]+', '[URL_REDACTED]', 'g'), "
+    f"'[A-Za-z\\s]+(?:SC|FC|United|Academy|Club|Soccer|Futbol)', '[TEAM_NAME_REDACTED]', 'g'), {_ID}, {_ID}, "
     "'[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\\.[0-9]+)?Z?', '[TIMESTAMP_REDACTED]', 'g')"
 )
 
 
 @query("b29_text_redaction", f"""
-SELECT doc_id, md5({_REDACT}) AS whole, md5(CASE WHEN length({_REDACT}) > 500 THEN substr({_REDACT}, 1, 450) || '... and more failures' ELSE {_REDACT} END) AS short
-FROM (SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7F]', ' ', 'g') || ' seen 2001-02-03T04:05:06Z at https://x.example.com/' || doc_id || ' by Mesa United 1234567' AS text FROM documents) d""")
+SELECT doc_id, md5(safe) AS whole, md5(CASE WHEN length(safe) > 500 THEN substr(safe, 1, 450) || '... and more failures' ELSE safe END) AS short FROM (
+  SELECT doc_id, {_REDACT} AS safe FROM (
+    SELECT doc_id, text || ' seen 2001-02-03T04:05:06Z at https://x.example.com/' || doc_id || ' by Mesa United 1234567 7654321' AS text FROM documents) d) r""")
 def b29(spark, sf):
-    body = F.concat(F.regexp_replace("text", r"[^\x00-\x7F]", " "), F.lit(" seen 2001-02-03T04:05:06Z at https://x.example.com/"),
-                    F.col("doc_id").cast("string"), F.lit(" by Mesa United 1234567"))
-    docs = A.table(spark, sf, "documents").select("doc_id", body.alias("text"))
-    return docs.select("doc_id", F.md5(text.redact(F.col("text"), None)).alias("whole"), F.md5(text.redact(F.col("text"))).alias("short"))
+    body = F.concat("text", F.lit(" seen 2001-02-03T04:05:06Z at https://x.example.com/"), F.col("doc_id").cast("string"), F.lit(" by Mesa United 1234567 7654321"))
+    safe = A.table(spark, sf, "documents").select("doc_id", text.redact(body).alias("safe"))
+    return safe.select("doc_id", F.md5("safe").alias("whole"), F.md5(text.shortened(F.col("safe"))).alias("short"))
 
 
 @query("b30_team_search", "SELECT custkey, copy, team_name FROM feed WHERE regexp_matches(team_name, '(?i)district 1.*squad [0-9]*7$')")

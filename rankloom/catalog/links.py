@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from rankloom import adapters as A
 from rankloom.catalog.base import query, rounded
-from rankloom.catalog.sql import lst, tokens, with_ctes
-from rankloom.operators import clean, delta, integrity, link, reports
+from rankloom.catalog.sql import lst, scored_sql, tokens, with_ctes
+from rankloom.operators import clean, delta, digests, integrity, link, reports
 from rankloom.plans import ranking as R
-from rankloom.storage import stage
+from rankloom.storage import scratch_path, stage
 
 # The master index of the game queries: some suppliers are missing, some are known by their feed id only.
 MASTER_SQL = f"""
@@ -226,6 +226,26 @@ def c11_letters(spark, sf):
     return _renamed(spark, sf, "letters")
 
 
+@query("c11_renamed_by_score", with_ctes(f"""
+SELECT old_name AS old_team_name, n.team_name AS new_team_name, n.age_group, n.gender, n.state, round(score * 100, 6) AS similarity_score,
+       n.rank AS new_rank, first_rank AS old_rank
+FROM new_build n JOIN (
+  SELECT *, row_number() OVER (PARTITION BY age_group, gender, state, a ORDER BY round(score, 9) DESC, old_name) AS rn FROM (
+    SELECT age_group, gender, state, a, b AS old_name, score FROM ({scored_sql("SELECT * FROM side_pairs WHERE a <> b AND NOT settled")}) s
+    UNION ALL SELECT age_group, gender, state, a, b, 1.0 FROM side_pairs WHERE a = b) p WHERE round(score, 9) > 0.7) b
+  ON b.rn = 1 AND b.a = n.team_name AND b.age_group = n.age_group AND b.gender = n.gender AND b.state = n.state
+JOIN (SELECT age_group, gender, state, team_name, arg_min(rank, rank * 1000000 + points) AS first_rank FROM old_build GROUP BY 1, 2, 3, 4) f
+  ON f.team_name = b.old_name AND f.age_group = n.age_group AND f.gender = n.gender AND f.state = n.state""", {**VERSIONS, "side_pairs": """
+SELECT *, bool_or(a = b) OVER (PARTITION BY age_group, gender, state, a) AS settled FROM (
+  SELECT n.age_group, n.gender, n.state, n.team_name AS a, o.team_name AS b
+  FROM (SELECT DISTINCT age_group, gender, state, team_name FROM new_build WHERE team_name <> '') n
+  JOIN (SELECT DISTINCT age_group, gender, state, team_name FROM old_build WHERE team_name <> '') o USING (age_group, gender, state)
+  JOIN (SELECT age_group, gender, state FROM (SELECT age_group, gender, state, count(*) AS c FROM new_build GROUP BY 1, 2, 3) a
+        JOIN (SELECT age_group, gender, state, count(*) AS c FROM old_build GROUP BY 1, 2, 3) b USING (age_group, gender, state) WHERE a.c <> b.c) u USING (age_group, gender, state)) p"""}))
+def c11_score(spark, sf):
+    return _renamed(spark, sf, "weighted")
+
+
 @query("c14_baseline_merge", versions("""
 SELECT custkey, copy, team_id FROM old_build UNION ALL
 SELECT custkey, copy, team_id FROM (SELECT *, row_number() OVER (PARTITION BY team_id ORDER BY custkey, copy) AS rn FROM new_build
@@ -286,6 +306,15 @@ def c13(spark, sf):
     return _diff(spark, sf)
 
 
+@query("c13_digest_diff", with_ctes("""
+SELECT slice_key, 'game_' || k || '_' || strftime(o_orderdate, '%Y-%m-%d') AS game_id, status FROM status_rows JOIN orders ON o_orderkey = k""", HASHES))
+def c13_digests(spark, sf):
+    folder = scratch_path(spark, "hash-store")
+    stored, current = (integrity.hash_games(_order_games(spark, sf, c), ["slice_key"]) for c in (False, True))
+    digests.write_store(stored, folder, ["slice_key"])
+    return digests.diff_store(current, folder, ["slice_key"])
+
+
 @query("c13_game_hash", """
 SELECT 'game_' || team_id_source || '_' || game_date AS game_id, max(sha256('team_id_source:' || team_id_source || '|opponent_id:' || coalesce(opponent_id, 'NULL') || '|game_date:' || game_date
   || '|goals_for:' || coalesce(goals_for, 'NULL') || '|goals_against:' || coalesce(goals_against, 'NULL') || '|home_away:' || home_away)) AS game_hash
@@ -356,6 +385,14 @@ def c19(spark, sf):
     return rounded(reports.two_hop(A.game_norm(spark, sf), "3"), "connectivity_ratio")
 
 
+@query("c19_all_teams", with_ctes("""
+SELECT t AS team_id_master, count(*) AS network_teams FROM (
+  SELECT t, o AS n FROM met_once UNION SELECT a.t, b.o FROM met_once a JOIN met_once b ON a.o = b.t UNION SELECT team_id_master, team_id_master FROM game_norm) x GROUP BY 1""",
+    {"met_once": "SELECT DISTINCT team_id_master AS t, opponent_id_master AS o FROM game_norm WHERE opponent_id_master IS NOT NULL"}))
+def c19_all(spark, sf):
+    return reports.two_hop_all(A.game_norm(spark, sf))
+
+
 @query("c20_id_overlap", sql("""
 SELECT (SELECT count(DISTINCT team_id_master) FROM game_norm) AS team_ids, (SELECT count(DISTINCT opponent_id_master) FROM game_norm) AS opponent_ids,
        (SELECT count(DISTINCT team_id_master) FROM msx) AS master_ids,

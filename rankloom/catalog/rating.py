@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rankloom import adapters as A
 from rankloom.catalog.base import day_text, query, r6, rounded
-from rankloom.catalog.sql import with_ctes
+from rankloom.catalog.sql import CTES, with_ctes
 from rankloom.config import BASELINE, scenarios
 from rankloom.operators import clean, graph, ordering, windows
 from rankloom.plans import ranking as R
@@ -260,15 +260,23 @@ def r13_state(spark, sf):
     return rounded(_ranking(spark, sf, state=first).select("rank", "team_id_master", "powerscore_adj"), "powerscore_adj")
 
 
-@query("r13_ranking_by_pool", """
-WITH g AS (SELECT *, (SELECT max(l_shipdate)::DATE + 1 FROM lineitem) AS d FROM (""" + with_ctes("SELECT * FROM game_norm") + """) q),
-s AS (SELECT *, row_number() OVER (PARTITION BY gender, team_id_master ORDER BY date DESC, opponent_id_master NULLS LAST, gf, ga) AS i
-      FROM g WHERE date >= d - 365)
-SELECT gender, team_id_master, count(*) AS gp_used, strftime(max(date), '%Y-%m-%d') AS last_game_date FROM s WHERE i <= 30 GROUP BY 1, 2""")
+def _pool_sql(pool: str) -> str:
+    """The whole ranking over the games of one pool alone; every seventh team has no gender."""
+    games = f"""SELECT * FROM (SELECT * REPLACE (CASE WHEN team_id_master::BIGINT % 7 <> 0 THEN gender END AS gender) FROM ({CTES['game_norm']}) q) p
+WHERE gender IS NOT DISTINCT FROM {pool}"""
+    return with_ctes(f"""
+SELECT {pool} AS gender, rank, team_id_master, gp_used, strftime(last_game_date, '%Y-%m-%d') AS last_game_date, status,
+       {r6('sos_component')}, {r6('powerscore_adj')} FROM ranking WHERE scenario = 'baseline'""", {"game_norm": games})
+
+
+@query("r13_ranking_by_pool", "\nUNION ALL\n".join(f"SELECT * FROM ({_pool_sql(pool)}) x" for pool in ("'M'", "'F'", "NULL::VARCHAR")))
 def r13_pool(spark, sf):
     spec = _spec(spark, sf, pools=("gender",))
-    ranking = R.rank_teams(A.game_norm(spark, sf), spec, A.aliases(spark, sf))
-    return ranking.select("gender", "team_id_master", "gp_used", day_text("last_game_date"))
+    games = A.game_norm(spark, sf)
+    games = games.withColumn("gender", F.when(F.col("team_id_master").cast("long") % 7 != 0, F.col("gender")))
+    ranking = R.rank_teams(games, spec, A.aliases(spark, sf))
+    columns = ["gender", "rank", "team_id_master", "gp_used", day_text("last_game_date"), "status", "sos_component", "powerscore_adj"]
+    return rounded(ranking.select(*columns), "sos_component", "powerscore_adj")
 
 
 @query("r14_run_summary", f"""

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from rankloom import adapters as A
 from rankloom.catalog.base import query, rounded
 from rankloom.catalog.links import jaccard_sql
-from rankloom.catalog.sql import tokens
+from rankloom.catalog.sql import scored_sql, tokens
 from rankloom.functions import text
-from rankloom.operators import clean, delta, identity
+from rankloom.operators import clean, delta, identity, matching
 
 # Two names per part: the product name and a reordered or altered variant.
 PAIRS = """
@@ -57,6 +57,24 @@ def u02(spark, sf):
     return rounded(_pairs(spark, sf).select("p_partkey", text.edit_similarity(F.col("a"), F.col("b")).alias("score")), "score")
 
 
+# For every altered name the most similar product name of its size and kind.
+_BLOCKED = f"SELECT p.p_size AS size, p.p_type AS kind, q.a, q.b FROM ({PAIRS}) q JOIN part p USING (p_partkey)"
+
+
+@query("u02_best_match", f"""
+WITH n AS ({_BLOCKED}), l AS (SELECT DISTINCT size, kind, b FROM n), r AS (SELECT DISTINCT size, kind, a FROM n),
+s AS ({scored_sql("SELECT size, kind, l.b AS a, r.a AS b FROM l JOIN r USING (size, kind) WHERE l.b <> r.a")})
+SELECT size, kind, left_name, right_name, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY size, kind, left_name ORDER BY round(score, 9) DESC, right_name) AS rn FROM (
+    SELECT size, kind, a AS left_name, b AS right_name, score FROM s UNION ALL SELECT size, kind, b, a, 1.0 FROM l JOIN r USING (size, kind) WHERE l.b = r.a) u
+  WHERE round(score, 9) > 0.7) x WHERE rn = 1""")
+def u02_best(spark, sf):
+    parts = A.table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("size"), F.col("p_type").alias("kind"))
+    named = _pairs(spark, sf).join(parts, "p_partkey")
+    sides = [named.select("size", "kind", F.col(c).alias("team_name")) for c in ("b", "a")]
+    return rounded(matching.best_matches(*sides, ["size", "kind"], 0.7), "score")
+
+
 @query("u03_token_jaccard", f"SELECT p_partkey, round({jaccard_sql(f'list_distinct({tokens(chr(97))})', f'list_distinct({tokens(chr(98))})')}, 6) AS score FROM ({PAIRS}) p")
 def u03(spark, sf):
     return rounded(_pairs(spark, sf).select("p_partkey", text.name_similarity(F.col("a"), F.col("b")).alias("score")), "score")

@@ -14,7 +14,7 @@ from rankloom.catalog.summaries import BUILDS, _builds as _build_entries, _maste
 from rankloom.operators import clean, delta, identity, integrity, link, quality
 from rankloom.plans import ranking as R
 from rankloom.schemas import GAME_COLUMNS
-from rankloom.sources import files, payloads, sinks
+from rankloom.sources import files, payloads, sinks, store
 from rankloom.storage import scratch_path
 
 
@@ -138,7 +138,7 @@ def a08(spark, sf):
     ids = identity.observe_identities(_sightings(spark, sf))
     entry = F.struct(*[c for c in ids.columns if c != "team_id"])
     ids.select(F.to_json(F.create_map("team_id", entry)).alias("value")).write.text(path)
-    found = files.read_identity_map(spark, path, lines=True)
+    found = files.read_identity_map(spark, path)
     return found.select("team_id", F.get("aliases", F.lit(0)).alias("first_alias"), F.size("aliases").alias("aliases"), F.size("provider_ids").alias("feeds"))
 
 
@@ -164,7 +164,7 @@ def a10(spark, sf):
     docs = hashed.groupBy("slice_key", "team_id_source", "month").agg(
         F.map_from_entries(F.collect_list(F.struct("game_id", "game_hash"))).alias("games"), F.count("*").cast("int").alias("total_games"))
     docs.select("slice_key", F.lit("build_1").alias("build_id"), "total_games", "games").write.json(path)
-    found = files.read_hash_store(spark, path, lines=True)
+    found = files.read_hash_store(spark, path)
     return found.groupBy("slice_key").agg(F.count("*").alias("games"), F.countDistinct("game_id").alias("ids"))
 
 
@@ -198,9 +198,16 @@ def _matches(spark, sf, layout):
               F.col("competition").alias("competition_name"), F.struct(F.lit("Field 1").alias("name"), F.lit("Mesa").alias("city")).alias("venue")]
     extra = ([title.alias("title"), stamp.alias("match_date"), hg.alias("home_score"), ag.alias("away_score")] if layout == "history"
              else [stamp.alias("matchTime"), hg.alias("homeScore"), ag.alias("awayScore")])
+    # The same documents bare, as a list, and wrapped with their numbers as text; and cut short, for the reject side.
+    kind = (F.col("gf") + F.col("ga")).cast("int") % 3
+    number = lambda c: F.regexp_replace(c, r'"(team_id|home_score|away_score|homeScore|awayScore)":([0-9]+)', r'"$1":"$2"')
+    plain = F.to_json(F.struct(*common, *extra))
+    payload = F.when(kind == 0, plain).when(kind == 1, F.concat(F.lit("["), plain, F.lit("]"))).otherwise(
+        F.concat(F.lit('{"matches": ['), number(plain), F.lit("]}")))
+    broken = F.when((F.col("ga") == 3) & ~home, F.substring(plain, 1, 40))
     return g.select(
         F.lit("feed").alias("provider"), F.concat("team_id_master", F.lit(".0")).alias("team_id_source"), "team_id_master", F.col("team").alias("team_name"),
-        F.col("club").alias("club_name"), "age_group", "gender", "state", F.to_json(F.struct(*common, *extra)).alias("payload"))
+        F.col("club").alias("club_name"), "age_group", "gender", "state", F.explode(F.array_compact(F.array(payload, broken))).alias("payload"))
 
 
 def _match_sql(history: bool) -> str:
@@ -230,6 +237,13 @@ def a11_match(spark, sf):
     return _parsed(spark, sf, "match")
 
 
+@query("a11_rejected_payloads", """
+SELECT team_id_master, count(*) AS payloads FROM game_norm WHERE ga = 3 AND home_away = 'A' GROUP BY 1""")
+def a11_rejected(spark, sf):
+    _, rejected = payloads.read_payloads(_matches(spark, sf, "history"), payloads.MATCH_LISTS)
+    return rejected.groupBy("team_id_master").agg(F.count("*").alias("payloads"))
+
+
 def _pages(spark, sf, blank=True):
     """Customers in lists of at most 100: the team entries of one ranking page, some without a name."""
     ck = F.col("c_custkey")
@@ -303,12 +317,15 @@ def a14(spark, sf):
 # ---------------------------------------------------------------- A15-A24: writers, read back
 
 @query("a15_normalized_sink", """
-SELECT count(*) AS games, count(DISTINCT team_id_master) AS teams, count(DISTINCT state) AS states, sum(gf) AS gf FROM game_clean""")
+SELECT count(*) AS games, count(DISTINCT team_id_master) AS teams, count(DISTINCT state) AS states, count(DISTINCT gender) AS genders,
+       count(DISTINCT age_group) AS age_groups, strftime(min(date), '%Y-%m-%d') AS first_date, strftime(max(date), '%Y-%m-%d') AS last_date,
+       round(avg((club_name IS NULL)::INT), 6) AS missing_club, sum(gf) AS gf FROM game_clean""")
 def a15(spark, sf):
     root = _new(spark, "normalized")
     stats = sinks.write_normalized(clean.normalize_games(A.game_raw(spark, sf)), root, "20011105_0900")
     total = spark.read.parquet(root).agg(F.sum("gf")).scalar()
-    return stats.select("games", "teams", "states").withColumn("gf", total)
+    return stats.select("games", "teams", "states", "genders", "age_groups", day_text("first_date"), day_text("last_date"),
+                        F.round("missing_club", 6).alias("missing_club")).withColumn("gf", total)
 
 
 @query("a16_master_sinks", "SELECT state, count(*) AS teams, (SELECT count(*) FROM master) AS national FROM master GROUP BY 1")
@@ -357,8 +374,10 @@ SELECT team_id_master, count(*) AS games, min(scraped_at) AS first_scraped FROM
 def a21(spark, sf):
     games = clean.normalize_games(A.game_raw(spark, sf))
     again = games.where("home_away = 'H'").withColumn("scraped_at", F.lit("2001-12-01"))
-    both = files.append_games(games, again)
-    return both.groupBy("team_id_master").agg(F.count("*").alias("games"), F.min("scraped_at").alias("first_scraped"))
+    games_store = store.GameStore(spark, _new(spark, "store"), games.schema, files.GAME_DEDUPE, "date", "scraped_at", "quarter")
+    for rows in (games, again):
+        games_store.append(rows)
+    return games_store.read().groupBy("team_id_master").agg(F.count("*").alias("games"), F.min("scraped_at").alias("first_scraped"))
 
 
 @query("a21_club_append", with_ctes("""
@@ -404,3 +423,20 @@ def feed_registration(spark, sf):
         "team_id_source": "concat('S', s_suppkey)", "team_name": "s_name", "age_group": lambda: F.concat(F.lit("U"), (10 + F.col("s_suppkey") % 9).cast("string"))})
     return files.feed("supplier feed").apply(raw)
 
+
+@query("feed_provider", """
+SELECT way, 'S' || o_custkey AS team_id_source, count(*) AS games, strftime(max(o_orderdate), '%Y-%m') AS last_month, round(sum(o_totalprice), 2) AS total
+FROM orders, (SELECT unnest(['read', 'stream']) AS way) w WHERE o_orderdate >= DATE '1997-01-01' GROUP BY 1, 2""")
+def feed_provider(spark, sf):
+    # Orders as published by a provider, month by month; read at once and as a stream, both from the same date on.
+    folder = _new(spark, "provider")
+    orders = A.table(spark, sf, "orders").withColumn("day", F.trunc("o_orderdate", "month").cast("date")).drop("o_orderdate")
+    sinks.write_partitioned(orders, f"{folder}/out", ["day"])
+    found = files.register_feed("orders provider", orders.drop("day").schema, {
+        "team_id_source": "concat('S', o_custkey)", "month": lambda: F.date_format("day", "yyyy-MM"), "price": "cast(o_totalprice as double)"})
+    found.stream(spark, f"{folder}/out", "1997-01-01").writeStream.format("parquet").option("checkpointLocation", f"{folder}/offsets").option(
+        "path", f"{folder}/games").trigger(availableNow=True).start().awaitTermination()
+    ways = {"read": found.read(spark, f"{folder}/out", "1997-01-01"), "stream": spark.read.parquet(f"{folder}/games")}
+    rows = [df.withColumn("way", F.lit(way)) for way, df in ways.items()]
+    return rows[0].unionByName(rows[1]).groupBy("way", "team_id_source").agg(
+        F.count("*").alias("games"), F.max("month").alias("last_month"), F.round(F.sum("price"), 2).alias("total"))

@@ -243,3 +243,39 @@ def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
     parts = [f"{name} AS ({known[name].strip()})" for name in known if name in needed]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body.strip()
 
+
+# ---------------------------------------------------------------- weighted score of two names
+
+def ratio_sql(x: str, y: str) -> str:
+    """2 * common subsequence / total length of two texts of at most 63 letters, the subsequence found bit by bit."""
+    every = f"((1::HUGEINT << length({x})) - 1)"
+    masks = (f"list_transform(string_split({y}, ''), lambda ch: list_sum(list_transform(range(0, length({x})), "
+             f"lambda i: CASE WHEN {x}[i + 1] = ch THEN 1::HUGEINT << i::INT ELSE 0::HUGEINT END)))")
+    row = f"list_reduce({masks}, lambda s, m: ((s + (s & m)) | (s - (s & m))) & {every}, {every})"
+    return (f"(CASE WHEN length({x}) + length({y}) = 0 THEN 1.0::DOUBLE WHEN length({x}) = 0 OR length({y}) = 0 THEN 0.0::DOUBLE "
+            f"ELSE 2.0::DOUBLE * (length({x}) - bit_count({row})) / (length({x}) + length({y})) END)")
+
+
+def partial_sql(x: str, y: str) -> str:
+    """Best ratio of the shorter text with a window of the longer, which is longer by at least one letter."""
+    short, long = (f"(CASE WHEN (length({x}) < length({y})) = {side} THEN {x} ELSE {y} END)" for side in ("TRUE", "FALSE"))
+    window = f"substring({long}, greatest(p, 0)::INT + 1, (p + length({short}) - greatest(p, 0))::INT)"
+    return (f"list_max(list_transform(list_distinct(list_transform(range(1 - length({short}), length({long})), lambda p: {window})), "
+            f"lambda w: {ratio_sql(short, 'w')}))")
+
+
+def scored_sql(pairs: str) -> str:
+    """``pairs`` (with a and b) and their weighted score; a and b are not equal and not empty."""
+    split = lambda c: f"list_sort(list_filter(string_split(regexp_replace({c}, '\\s+', ' ', 'g'), ' '), lambda w: w <> ''))"
+    text = lambda c: f"array_to_string({c}, ' ')"
+    near = "greatest(length(a), length(b)) < 1.5 * least(length(a), length(b))"
+    return f"""
+SELECT * EXCLUDE (wa, wb, both_w, only_a, only_b, sa, sb, shared, with_a, with_b), CASE WHEN {near} THEN greatest({ratio_sql('a', 'b')}, 0.95 * greatest(
+    {ratio_sql('sa', 'sb')}, {ratio_sql('with_a', 'with_b')}, CASE WHEN shared <> '' THEN {ratio_sql('shared', 'with_a')} ELSE 0 END,
+    CASE WHEN shared <> '' THEN {ratio_sql('shared', 'with_b')} ELSE 0 END, CASE WHEN shared <> '' AND (len(only_a) = 0 OR len(only_b) = 0) THEN 1 ELSE 0 END))
+  ELSE greatest({ratio_sql('a', 'b')}, CASE WHEN greatest(length(a), length(b)) <= 8 * least(length(a), length(b)) THEN 0.9 ELSE 0.6 END
+    * greatest({partial_sql('a', 'b')}, 0.95 * CASE WHEN shared <> '' THEN 1 ELSE {partial_sql('sa', 'sb')} END)) END::DOUBLE AS score
+FROM (SELECT *, {text('wa')} AS sa, {text('wb')} AS sb, {text('both_w')} AS shared, {text('list_concat(both_w, only_a)')} AS with_a, {text('list_concat(both_w, only_b)')} AS with_b
+  FROM (SELECT *, list_sort(list_distinct(list_intersect(wa, wb))) AS both_w, list_sort(list_distinct(list_filter(wa, lambda w: NOT list_contains(wb, w)))) AS only_a,
+      list_sort(list_distinct(list_filter(wb, lambda w: NOT list_contains(wa, w)))) AS only_b
+    FROM (SELECT *, {split('a')} AS wa, {split('b')} AS wb FROM ({pairs}) p1) p2) p3) p4"""

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from rankloom.functions import similarity
 from rankloom.functions.strings import strip
 from rankloom.schemas import NAME_STOPWORDS, US_STATES
 
@@ -70,36 +69,12 @@ def sorted_tokens(name: Column) -> Column:
     return F.array_join(F.array_sort(words), " ")
 
 
-def _common_length(a: str, b: str) -> int:
-    """Longest common subsequence, one machine word operation per character of ``b``."""
-    places: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        places[ch] = places.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    row = full
-    for ch in b:
-        hit = row & places.get(ch, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - bin(row).count("1")
-
-
-@F.pandas_udf(T.DoubleType())
-def subsequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """2 * common subsequence / total length, 1.0 for two empty texts."""
-    out = []
-    for x, y in zip(a, b):
-        if x is None or y is None:
-            out.append(None)
-        elif not x and not y:
-            out.append(1.0)
-        else:
-            out.append(2.0 * _common_length(x, y) / (len(x) + len(y)))
-    return pd.Series(out, dtype="float64")
-
-
 def token_sort_ratio(a: Column, b: Column) -> Column:
-    """Similarity from 0 to 1 of two names regardless of word order."""
-    return subsequence_ratio(sorted_tokens(a), sorted_tokens(b))
+    """Similarity from 0 to 1 of two names regardless of word order; equal and empty ones are settled before they are compared."""
+    x, y = sorted_tokens(a), sorted_tokens(b)
+    settled = (x == y) | (x == "") | (y == "")
+    compared = similarity.ratio(F.when(~settled, x), F.when(~settled, y))
+    return F.when(x == y, 1.0).when(settled, 0.0).otherwise(compared)
 
 
 def containment_score(a: Column, b: Column) -> Column:
@@ -122,16 +97,18 @@ TEAM_WORDS = ("SC", "FC", "United", "Academy", "Club", "Soccer", "Futbol")
 MASKS = {"url": "[URL_REDACTED]", "team": "[TEAM_NAME_REDACTED]", "id": "[ID_REDACTED]", "time": "[TIMESTAMP_REDACTED]"}
 
 
-def redact(text: Column, max_length: int | None = 500) -> Column:
-    """Mask links, team-like names, long numbers and timestamps; cut to ``max_length`` if given."""
+def redact(text: Column) -> Column:
+    """Mask links, team-like names, long numbers and timestamps, in the whole text."""
     text = F.regexp_replace(text, r"https?://[^\s]+", MASKS["url"])
     # Letters and blanks up to the last team word of a stretch of them. The look-behind lets a match begin at the
     # start of a stretch only; without it the search retries from every letter, quadratic in long documents.
     text = F.regexp_replace(text, rf"(?<![A-Za-z\s])[A-Za-z\s]+(?:{'|'.join(TEAM_WORDS)})", MASKS["team"])
     text = F.regexp_replace(text, rf"(?<!{WORD_CHAR})[0-9]{{6,}}(?!{WORD_CHAR})", MASKS["id"])
-    text = F.regexp_replace(text, r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?Z?", MASKS["time"])
-    if max_length is None:
-        return text
+    return F.regexp_replace(text, r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?Z?", MASKS["time"])
+
+
+def shortened(text: Column, max_length: int = 500) -> Column:
+    """A text for a report: cut if it is longer than ``max_length``, with a remark in place of the rest."""
     short = F.concat(F.substring(text, 1, max_length - 50), F.lit("... and more failures"))
     return F.when(F.length(text) > max_length, short).otherwise(text)
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +14,8 @@ from rankloom.operators.ordering import exact_quantiles
 from rankloom.storage import stage
 
 DAMPING = 0.85
+#: Edges that a task joins at a time.
+EDGES = 1_000_000
 
 
 def opponent_edges(games: DataFrame) -> DataFrame:
@@ -96,17 +103,62 @@ def undirected(games: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def settled_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Smallest number joined to each of ``n`` numbers by the edges (a, b): roots hook to smaller roots, then paths are halved."""
+    label = np.arange(n)
+    while True:
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        if np.array_equal(low, high):
+            return label
+        np.minimum.at(label, high, low)
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+
+
+def forest(pairs: DataFrame) -> DataFrame:
+    """(node, low): the edges (a, b) of each task joined within it, so that a task sends at most one edge per node.
+
+    A task joins ``EDGES`` edges at a time and carries the forest of what it has seen along while that is small.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def join() -> pa.Table:
+            edges = pa.concat_tables(held)
+            both = pa.chunked_array(edges.column("node").chunks + edges.column("low").chunks).combine_chunks()
+            names = pc.unique(both)
+            names = names.take(pc.sort_indices(names))  # numbers in the order of the names: the smallest number is the smallest name
+            number = pc.index_in(both, names).to_numpy()
+            label = settled_labels(number[:edges.num_rows], number[edges.num_rows:], len(names))
+            inner = np.flatnonzero(label != np.arange(len(names)))
+            return pa.table([names.take(pa.array(inner)), names.take(pa.array(label[inner]))], names=["node", "low"])
+
+        for batch in batches:
+            held.append(pa.table([batch.column("b"), batch.column("a")], names=["node", "low"]))
+            if sum(t.num_rows for t in held) > EDGES:
+                joined = join()
+                held = [joined]
+                if joined.num_rows > EDGES // 2:
+                    yield from joined.to_batches()
+                    held = []
+        if held:
+            yield from join().to_batches()
+
+    kind = pairs.schema["a"].dataType.simpleString()
+    return pairs.select("a", "b").mapInArrow(run, f"node {kind}, low {kind}")
+
+
 def components(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest node id reachable from each node: (node, component_id).
 
-    ``pairs`` holds distinct (a, b), a <= b. Alternates two steps until the
-    edges settle: hang the larger neighbours of a node on its smallest one, then
+    ``pairs`` holds distinct (a, b), a <= b. Edges are joined within each task first, before anything is shuffled. Then
+    two steps alternate until the edges settle: hang the larger neighbours of a node on its smallest one, then
     the smaller ones. The number of rounds grows with the logarithm of the
     size, not with the diameter, and each step only sends one minimum per node.
     """
     loops = pairs.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("component_id"))
     # Each edge points from a node to a smaller one.
-    links = stage(pairs.where("a < b").select(F.col("b").alias("node"), F.col("a").alias("low")), "links")
+    links = stage(forest(pairs.where("a < b")), "links")
     seen = None
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("low").alias("node"), F.col("node").alias("low")))

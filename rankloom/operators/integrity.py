@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,15 +41,18 @@ def hash_games(
 
 
 def diff_hashes(stored: DataFrame, current: DataFrame, slice_cols: Sequence[str] = ()) -> DataFrame:
-    """Status of every game id on either side: unchanged, modified, deleted or new."""
+    """Status of every game id on either side: unchanged, modified, deleted or new. A missing slice is a slice."""
     keys = [*slice_cols, "game_id"]
-    old = stored.withColumnRenamed("game_hash", "_old")
-    new = current.withColumnRenamed("game_hash", "_new")
+    old = stored.select(*keys, F.col("game_hash").alias("_old"))
+    new = current.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("game_hash").alias("_new"))
     status = (
         F.when(F.col("_new").isNull(), "deleted").when(F.col("_old").isNull(), "new")
         .when(F.col("_old") != F.col("_new"), "modified").otherwise("unchanged")
     )
-    return old.join(new, keys, "full").select(*keys, status.alias("status"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    side = F.col("_new").isNull()
+    return old.join(new, same, "full").select(
+        *[F.when(side, F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in keys], status.alias("status"))
 
 
 def integrity_report(diff: DataFrame, slice_cols: Sequence[str] = ()) -> DataFrame:

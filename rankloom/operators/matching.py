@@ -144,13 +144,13 @@ def best_matches(left: DataFrame, right: DataFrame, keys: Sequence[str], cutoff:
     Only scores above ``cutoff`` count; ties go to the smaller name on the right. A name that the right has as well is
     its own match.
     """
-    keys = list(keys)
-    a, b = _entries(left, keys, name_col), _entries(right, keys, name_col)
-    names = b.select(*keys, "name")
-    same = a.select(*keys, "name").join(names, [*keys, "name"]).select(
-        *keys, F.col("name").alias("left_name"), F.col("name").alias("right_name"), F.lit(1.0).alias("score"))
-    open_names = stage(a.join(names, [*keys, "name"], "left_anti").select(*a.columns), "match-open")
-    pairs = stage(candidate_pairs(open_names, b, keys, cutoff), "match-pairs")
+    inner = [f"_key{i}" for i in range(len(keys))]  # a key may be called like a column in here
+    a, b = (_entries(df.select(*[F.col(k).alias(i) for k, i in zip(keys, inner, strict=True)], name_col), inner, name_col) for df in (left, right))
+    names = b.select(*inner, "name")
+    same = a.select(*inner, "name").join(names, [*inner, "name"]).select(
+        *inner, F.col("name").alias("left_name"), F.col("name").alias("right_name"), F.lit(1.0).alias("score"))
+    open_names = stage(a.join(names, [*inner, "name"], "left_anti").select(*a.columns), "match-open")
+    pairs = stage(candidate_pairs(open_names, b, inner, cutoff), "match-pairs")
     scored = pairs.withColumn("score", F.round(sim.weighted_score(F.col("left_name"), F.col("right_name")), 9)).where(F.col("score") > cutoff)
-    best = best_row(scored, [*keys, "left_name"], [F.desc("score"), F.asc("right_name")])
-    return best.unionByName(same)
+    best = best_row(scored, [*inner, "left_name"], [F.desc("score"), F.asc("right_name")]).unionByName(same)
+    return best.select(*[F.col(i).alias(k) for k, i in zip(keys, inner, strict=True)], "left_name", "right_name", "score")

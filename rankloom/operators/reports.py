@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rankloom.config import BASELINE, RatingConfig
 from rankloom.functions.ids import canonical_id
 from rankloom.functions.text import missing_reason
-from rankloom.operators.ordering import exact_quantiles
+from rankloom.operators.ordering import exact_quantiles, global_positions
 from rankloom.storage import stage
 
 
@@ -105,6 +105,29 @@ def two_hop(games: DataFrame, team_id: str) -> DataFrame:
     )
 
 
+def two_hop_all(games: DataFrame) -> DataFrame:
+    """(team_id_master, network_teams): for every team the number of teams within two games of it, itself among them; exact.
+
+    Teams get dense numbers and a team's opponents become bitmaps over them, of 32,768 numbers each. What opponents have met
+    is the union of their bitmaps, so a pair of teams sends bitmaps, never the pairs of pairs.
+    """
+    pairs = stage(games.select("team_id_master", "opponent_id_master").dropna().distinct(), "two-hop-pairs")
+    teams = games.select("team_id_master").dropna().distinct()
+    ids = teams.select(F.col("team_id_master").alias("id")).unionByName(pairs.select(F.col("opponent_id_master").alias("id"))).distinct()
+    numbers = stage(global_positions(ids, [], [F.col("id").asc()], "number"), "two-hop-numbers")
+
+    def bitmaps(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("team_id_master", F.bitmap_bucket_number("number").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+
+    met = pairs.join(numbers.withColumnRenamed("id", "opponent_id_master"), "opponent_id_master")
+    direct = stage(bitmaps(met), "two-hop-direct")
+    beyond = pairs.join(direct.withColumnRenamed("team_id_master", "opponent_id_master"), "opponent_id_master").select("team_id_master", "bucket", "bits")
+    own = bitmaps(teams.join(numbers.withColumnRenamed("id", "team_id_master"), "team_id_master"))
+    within = direct.unionByName(beyond).unionByName(own).groupBy("team_id_master", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return within.groupBy("team_id_master").agg(F.sum(F.bitmap_count("bits")).alias("network_teams"))
+
+
 def head_to_head(games: DataFrame, first: str, second: str) -> DataFrame:
     """Totals of two teams side by side (one row each)."""
     return team_record(games.where(F.col("team_id_master").isin(first, second)), ("team_id_master",))

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from rankloom.operators.clean import TEAM_KEYS, coerce_games, normalize_games, require_columns, slice_filter, split_complete
 from rankloom.operators.windows import best_row
 from rankloom.schemas import GAME_RAW, HASH_STORE, IDENTITY, MASTER_SLICE, METADATA_ENTRY, PROVIDER_FILE_MARKS
+from rankloom.sources.provider import read_provider, stream_provider
 
 GAME_DEDUPE = ("team_id_master", "opponent_id_master", "date", "gf", "ga")
 
@@ -137,21 +138,26 @@ def provider_of_file(name: Column) -> Column:
     return case.otherwise("Unknown")
 
 
+def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, header): the first line of every file that has one; of each file only the first block is looked at."""
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_at")).where("_at = 0")
+    return lines.withColumn("_row", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "_row").alias("header"))
+
+
 def read_feeds(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """Every feed file of a folder as text columns, with ``provider`` from the file name where absent.
 
     Files with the same header are read together, so the plan grows with the
-    number of layouts and not with the number of files.
+    number of layouts and not with the number of files. One job reads all headers.
     """
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for path in list_paths(spark, f"{folder}/{pattern}"):
-        header = spark.read.text(path).limit(1).first()
-        if header is not None:
-            layouts.setdefault(tuple(header[0].split(",")), []).append(path)
+    found = list_paths(spark, f"{folder}/{pattern}")
+    layouts = {tuple(r["header"].split(",")): sorted(r["paths"]) for r in headers(spark, found).groupBy("header").agg(
+        F.collect_list("path").alias("paths")).collect()} if found else {}
     if not layouts:
         raise FileNotFoundError(f"no feed files in {folder}")
     result = None
-    for columns, paths in layouts.items():
+    for columns, paths in sorted(layouts.items()):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         rows = read_csv(spark, paths, schema)
         if "provider" not in columns:
@@ -197,21 +203,21 @@ def master_slices(master: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- registries
 
-def read_identity_map(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """JSON objects keyed by team id as one row per team: one object per file, or per line with ``lines``."""
+def read_identity_map(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """JSON objects keyed by team id as one row per team: one object per line, or per file without ``lines``."""
     entries = spark.read.text(path, wholetext=not lines).select(
         F.explode(F.from_json("value", T.MapType(T.StringType(), IDENTITY))).alias("team_id", "entry")
     )
     return entries.select("team_id", "entry.*")
 
 
-def read_registry(spark: SparkSession, path: str, schema: T.StructType = METADATA_ENTRY) -> DataFrame:
-    """A JSON list of build entries as rows."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_registry(spark: SparkSession, path: str, schema: T.StructType = METADATA_ENTRY, lines: bool = True) -> DataFrame:
+    """JSON build entries as rows: an entry or a list of them per line, or one list per file without ``lines``."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
-def read_hash_store(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Stored game hashes: one row per slice and game; documents are files, or lines with ``lines``."""
+def read_hash_store(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Stored game hashes: one row per slice and game; documents are lines, or files without ``lines``."""
     stored = spark.read.schema(HASH_STORE).option("multiLine", not lines).json(path)
     return stored.select("slice_key", "build_id", F.explode("games").alias("game_id", "game_hash"))
 
@@ -231,6 +237,14 @@ class Feed:
             (F.expr(e) if isinstance(e, str) else e()).alias(target) for target, e in self.mapping.items()
         ])
 
+    def read(self, spark: SparkSession, root: str, since: str | None = None) -> DataFrame:
+        """What the feed's provider published on or after ``since``, as games or teams; ``day`` may be used by the mapping."""
+        return self.apply(read_provider(spark, root, self.schema, since))
+
+    def stream(self, spark: SparkSession, root: str, since: str | None = None) -> DataFrame:
+        """The same as a stream whose offsets are the ``since`` dates."""
+        return self.apply(stream_provider(spark, root, self.schema, since))
+
 
 _FEEDS: dict[str, Feed] = {}
 

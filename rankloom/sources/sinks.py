@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rankloom.operators.quality import game_statistics
 from rankloom.plans.ranking import run_summary, state_view
+from rankloom.sources.files import list_paths
 
 SLICE = ("state", "gender", "age_group")
+#: Folder value of a missing partition key.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
-def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    """One folder per value of ``cols``; the rebalance hint lets large ones spread and small ones merge."""
-    writer = df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols)
+def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], fmt: str = "parquet", mode: str = "errorifexists",
+                      measures: Sequence[Column] = ()) -> dict[str, object]:
+    """One folder per value of ``cols``; the rebalance hint lets large ones spread and small ones merge.
+
+    ``measures`` are gathered while the rows are written, behind the shuffle, where a lost task is counted once.
+    """
+    rows, seen = df.hint("rebalance", *cols), Observation(f"written-{uuid.uuid4().hex}")
+    if measures:
+        rows = rows.observe(seen, *measures)
+    writer = rows.write.mode(mode).partitionBy(*cols)
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:
         writer.format(fmt).save(path)
+    return seen.get if measures else {}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -27,13 +38,27 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_normalized(games: DataFrame, root: str, version: str, csv: bool = True) -> DataFrame:
-    """Normalized games as a partitioned table (and CSV); returns their statistics, lazily."""
-    path = f"{root}/version={version}"
-    write_partitioned(games, path, SLICE)
-    written = games.sparkSession.read.parquet(path)
+    """Normalized games as a partitioned table (and CSV); returns their statistics in one row.
+
+    Counts, dates and missing values are gathered while writing, the numbers of states, genders and age groups are those
+    of the folders written. Only the number of teams is counted from the table, one column of it, when it is asked for.
+    """
+    spark, path = games.sparkSession, f"{root}/version={version}"
+    listed = [c for c in games.columns if c not in SLICE and c != "date"]
+    seen = write_partitioned(games, path, SLICE, measures=[
+        F.count("*").alias("games"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in listed]])
+    written = spark.read.schema(games.schema).parquet(path)
     if csv:
         write_csv(written, f"{root}_csv/version={version}")
-    return game_statistics(written)
+    folders = [dict(p.split("=", 1) for p in f.rstrip("/").split("/")[-len(SLICE):]) for f in list_paths(
+        spark, f"{path}/" + "/".join(f"{c}=*" for c in SLICE))]
+    values = {f"{c}s": len({f[c] for f in folders} - {NO_VALUE}) for c in SLICE}
+    share = {f"missing_{c}": seen[f"missing_{c}"] / seen["games"] if seen["games"] else 0.0 for c in listed}
+    known = {"games": "long", "first_date": "date", "last_date": "date"}
+    return written.agg(F.countDistinct("team_id_master").alias("teams")).select(
+        F.lit(seen["games"]).cast("long").alias("games"), "teams", *[F.lit(seen[c]).cast(known[c]).alias(c) for c in list(known)[1:]],
+        *[F.lit(n).cast("long").alias(c) for c, n in values.items()], *[F.lit(n).alias(c) for c, n in share.items()])
 
 
 def write_master(master: DataFrame, root: str, build_id: str) -> None:

@@ -24,7 +24,7 @@ from rankloom.sources.files import list_paths
 from rankloom.storage import stage
 
 #: Bits of a block (what a bitmap aggregate holds), bits set per key, blocks of a day, and the folder of rows without a day.
-BLOCK_BITS, BITS, BLOCKS, NO_DAY = 32_768, 4, 64, "none"
+BLOCK_BITS, BITS, BLOCKS, NO_DAY = 32_768, 4, 16, "none"
 
 
 def _folder(col: str, period: str) -> Column:

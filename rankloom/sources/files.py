@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,7 +154,7 @@ def read_feeds(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
     number of layouts and not with the number of files. One job reads all headers.
     """
     found = list_paths(spark, f"{folder}/{pattern}")
-    layouts = {tuple(r["header"].split(",")): sorted(r["paths"]) for r in headers(spark, found).groupBy("header").agg(
+    layouts = {tuple(r["header"].split(",")): sorted(map(unquote, r["paths"])) for r in headers(spark, found).groupBy("header").agg(
         F.collect_list("path").alias("paths")).collect()} if found else {}
     if not layouts:
         raise FileNotFoundError(f"no feed files in {folder}")
@@ -203,22 +205,40 @@ def master_slices(master: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- registries
 
-def read_identity_map(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
-    """JSON objects keyed by team id as one row per team: one object per line, or per file without ``lines``."""
-    entries = spark.read.text(path, wholetext=not lines).select(
+def json_layouts(spark: SparkSession, path: str, lines: bool | None) -> dict[bool, list[str]]:
+    """Files by layout: True, a document per line, which tasks share; False, a document per file.
+
+    Without ``lines`` a file is read by line if its first line is a whole document.
+    """
+    if lines is not None:
+        return {lines: [path]}
+    whole_line = F.try_parse_json("header").isNotNull()
+    found = headers(spark, [path]).groupBy(whole_line.alias("lines")).agg(F.collect_list("path").alias("paths")).collect()
+    return {r["lines"]: sorted(map(unquote, r["paths"])) for r in found} or {True: [path]}
+
+
+def _read_json(spark: SparkSession, path: str, lines: bool | None, schema: T.StructType) -> DataFrame:
+    parts = [spark.read.schema(schema).option("multiLine", not by_line).json(paths) for by_line, paths in json_layouts(spark, path, lines).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_identity_map(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
+    """JSON objects keyed by team id as one row per team; see ``json_layouts``."""
+    parts = [spark.read.text(paths, wholetext=not by_line) for by_line, paths in json_layouts(spark, path, lines).items()]
+    entries = reduce(DataFrame.unionByName, parts).select(
         F.explode(F.from_json("value", T.MapType(T.StringType(), IDENTITY))).alias("team_id", "entry")
     )
     return entries.select("team_id", "entry.*")
 
 
-def read_registry(spark: SparkSession, path: str, schema: T.StructType = METADATA_ENTRY, lines: bool = True) -> DataFrame:
-    """JSON build entries as rows: an entry or a list of them per line, or one list per file without ``lines``."""
-    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+def read_registry(spark: SparkSession, path: str, schema: T.StructType = METADATA_ENTRY, lines: bool | None = None) -> DataFrame:
+    """JSON build entries, or lists of them, as rows; see ``json_layouts``."""
+    return _read_json(spark, path, lines, schema)
 
 
-def read_hash_store(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
-    """Stored game hashes: one row per slice and game; documents are lines, or files without ``lines``."""
-    stored = spark.read.schema(HASH_STORE).option("multiLine", not lines).json(path)
+def read_hash_store(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
+    """Stored game hashes: one row per slice and game; see ``json_layouts``."""
+    stored = _read_json(spark, path, lines, HASH_STORE)
     return stored.select("slice_key", "build_id", F.explode("games").alias("game_id", "game_hash"))
 
 

@@ -104,3 +104,17 @@ def test_one_changed_game_opens_one_leaf(spark, tmp_path, monkeypatch):
     assert len({f.split("leaf=")[1].split("/")[0] for f in found.inputFiles() if "leaf=" in f}) == 1
     opened.clear()
     assert digests.diff_store(hashes(spark), folder, ["slice_key"]).where("status <> 'unchanged'").count() == 0 and opened == [[]]
+
+
+# ---------------------------------------------------------------- layouts of documents
+
+def test_documents_by_line_and_by_file_are_told_apart(spark, tmp_path):
+    from rankloom.sources import files
+
+    folder = tmp_path / "hash store"
+    folder.mkdir()
+    (folder / "one.json").write_text('{\n "slice_key": "s", "build_id": "b",\n "games": {"g1": "h1", "g2": "h2"}}')
+    (folder / "many.json").write_text('\n'.join('{"slice_key": "s", "build_id": "b", "games": {"g%d": "h"}}' % i for i in range(3, 6)))
+    layouts = files.json_layouts(spark, str(folder), None)
+    assert {k: [p.rsplit("/", 1)[1] for p in v] for k, v in layouts.items()} == {True: ["many.json"], False: ["one.json"]}
+    assert sorted(r["game_id"] for r in files.read_hash_store(spark, str(folder)).collect()) == ["g1", "g2", "g3", "g4", "g5"]

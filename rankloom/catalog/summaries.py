@@ -26,11 +26,15 @@ def _migrated(spark, sf):
 
 # ---------------------------------------------------------------- D1-D10, D25
 
-@query("d01_master_summary", """
+DUP = "(SELECT coalesce(sum(n) FILTER (n > 1), 0) FROM (SELECT count(*) AS n FROM feed GROUP BY team_name, age_group, gender) g)::BIGINT"
+
+
+@query("d01_master_summary", f"""
 SELECT count(*) AS total_rows, count(DISTINCT state) AS unique_states, count(*) FILTER (state IS NULL) AS missing_state_rows,
-       count(DISTINCT age_group) AS age_groups, count(DISTINCT gender) AS genders, count(DISTINCT provider) AS providers FROM feed""")
+       count(DISTINCT age_group) AS age_groups, count(DISTINCT gender) AS genders, count(DISTINCT provider) AS providers, {DUP} AS duplicate_rows,
+       round(count(state) * 100.0::DOUBLE / count(*), 6) AS state_completeness_percent, round({DUP} * 100.0::DOUBLE / count(*), 6) AS duplicate_percent FROM feed""")
 def d01(spark, sf):
-    return quality.master_summary(A.feed(spark, sf))
+    return rounded(quality.master_summary(A.feed(spark, sf)), "state_completeness_percent", "duplicate_percent")
 
 
 @query("d01_distributions", " UNION ALL ".join(
@@ -52,7 +56,6 @@ def d03(spark, sf):
     return quality.duplicate_counts(A.feed(spark, sf), quality.NAME_KEY)
 
 
-DUP = "(SELECT coalesce(sum(n) FILTER (n > 1), 0) FROM (SELECT count(*) AS n FROM feed GROUP BY team_name, age_group, gender) g)::BIGINT"
 
 
 @query("d04_quality_score", f"""
@@ -167,10 +170,10 @@ def _breakdown(c: str) -> str:
 
 @query("d08_state_summary", f"""
 SELECT state, count(*) AS teams, {_breakdown('provider')} AS provider_breakdown, {_breakdown('age_group')} AS age_breakdown, {_breakdown('gender')} AS gender_breakdown,
-       least(count(*), 10) AS top_teams FROM master s GROUP BY state""")
+       least(count(*), 10) AS top_teams, 'build_20011102' AS last_build FROM master s GROUP BY state""")
 def d08(spark, sf):
-    s = quality.state_summary(_master(spark, sf))
-    return s.select("state", "teams", *[_map_text(F.col(c)).alias(c) for c in ("provider_breakdown", "age_breakdown", "gender_breakdown")], "top_teams")
+    s = quality.state_summary(_master(spark, sf), "build_20011102")
+    return s.select("state", "teams", *[_map_text(F.col(c)).alias(c) for c in ("provider_breakdown", "age_breakdown", "gender_breakdown")], "top_teams", "last_build")
 
 
 @query("d08_state_statistics", """

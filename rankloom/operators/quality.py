@@ -38,8 +38,7 @@ def distribution(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return pairs.groupBy("dimension", "value").agg(F.count("*").alias("teams"))
 
 
-def master_summary(df: DataFrame) -> DataFrame:
-    """One row: rows, states, missing states, distinct ages, genders and providers."""
+def _totals(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count("*").alias("total_rows"), F.countDistinct("state").alias("unique_states"),
         F.count_if(F.col("state").isNull()).alias("missing_state_rows"),
@@ -48,6 +47,13 @@ def master_summary(df: DataFrame) -> DataFrame:
     )
 
 
+def master_summary(df: DataFrame) -> DataFrame:
+    """One row: rows, states, missing states, distinct ages, genders and providers, rows that share name, age and gender, and shares in percent."""
+    n = F.col("total_rows")
+    return _totals(df).withColumn("duplicate_rows", _duplicate_scalar(df, "rows_in_duplicates")).withColumns({
+        "state_completeness_percent": _share(n - F.col("missing_state_rows"), n) * 100, "duplicate_percent": _share(F.col("duplicate_rows"), n) * 100})
+
+
 def age_gender_crosstab(df: DataFrame, genders: Sequence[str]) -> DataFrame:
     """Teams per age group (rows) and gender (columns); the genders are given, so no extra pass finds them."""
     table = df.where(F.col("age_group").isNotNull()).groupBy("age_group").pivot("gender", list(genders)).agg(F.count(F.lit(1)))
@@ -60,7 +66,7 @@ def _duplicate_scalar(df: DataFrame, column: str) -> Column:
 
 def quality_score(df: DataFrame) -> DataFrame:
     """One row: weighted score up to 100 of completeness, uniqueness and diversity."""
-    counts = master_summary(df).withColumn("duplicates", _duplicate_scalar(df, "rows_in_duplicates"))
+    counts = _totals(df).withColumn("duplicates", _duplicate_scalar(df, "rows_in_duplicates"))
     n = F.col("total_rows")
     completeness = _share(n - F.col("missing_state_rows"), n) * 30
     uniqueness = (1 - F.least(_share(F.col("duplicates"), n), F.lit(0.2))) * 25
@@ -233,8 +239,8 @@ def validation_report(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- state summaries
 
-def state_summary(df: DataFrame) -> DataFrame:
-    """Per state: teams, the sets of feeds, ages and genders, and their breakdowns as maps."""
+def state_summary(df: DataFrame, build_id: str | None = None) -> DataFrame:
+    """Per state: teams, the sets of feeds, ages and genders, their breakdowns as maps, and the build they are from."""
     dims = ("provider", "age_group", "gender")
     counts = df.where(F.col("state").isNotNull()).select("state", F.explode(F.array(*[
         F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c in dims
@@ -252,6 +258,7 @@ def state_summary(df: DataFrame) -> DataFrame:
         "state", "teams", F.map_keys("provider_breakdown").alias("providers"),
         F.map_keys("age_breakdown").alias("age_groups"), F.map_keys("gender_breakdown").alias("genders"),
         "provider_breakdown", "age_breakdown", "gender_breakdown", F.least("teams", F.lit(10)).alias("top_teams"),
+        F.lit(build_id).cast("string").alias("last_build"),
     )
 
 

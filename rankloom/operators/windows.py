@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from rankloom.functions import stats
 from rankloom.functions.joins import join_on
@@ -13,9 +14,12 @@ from rankloom.storage import stage
 
 
 def payload_order(df: DataFrame, used: Sequence[str]) -> list[Column]:
-    """All other columns, so that ties are broken alike on every run; maps have no order and are left out."""
-    return [F.col(f"`{f.name}`").asc_nulls_last() for f in df.schema
-            if f.name not in used and not f.dataType.simpleString().startswith(("map<", "variant"))]
+    """All other columns, so that ties are broken alike on every run; what holds maps or variants has no order and goes by a hash of its text."""
+    def key(field: StructField) -> Column:
+        col, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        return F.xxhash64(F.to_json(F.struct(col))) if "map<" in kind or "variant" in kind else col
+
+    return [key(f).asc_nulls_last() for f in df.schema if f.name not in used]
 
 
 def newest_first(games: DataFrame) -> list[Column]:

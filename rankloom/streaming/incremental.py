@@ -19,6 +19,7 @@ from rankloom.operators.digests import check_batch
 from rankloom.operators.integrity import hash_games
 from rankloom.operators.windows import best_row
 from rankloom.sources.files import list_paths
+from rankloom.storage import stage
 from rankloom.streaming.state import run_progress  # noqa: F401 - one of the jobs here, kept with its state
 
 #: Days of one batch that are named to prune the stored partitions; a batch with more reads them all.
@@ -80,7 +81,7 @@ def run_deduped(stream: DataFrame, folder: str, day_col: str, keys: Sequence[str
             "basePath", out).parquet(*done) if done else None
 
     def each(batch: DataFrame, number: int) -> None:
-        fresh = best_row(batch, keys, []).withColumn(part, F.coalesce(F.col(day_col).cast("string"), F.lit("none")))
+        fresh = stage(best_row(batch, keys, []).withColumn(part, F.coalesce(F.col(day_col).cast("string"), F.lit("none"))), "fresh-games")
         before = stored(number)
         if before is not None:
             days = [r[0] for r in fresh.select(part).distinct().limit(MAX_DAYS + 1).collect()]

@@ -118,3 +118,11 @@ def test_documents_by_line_and_by_file_are_told_apart(spark, tmp_path):
     layouts = files.json_layouts(spark, str(folder), None)
     assert {k: [p.rsplit("/", 1)[1] for p in v] for k, v in layouts.items()} == {True: ["many.json"], False: ["one.json"]}
     assert sorted(r["game_id"] for r in files.read_hash_store(spark, str(folder)).collect()) == ["g1", "g2", "g3", "g4", "g5"]
+
+
+def test_survivors_among_rows_that_differ_in_maps(spark):
+    from rankloom.operators.windows import best_row
+
+    df = spark.createDataFrame([("k", {"a": i}, [{"b": i}]) for i in range(6)], "key string, m map<string,int>, l array<map<string,int>>")
+    picks = {str(best_row(df.repartition(n), ["key"], []).select("m", "l").first()) for n in (1, 2, 3, 5)}
+    assert len(picks) == 1

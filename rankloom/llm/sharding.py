@@ -10,8 +10,8 @@ Slots number the rows of a shard from 0 without gaps: rows are dealt by a hash o
 bin, and numbered within their bin, so no task holds a shard. The texts are read once and never shuffled.
 
 Defined cases: a null text has size 1 and belongs to the group of the empty text; repeated rows and null ids are placed
-like any other row; with fewer groups than shards the last shards stay empty; a group larger than a fair share fills
-a shard alone and sets the capacity; an empty table gives no rows; other columns are not read.
+like any other row; with fewer groups than shards some shards stay empty; a group larger than a fair share sets the
+capacity, and the other groups spread over the other shards; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -55,6 +55,35 @@ def least_capacity(sizes: np.ndarray, shards: int, whole: np.ndarray) -> int:
     return high
 
 
+def balanced(sizes: np.ndarray, shards: int, capacity: int) -> np.ndarray:
+    """Where each shard ends: near an even share of what is left, within a capacity that suffices.
+
+    Ranges above the mean count for a shard of their own, the others share the rest. A cut moves towards its share only while the
+    shards behind it can still take what is left, and every shard takes a range while there is one.
+    """
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    total = int(ends[-1])
+    hot = sizes * shards > total
+    hot_bytes, hot_count = np.concatenate([[0], np.cumsum(sizes * hot)]), np.concatenate([[0], np.cumsum(hot)])
+    least = [total]  # from the last shard back: how far the shards before must reach at least
+    for _ in range(shards - 1):
+        least.append(int(ends[np.searchsorted(ends, least[-1] - capacity, "left")]))
+    least.reverse()
+    reached, out = 0, []
+    for k in range(shards):
+        done = int(np.searchsorted(ends, reached, "right")) - 1  # ranges in earlier shards
+        if done < len(sizes):
+            rest = total - reached - int(hot_bytes[-1] - hot_bytes[done])
+            want = reached + rest / max(1, shards - k - int(hot_count[-1] - hot_count[done]))
+            at = int(np.searchsorted(ends, want, "left"))
+            if at > 0 and (at == len(ends) or ends[at] - want > want - ends[at - 1]):
+                at -= 1
+            farthest = int(ends[np.searchsorted(ends, reached + capacity, "right") - 1])
+            reached = min(max(int(ends[max(at, done + 1)]), least[k]), farthest)
+        out.append(reached)
+    return np.array(out)
+
+
 def minimax_cuts(groups: DataFrame, shards: int) -> list[int]:
     """Keys at which shards 1, 2, ... begin; ``groups`` has rows of key long and size, a key in one or more rows."""
     ranges: list[tuple[int, int, bool]] = []  # first key, size, single group
@@ -85,7 +114,7 @@ def minimax_cuts(groups: DataFrame, shards: int) -> list[int]:
         wide = {i for a, b in zip(least, most, strict=True) for i in range(
             int(np.searchsorted(ends, a, "right")) - 1, min(len(ranges), int(np.searchsorted(ends, b, "left")) + 1)) if not single[i]}
         if not wide or shift == 0:
-            done = cuts(sizes, shards, enough, every)
+            done = balanced(sizes, shards, enough)
             return [ranges[i][0] for i in np.searchsorted(ends, done[:-1]) if i < len(ranges)]
     raise AssertionError("the last step opens single keys")
 

@@ -243,3 +243,21 @@ def test_top_k_of_few_and_none(spark):
     assert [tuple(r) for r in vector_search.exact_top_k(vectors, vectors.filter("id = 0"), 20).collect()] == [(0, 1, 1, 64 * 128)]
     none = vector_search.whole_vectors(table.limit(0))
     assert vector_search.exact_top_k(none, none, 20).count() == 0
+
+
+def test_hot_group_leaves_the_other_shards_even():
+    rng = np.random.default_rng(9)
+    for hot in (0, 400, 999):
+        sizes = rng.integers(1, 5, 1000)
+        sizes[hot] = sizes.sum() // 2
+        capacity = sharding.least_capacity(sizes, 8, np.ones(1000, bool))
+        held = np.diff(sharding.balanced(sizes, 8, capacity), prepend=0)
+        rest = (sizes.sum() - sizes[hot]) / 7
+        assert held.sum() == sizes.sum() and held.max() <= capacity and (held > 0).all() and np.sort(held)[:6].max() < 1.5 * rest
+    assert np.diff(sharding.balanced(np.array([1000, 1000, 1000]), 8, 1000), prepend=0).max() == 1000
+    for _ in range(200):
+        sizes = rng.integers(1, 30, rng.integers(1, 40))
+        shards = int(rng.integers(1, 10))
+        capacity = sharding.least_capacity(sizes, shards, np.ones(len(sizes), bool))
+        ends = sharding.balanced(sizes, shards, capacity)
+        assert ends[-1] == sizes.sum() and np.diff(ends, prepend=0).max() == capacity and set(ends) <= set(np.cumsum(sizes)) | {0}

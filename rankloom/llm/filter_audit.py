@@ -18,8 +18,6 @@ document counts as good or toxic if any of its labels says so; an empty table gi
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -364,8 +364,9 @@ SELECT 'added' AS change_type, count(*) AS teams FROM new_build n WHERE NOT EXIS
 UNION ALL SELECT 'removed', count(*) FROM old_build n WHERE NOT EXISTS (SELECT 1 FROM new_build o WHERE o.age_group = n.age_group AND o.gender = n.gender AND o.state = n.state)""", VERSIONS))
 def a20(spark, sf):
     root = _new(spark, "deltas")
-    sinks.write_deltas({k: v.select("team_id", "team_name") for k, v in delta.compare_builds(*_builds(spark, sf)).items()}, root)
-    return spark.read.option("header", True).csv(root).groupBy("change_type").agg(F.count("*").alias("teams"))
+    changes = {k: v.select("team_id", "team_name") for k, v in delta.compare_builds(*_builds(spark, sf)).items()}
+    written = sinks.write_deltas(changes, root)
+    return sinks.count_deltas(sinks.read_deltas(spark, root, written, "team_id string, team_name string"), list(changes))
 
 
 @query("a21_incremental_append", """

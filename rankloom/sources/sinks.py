@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.plans.ranking import run_summary, state_view
@@ -98,6 +98,20 @@ def write_deltas(deltas: Mapping[str, DataFrame], root: str) -> list[str]:
     return written
 
 
+def read_deltas(spark: SparkSession, root: str, kinds: Sequence[str], schema: str) -> DataFrame:
+    """Changes of the kinds that were written, with ``change_type``; without any an empty table."""
+    if not kinds:
+        return spark.createDataFrame([], f"{schema}, change_type string")
+    return spark.read.schema(schema).option("header", True).option("basePath", root).csv([f"{root}/change_type={k}" for k in kinds])
+
+
+def count_deltas(changes: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """(change_type, teams) for every kind, 0 where nothing changed."""
+    counts = changes.groupBy("change_type").agg(F.count("*").alias("teams"))
+    named = changes.sparkSession.createDataFrame([(k,) for k in kinds], "change_type string")
+    return named.join(counts, "change_type", "left").select("change_type", F.coalesce("teams", F.lit(0)).alias("teams"))
+
+
 def write_new_teams(rows: DataFrame, root: str, build_id: str) -> bool:
     """New teams of a build; nothing is written when there are none."""
     if rows.isEmpty():

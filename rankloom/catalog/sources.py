@@ -300,7 +300,7 @@ def a14(spark, sf):
     g = A.game_norm(spark, sf)
     home = F.col("home_away") == "H"
     num = lambda c: F.col(c).cast("int").cast("string")
-    day = F.concat(F.date_format("date", "EEEE"), F.lit(", "), F.date_format("date", "MMMM"), F.lit(" "), F.date_format("date", "d"), F.lit(", "), F.date_format("date", "yyyy"))
+    day = F.date_format("date", "EEEE, MMMM d, yyyy")
     day = F.when(F.col("ga") == 5, "no date").otherwise(day)
     g = g.withColumns({c: F.concat(c, F.lit(" 2015")) for c in ("team", "opponent")})
     line = F.when(home, F.concat("team", F.lit("\n"), num("gf"), F.lit(" - "), num("ga"), F.lit("\n"), "opponent")).otherwise(

@@ -71,41 +71,73 @@ def similar_names(
     with the same text are one entry here, however many teams carry them. A block
     full of names that are nearly the same still has as many pairs as it has.
     """
-    def entries(df: DataFrame, side: str) -> DataFrame:
-        return (
-            df.select(*keys, F.col("team_name").alias(f"{side}_name")).where(F.col(f"{side}_name").isNotNull())
-            .distinct().withColumn("_words", F.array_sort(F.array_distinct(tokens(F.col(f"{side}_name")))))
-            .where(F.size("_words") > 0)
-        )
-
-    a, b = stage(entries(left, "left"), "names"), stage(entries(right, "right"), "names")
+    a, b = (_name_entries(df, keys, side, tokens) for df, side in ((left, "left"), (right, "right")))
+    a, b = _ranked(a, b, keys)
+    return _pairs_at(a, b, keys, threshold, strict).distinct()
+
+
+def _name_entries(df: DataFrame, keys: Sequence[str], side: str, tokens: Callable[[Column], Column]) -> DataFrame:
+    """Distinct names of a side that have words, with their word sets; staged."""
+    named = df.select(*keys, F.col("team_name").alias(f"{side}_name")).where(F.col(f"{side}_name").isNotNull()).distinct()
+    return stage(named.withColumn("_words", F.array_sort(F.array_distinct(tokens(F.col(f"{side}_name"))))).where(F.size("_words") > 0), "names")
+
+
+def _ranked(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their words from the rarest of the block on as ``_left`` and ``_right``; staged."""
     # Staged, so that the names with a frequent word can be split in the join.
-    counts = stage(
-        a.select(F.explode("_words").alias("word")).unionAll(b.select(F.explode("_words")))
-        .groupBy("word").agg(F.count("*").alias("n")), "word_counts")
+    words = [df.select(*keys, F.explode("_words").alias("word")) for df in (a, b)]
+    counts = stage(words[0].unionAll(words[1]).groupBy(*keys, "word").agg(F.count("*").alias("n")), "word_counts")
+
+    def ranked(df: DataFrame, side: str) -> DataFrame:
+        ordered = df.select(*keys, f"{side}_name", F.explode("_words").alias("word")).join(counts, [*keys, "word"]).groupBy(*keys, f"{side}_name").agg(
+            F.array_sort(F.collect_list(F.struct("n", "word"))).alias("_r"))
+        return stage(ordered.select(*keys, f"{side}_name", F.col("_r.word").alias(f"_{side}")), "ranked-names")
 
+    return ranked(a, "left"), ranked(b, "right")
+
+
+def _pairs_at(a: DataFrame, b: DataFrame, keys: Sequence[str], threshold: float, strict: bool) -> DataFrame:
+    """(keys, left_name, right_name, score) of ranked sides whose overlap reaches ``threshold``; a pair may come more than once."""
     def prefixes(df: DataFrame, side: str) -> DataFrame:
-        ordered = (
-            df.select(*keys, f"{side}_name", "_words", F.explode("_words").alias("word")).join(counts, "word")
-            .groupBy(*keys, f"{side}_name", "_words")
-            .agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("_ranked"))
-        )
-        size = F.size("_ranked")
+        size = F.size(f"_{side}")
         keep = (size - F.ceil(size * F.lit(threshold) - 1e-9) + 1).cast("int")
-        return ordered.select(
-            *keys, f"{side}_name", F.col("_words").alias(f"_{side}"),
-            F.explode(F.slice("_ranked", F.lit(1), keep)).alias("_p"),
-        ).withColumn("_word", F.col("_p.word")).drop("_p")
+        return df.select("*", F.posexplode(F.slice(f"_{side}", F.lit(1), keep)).alias(f"_{side}_at", "_word"))
 
-    score = text.jaccard(F.col("_left"), F.col("_right"))
-    pairs = prefixes(a, "left").join(prefixes(b, "right"), [*keys, "_word"])
-    # Lengths too far apart cannot reach the threshold.
     la, lb = F.size("_left"), F.size("_right")
-    pairs = pairs.where((la >= lb * threshold - 1e-9) & (lb >= la * threshold - 1e-9))
-    pairs = pairs.withColumn("score", score).where(
-        F.col("score") > threshold if strict else F.col("score") >= threshold
-    )
-    return pairs.select(*keys, "left_name", "right_name", "score").distinct()
+    pairs = prefixes(a, "left").join(prefixes(b, "right"), [*keys, "_word"])
+    # Lengths too far apart cannot reach the threshold. Behind the first shared word, the rest of either side must suffice.
+    pairs = pairs.where((la >= lb * threshold - 1e-9) & (lb >= la * threshold - 1e-9) & (
+        F.least(la - F.col("_left_at"), lb - F.col("_right_at")) >= (la + lb) * (threshold / (1.0 + threshold)) - 1e-9))
+    shared = F.size(F.array_intersect("_left", "_right"))
+    scored = pairs.select(*keys, "left_name", "right_name", (la + lb).alias("_both"), shared.alias("_shared")).withColumn(
+        "score", F.col("_shared") / (F.col("_both") - F.col("_shared")))
+    return scored.where(F.col("score") > threshold if strict else F.col("score") >= threshold).drop("_both", "_shared")
+
+
+#: Overlaps at which best matches are looked for, one after the other, before the threshold.
+LEVELS = (0.85, 0.75, 0.65)
+
+
+def best_similar(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], threshold: float, tokens: Callable[[Column], Column] = text.name_tokens,
+) -> DataFrame:
+    """(keys, left_name, right_name, score): for each name on the left the most similar one of its block above ``threshold``.
+
+    Ties go to the smaller name on the right. Exact, and without the pairs of a block: names with the same words are
+    settled first. The others are compared at falling overlaps; a name that finds any match at one of them has found its
+    best and is not compared further, so the long prefixes of a low threshold are those of few names.
+    """
+    keys = list(keys)
+    a, b = (_name_entries(df, keys, side, tokens) for df, side in ((left, "left"), (right, "right")))
+    same = a.join(b.groupBy(*keys, "_words").agg(F.min("right_name").alias("right_name")), [*keys, "_words"]).select(
+        *keys, "left_name", "right_name", F.lit(1.0).alias("score")).where(F.col("score") > threshold)
+    found = [stage(same, "same-words")]
+    open_names, b = _ranked(a.join(found[0], [*keys, "left_name"], "left_anti"), b, keys)
+    for level in (*[x for x in LEVELS if x > threshold], threshold):
+        pairs = _pairs_at(open_names, b, keys, level, level == threshold)
+        found.append(stage(best_row(pairs, [*keys, "left_name"], [F.desc("score"), F.asc("right_name")]), "best-names"))
+        open_names = open_names.join(found[-1], [*keys, "left_name"], "left_anti")
+    return reduce(DataFrame.unionByName, found)
 
 
 #: Ways to compare names: what they are cut into (none: the weighted score), and what a rename must exceed.
@@ -125,6 +157,9 @@ def renamed_teams(new: DataFrame, old: DataFrame, threshold: float | None = None
     keys = list(key_cols)
     tokens, usual = SCORERS[scorer]
     threshold = usual if threshold is None else threshold
+    # Staged: both builds are read several times.
+    used = [*keys, "team_name", *[c for c in ("rank", "points") if c in old.columns and c in new.columns]]
+    new, old = (stage(build.select(*used), "build") for build in (new, old))
     sizes_new = new.groupBy(*keys).agg(F.count("*").alias("_n_new"))
     sizes_old = old.groupBy(*keys).agg(F.count("*").alias("_n_old"))
     uneven = sizes_new.join(sizes_old, keys).where("_n_new <> _n_old").select(*keys)
@@ -132,8 +167,7 @@ def renamed_teams(new: DataFrame, old: DataFrame, threshold: float | None = None
     if tokens is None:
         best = best_matches(*sides, keys, threshold)
     else:
-        pairs = similar_names(*sides, keys, threshold, strict=True, tokens=tokens)
-        best = best_row(pairs, [*keys, "left_name"], [F.desc("score"), F.asc("right_name")])
+        best = best_similar(*sides, keys, threshold, tokens)
     extra = [c for c in ("rank", "points") if c in old.columns and c in new.columns]
     first_old = best_row(
         old.select(*keys, F.col("team_name").alias("right_name"), *[F.col(c).alias(f"old_{c}") for c in extra]),

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from rankloom.functions import text
+from rankloom.operators import delta
 from rankloom.sources import payloads, sinks
 
 TEAM = "provider string, team_id_source string, team_id_master string, team_name string, club_name string, age_group string, gender string, state string"
@@ -37,3 +39,19 @@ def test_documents_and_rejects(spark):
     rows, rejected = payloads.read_payloads(df, payloads.MATCH_LISTS)
     assert sorted((r["n"], r["pos"]) for r in rows.collect()) == [(0, 0), (1, 0), (1, 1), (2, 0), (4, 0)]
     assert sorted(r["n"] for r in rejected.collect()) == [5, 6, 7, 8, 9, 10]
+
+
+def test_best_similar_names_without_the_pairs_of_a_block(spark, monkeypatch):
+    names = [("AZ", f"Valley District {i % 3} Squad {i * 7919 % 4000}") for i in range(150)]
+    new, old = [(s, n + " Gold") if i % 5 == 1 else (s, n.upper()) if i % 5 == 2 else (s, n) for i, (s, n) in enumerate(names)], names[::2]
+    a, b = (spark.createDataFrame(rows, "state string, team_name string") for rows in (new, old))
+    pairs = delta.similar_names(a, b, ["state"], 0.5, strict=True, tokens=text.trigrams).collect()
+    best = {}
+    for r in sorted(pairs, key=lambda r: (-r["score"], r["right_name"])):
+        best.setdefault(r["left_name"], (r["right_name"], r["score"]))
+    compared = []
+    pairs_at = delta._pairs_at
+    monkeypatch.setattr(delta, "_pairs_at", lambda *args: compared.append(pairs_at(*args)) or compared[-1])
+    found = delta.best_similar(a, b, ["state"], 0.5, text.trigrams).collect()
+    assert {r["left_name"]: (r["right_name"], r["score"]) for r in found} == best and len(found) == len(best)
+    assert sum(df.count() for df in compared) < len(pairs) / 4

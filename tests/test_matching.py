@@ -115,3 +115,28 @@ def test_rename_by_score(spark):
     new = spark.createDataFrame([("Rising Phoenix 2015 Boys Premier", "U10", "M", "AZ"), ("Owl", "U12", "M", "AZ")], schema)
     got = [(r["old_team_name"], r["new_team_name"], round(r["similarity_score"], 6)) for r in delta.renamed_teams(new, old, scorer="weighted").collect()]
     assert got == [("Phoenix Rising", "Rising Phoenix 2015 Boys Premier", 85.5)]
+
+
+def test_alike_names_of_a_block_are_not_all_scored(spark, monkeypatch):
+    rng = random.Random(8)
+    old = [f"{rng.choice(['Valley', 'Harbor', 'Summit'])} FC District {i % 13} Squad {i * 7919 % 4000}" for i in range(120)]
+    new = [n + " Gold" if i % 3 else n.upper() if i % 2 else n for i, n in enumerate(old)] + ["Summit FC District 4", "12", "FC Owls"]
+    a, b = (spark.createDataFrame([(n, "AZ", "U10") for n in rows], "team_name string, state string, age_group string") for rows in (new, old))
+    expected = {}
+    for name in set(new):
+        best = min((-round(1.0 if name == other else plain_score(name, other), 9), other) for other in old)
+        if -best[0] > 0.7:
+            expected[name] = (best[1], -best[0])
+    compared = []
+    candidates = matching.candidate_pairs
+    monkeypatch.setattr(matching, "candidate_pairs", lambda *args: compared.append(candidates(*args)) or compared[-1])
+    found = {r["left_name"]: (r["right_name"], r["score"]) for r in matching.best_matches(a, b, KEYS, 0.7).collect()}
+    assert found == expected
+    assert sum(df.count() for df in compared) < len(new) * len(old) / 4
+
+
+def test_letter_pairs_of_a_text_that_is_worked_out(spark):
+    text = F.array_join(sim.words(F.col("name")), " ")
+    df = spark.createDataFrame([("b aab",), ("",), (None,)], "name string").select(matching.letter_pairs(text, (" ", " ")).alias("p"))
+    assert [r["p"] for r in df.collect()][:2] == [[" a1", "aa1", "ab1", "b 1", " b1", "b 2"], ["  1"]]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,10 @@ from rankloom.functions.text import missing_reason
 from rankloom.operators.ordering import exact_quantiles, global_positions
 from rankloom.storage import stage
 
+#: Side of the grid of two-hop cells, and the teams in a block: at the most a cell's bitmaps take 128 MB.
+GRID, LEAST_TEAMS, MOST_TEAMS = 5, 1024, 32_768
+MOST_TASKS = 4096
+
 
 def _won() -> Column:
     return F.col("gf") > F.col("ga")
@@ -108,24 +114,67 @@ def two_hop(games: DataFrame, team_id: str) -> DataFrame:
 def two_hop_all(games: DataFrame) -> DataFrame:
     """(team_id_master, network_teams): for every team the number of teams within two games of it, itself among them; exact.
 
-    Teams get dense numbers and a team's opponents become bitmaps over them, of 32,768 numbers each. What opponents have met
-    is the union of their bitmaps, so a pair of teams sends bitmaps, never the pairs of pairs.
+    Teams get dense numbers and are cut into blocks. Who has met whom is sent as lists of numbers: to each cell of the
+    grid (block of teams, block of teams they reach) goes what its teams have met, and what those have met of the other
+    block. A task joins them in one bitmap per team of the cell, opponent by opponent, so neither pairs of pairs nor
+    bitmaps are sent, and a pair of teams goes along one row and one column of the grid.
     """
-    pairs = stage(games.select("team_id_master", "opponent_id_master").dropna().distinct(), "two-hop-pairs")
+    pairs = games.select("team_id_master", "opponent_id_master").dropna()
     teams = games.select("team_id_master").dropna().distinct()
-    ids = teams.select(F.col("team_id_master").alias("id")).unionByName(pairs.select(F.col("opponent_id_master").alias("id"))).distinct()
-    numbers = stage(global_positions(ids, [], [F.col("id").asc()], "number"), "two-hop-numbers")
-
-    def bitmaps(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("team_id_master", F.bitmap_bucket_number("number").alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
-
-    met = pairs.join(numbers.withColumnRenamed("id", "opponent_id_master"), "opponent_id_master")
-    direct = stage(bitmaps(met), "two-hop-direct")
-    beyond = pairs.join(direct.withColumnRenamed("team_id_master", "opponent_id_master"), "opponent_id_master").select("team_id_master", "bucket", "bits")
-    own = bitmaps(teams.join(numbers.withColumnRenamed("id", "team_id_master"), "team_id_master"))
-    within = direct.unionByName(beyond).unionByName(own).groupBy("team_id_master", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    return within.groupBy("team_id_master").agg(F.sum(F.bitmap_count("bits")).alias("network_teams"))
+    # With itself among its opponents a team reaches itself and whom it has met.
+    met = stage(pairs.unionByName(teams.withColumn("opponent_id_master", F.col("team_id_master"))).distinct(), "two-hop-pairs")
+    ids = met.select(F.col("team_id_master").alias("id")).unionByName(met.select(F.col("opponent_id_master").alias("id"))).distinct()
+    numbers = stage(global_positions(ids, [], [F.col("id").asc()], "number").withColumn("number", F.col("number") - 1), "two-hop-numbers")
+    n = numbers.count()
+    size = min(MOST_TEAMS, max(LEAST_TEAMS, -(-n // GRID)))
+    blocks = max(1, -(-n // size))
+
+    def numbered(rows: DataFrame, column: str, name: str) -> DataFrame:
+        return rows.join(numbers.select(F.col("id").alias(column), F.col("number").alias(name)), column)
+
+    edges = stage(numbered(numbered(met, "team_id_master", "team"), "opponent_id_master", "opponent").select("team", "opponent"), "two-hop-edges")
+
+    def lists(by: str, of: str, side: str, other: str) -> DataFrame:
+        """What ``by`` has to do with each block of ``of``, sent to every cell of that block."""
+        places = edges.select(F.col(by).alias("via"), (F.col(of) / size).cast("int").alias(side), (F.col(of) % size).cast("int").alias("at"))
+        grouped = places.groupBy("via", side).agg(F.collect_list("at").alias("places"))
+        return grouped.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
+            "block", "reached", "via", F.lit(by == "team").alias("outgoing"), "places")
+
+    cells = lists("opponent", "team", "block", "reached").unionByName(lists("team", "opponent", "reached", "block"))
+    ordered = cells.repartitionById(min(blocks * blocks, MOST_TASKS), (F.col("block") * blocks + F.col("reached")).cast("int")).sortWithinPartitions("block", "reached", "via", "outgoing")
+    counts = ordered.mapInArrow(lambda batches: _reached(batches, size), "team long, reached long")
+    totals = counts.groupBy("team").agg(F.sum("reached").alias("network_teams"))
+    return totals.join(numbers, totals["team"] == numbers["number"]).select(F.col("id").alias("team_id_master"), "network_teams")
+
+
+def _reached(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """(team, reached) per cell of rows in order of cell, ``via`` and side: who came by a team, then whom that team has met."""
+    cell, via, came, bits = None, None, None, None
+
+    def counted() -> pa.RecordBatch:
+        found = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+        teams = np.flatnonzero(found)
+        return pa.RecordBatch.from_arrays([pa.array(teams + cell[0] * size), pa.array(found[teams])], names=["team", "reached"])
+
+    for batch in batches:
+        places = batch.column("places")
+        values, ends = places.values.to_numpy(zero_copy_only=False), places.offsets.to_numpy()
+        columns = (batch.column(c).to_pylist() for c in ("block", "reached", "via", "outgoing"))
+        for row, (block, reached, team, outgoing) in enumerate(zip(*columns, strict=True)):
+            if cell != (block, reached):
+                if cell is not None:
+                    yield counted()
+                cell, via, bits = (block, reached), None, np.zeros((size, (size + 63) // 64), np.uint64)
+            at = values[ends[row]:ends[row + 1]]
+            if not outgoing:
+                via, came = team, at
+            elif via == team:
+                met = np.zeros(bits.shape[1] * 64, np.uint8)
+                met[at] = 1
+                bits[came] |= np.packbits(met).view(np.uint64)
+    if cell is not None:
+        yield counted()
 
 
 def head_to_head(games: DataFrame, first: str, second: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from rankloom.functions import text
-from rankloom.operators import delta
+from rankloom.operators import delta, reports
 from rankloom.sources import payloads, sinks
 
 TEAM = "provider string, team_id_source string, team_id_master string, team_name string, club_name string, age_group string, gender string, state string"
@@ -55,3 +55,20 @@ def test_best_similar_names_without_the_pairs_of_a_block(spark, monkeypatch):
     found = delta.best_similar(a, b, ["state"], 0.5, text.trigrams).collect()
     assert {r["left_name"]: (r["right_name"], r["score"]) for r in found} == best and len(found) == len(best)
     assert sum(df.count() for df in compared) < len(pairs) / 4
+
+
+def test_two_hop_reach_sends_no_bitmaps(spark, monkeypatch):
+    games = [(str(i % 40), None if i % 11 == 0 else str(i * i % 61) if i % 7 else f"x{i % 5}") for i in range(150)] + [("40", "40"), ("41", None), (None, "1")]
+    met = {}
+    for team, opponent in games:
+        if team is not None:
+            met.setdefault(team, set()).update({opponent} - {None})
+    expected = {team: len({team}.union(found, *(met.get(o, ()) for o in found))) for team, found in met.items()}
+    monkeypatch.setattr(reports, "LEAST_TEAMS", 1)
+    df = spark.createDataFrame(games, "team_id_master string, opponent_id_master string")
+    for grid in (1, 7):
+        monkeypatch.setattr(reports, "GRID", grid)
+        found = reports.two_hop_all(df)
+        assert "bitmap" not in optimized(found)
+        assert {r["team_id_master"]: r["network_teams"] for r in found.collect()} == expected
+    assert reports.two_hop_all(df.limit(0)).count() == 0

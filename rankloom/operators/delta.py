@@ -98,13 +98,23 @@ def _ranked(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> tuple[DataFrame,
 
 def _pairs_at(a: DataFrame, b: DataFrame, keys: Sequence[str], threshold: float, strict: bool) -> DataFrame:
     """(keys, left_name, right_name, score) of ranked sides whose overlap reaches ``threshold``; a pair may come more than once."""
+    # How many words the larger one of two sets must share decides which of its words it sends, so sets meet by their sizes:
+    # the prefix for a set of the same size is shorter than the one for the smallest set that can reach the threshold.
+    others = {"left": b, "right": a}
+
     def prefixes(df: DataFrame, side: str) -> DataFrame:
+        other = "right" if side == "left" else "left"
         size = F.size(f"_{side}")
-        keep = (size - F.ceil(size * F.lit(threshold) - 1e-9) + 1).cast("int")
-        return df.select("*", F.posexplode(F.slice(f"_{side}", F.lit(1), keep)).alias(f"_{side}_at", "_word"))
+        sizes = stage(others[side].select(*keys, F.size(f"_{other}").alias(f"_{other}_size")).distinct(), "name-sizes")
+        total = size + F.col(f"_{other}_size")
+        share = F.ceil(total * F.lit(threshold / (1.0 + threshold)) - 1e-9)
+        keep = (size - F.greatest(share, F.lit(1)) + 1).cast("int")
+        near = (size >= F.col(f"_{other}_size") * threshold - 1e-9) & (F.col(f"_{other}_size") >= size * threshold - 1e-9)
+        met = df.join(sizes, keys).where(near & (keep > 0)).withColumn(f"_{side}_size", size)
+        return met.select("*", F.posexplode(F.slice(f"_{side}", F.lit(1), keep)).alias(f"_{side}_at", "_word"))
 
     la, lb = F.size("_left"), F.size("_right")
-    pairs = prefixes(a, "left").join(prefixes(b, "right"), [*keys, "_word"])
+    pairs = prefixes(a, "left").join(prefixes(b, "right"), [*keys, "_word", "_left_size", "_right_size"])
     # Lengths too far apart cannot reach the threshold. Behind the first shared word, the rest of either side must suffice.
     pairs = pairs.where((la >= lb * threshold - 1e-9) & (lb >= la * threshold - 1e-9) & (
         F.least(la - F.col("_left_at"), lb - F.col("_right_at")) >= (la + lb) * (threshold / (1.0 + threshold)) - 1e-9))

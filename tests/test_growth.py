@@ -72,3 +72,18 @@ def test_two_hop_reach_sends_no_bitmaps(spark, monkeypatch):
         assert "bitmap" not in optimized(found)
         assert {r["team_id_master"]: r["network_teams"] for r in found.collect()} == expected
     assert reports.two_hop_all(df.limit(0)).count() == 0
+
+
+def test_names_of_a_block_meet_by_their_sizes(spark, monkeypatch):
+    names = [f"{'Red Blue Green Gold Grey'.split()[i % 5]} FC District {i % 13} Squad {i}{' Gold X' * (i % 50 == 7)}" for i in range(260)] + ["", "FC", "FC FC"]
+    df = spark.createDataFrame([("AZ", n) for n in names], "state string, team_name string")
+    words = {r["team_name"]: set(r["w"]) for r in df.select("team_name", text.name_tokens(F.col("team_name")).alias("w")).collect() if r["w"]}
+    expected = {(x, y) for x in words for y in words if len(words[x] & words[y]) / len(words[x] | words[y]) >= 0.6}
+    joined = []
+    where = type(df).where
+    monkeypatch.setattr(type(df), "where", lambda self, test: joined.append(self) or where(self, test))
+    found = {(r["left_name"], r["right_name"]) for r in delta.similar_names(df, df, ["state"], 0.6).collect()}
+    monkeypatch.undo()
+    assert found == expected
+    pairs = next(j for j in joined if {"_left_at", "_right_at"} <= set(j.columns))
+    assert pairs.count() < 260 * 260 / 7

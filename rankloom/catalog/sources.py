@@ -41,8 +41,8 @@ def _write_builds(spark, sf):
     """Two builds: all games, then the ones after 1998 again."""
     root = _new(spark, "builds")
     raw = A.game_raw(spark, sf).select(*GAME_COLUMNS, _slice_key())
-    sinks.write_partitioned(raw, f"{root}/build_20011101_0900/games_feed", ["slice_key"], "csv")
-    sinks.write_partitioned(raw.where("scraped_at >= '1999'"), f"{root}/build_20011102_0900/games_feed", ["slice_key"], "csv")
+    sinks.write_partitioned(raw, f"{root}/build_20011101_0900/games_feed", ["slice_key"], "csv", compression="gzip")
+    sinks.write_partitioned(raw.where("scraped_at >= '1999'"), f"{root}/build_20011102_0900/games_feed", ["slice_key"], "csv", compression="gzip")
     return root
 
 

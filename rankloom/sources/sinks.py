@@ -17,9 +17,10 @@ NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], fmt: str = "parquet", mode: str = "errorifexists",
-                      measures: Sequence[Column] = ()) -> dict[str, object]:
+                      measures: Sequence[Column] = (), compression: str = "none") -> dict[str, object]:
     """One folder per value of ``cols``; the rebalance hint lets large ones spread and small ones merge.
 
+    Text formats are written plain unless ``compression`` names a codec; readers tell by the file name.
     ``measures`` are gathered while the rows are written, behind the shuffle, where a lost task is counted once.
     """
     rows, seen = df.hint("rebalance", *cols), Observation(f"written-{uuid.uuid4().hex}")
@@ -27,7 +28,7 @@ def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], fmt: str =
         rows = rows.observe(seen, *measures)
     writer = rows.write.mode(mode).partitionBy(*cols)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("compression", compression).csv(path)
     else:
         writer.format(fmt).save(path)
     return seen.get if measures else {}

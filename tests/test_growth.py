@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from rankloom.functions import text
 from rankloom.operators import delta, reports
-from rankloom.sources import payloads, sinks
+from rankloom.schemas import GAME_COLUMNS
+from rankloom.sources import files, payloads, sinks
 
 TEAM = "provider string, team_id_source string, team_id_master string, team_name string, club_name string, age_group string, gender string, state string"
 
@@ -87,3 +88,14 @@ def test_names_of_a_block_meet_by_their_sizes(spark, monkeypatch):
     assert found == expected
     pairs = next(j for j in joined if {"_left_at", "_right_at"} <= set(j.columns))
     assert pairs.count() < 260 * 260 / 7
+
+
+def test_builds_are_written_compressed_and_read_back(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("t1", "o1", "2025-01-01", "2", "1"), ("t1", "o1", "2025-01-01", "2", "1"), ("t2", None, "2025-01-02", "0", "0")]
+    games = spark.createDataFrame(rows, "team_id_master string, opponent_id string, game_date string, goals_for string, goals_against string")
+    games = games.select(*[F.col(c) if c in games.columns else F.lit("x").alias(c) for c in GAME_COLUMNS])
+    sinks.write_partitioned(games.withColumn("slice_key", F.lit("AZ_M_U10")), f"{root}/build_1/games_feed", ["slice_key"], "csv", compression="gzip")
+    assert {p.suffix for p in tmp_path.glob("build_1/games_feed/slice_key=*/part-*")} == {".gz"}
+    found = files.consolidate_builds(spark, root, ["AZ"], ["M"], ["U10"])
+    assert sorted((r["team_id_master"], r["slice_key"], r["gf"]) for r in found.collect()) == [("t1", "AZ_M_U10", 2.0), ("t2", "AZ_M_U10", 0.0)]

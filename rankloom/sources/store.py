@@ -83,13 +83,21 @@ class GameStore:
             return self.none
         return self.spark.read.schema(self.none.schema).option("basePath", f"{self.folder}/games").parquet(*found).select(*self.none.columns)
 
-    def _filter(self, days: Sequence[str]) -> DataFrame:
-        kind = "_day string, block int, bitmap binary"
+    def _filter(self, days: Sequence[str]) -> DataFrame | None:
+        """The filter of some days; none where nothing was ever stored in them."""
         wanted = {f"_day={d}" for d in days}
         found = [p for p in list_paths(self.spark, f"{self.folder}/filter/_day=*") if p.rstrip("/").rsplit("/", 1)[1] in wanted]
         if not found:
-            return self.spark.createDataFrame([], kind)
-        return self.spark.read.schema(kind).option("basePath", f"{self.folder}/filter").parquet(*found)
+            return None
+        return self.spark.read.schema("_day string, block int, bitmap binary").option("basePath", f"{self.folder}/filter").parquet(*found)
+
+    def _extend(self, before: DataFrame | None, fresh: DataFrame) -> None:
+        """Have the filter know ``fresh`` too. Days without a fresh key keep their filter: keys it takes for known add no bit."""
+        added = bloom_filter(fresh, self.keys)
+        if before is not None:
+            days = [r["_day"] for r in fresh.select("_day").distinct().collect()]
+            added = stage(merged(before.where(F.col("_day").isin(days)), added), "store-filter")
+        self._write(added, "filter", "overwrite")
 
     def _write(self, rows: DataFrame, table: str, mode: str) -> None:
         """Rows by day; overwriting touches the days of ``rows`` alone."""
@@ -97,25 +105,34 @@ class GameStore:
 
     def append(self, new: DataFrame) -> dict[str, int]:
         """Add games; returns how many were surely new, were compared, and how many days were written again."""
-        names = self.none.columns
-        rows = stage(best_row(new, self.keys, [F.col(self.newest).desc_nulls_last()]).select(*names, self.folder_of), "store-new")
+        names, newest = self.none.columns, [F.col(self.newest).desc_nulls_last()]
+        # Dealt by key before they are numbered: games hardly repeat, so a limit ahead of the shuffle would sort every row for nothing.
+        rows = stage(best_row(new.repartition(*self.keys), self.keys, newest).select(*names, self.folder_of), "store-new")
         days = [r["_day"] for r in rows.select("_day").distinct().collect()]  # bounded by the calendar
         before = self._filter(days)
-        looked = join_on(rows.withColumn("block", _block(self.keys)), before, ["_day", "block"], "left")
-        asked = stage(looked.withColumn("_maybe", _known(F.col("bitmap"), _positions(self.keys))).select(*names, "_day", "_maybe"), "store-asked")
-        self._write(stage(merged(before, bloom_filter(rows, self.keys)), "store-filter"), "filter", "overwrite")
+        if before is None:
+            asked = rows.withColumn("_maybe", F.lit(False))
+        else:
+            looked = join_on(rows.withColumn("block", _block(self.keys)), before, ["_day", "block"], "left")
+            asked = stage(looked.withColumn("_maybe", _known(F.col("bitmap"), _positions(self.keys))).select(*names, "_day", "_maybe"), "store-asked")
+        self._extend(before, asked.where("NOT _maybe"))
         maybe = asked.where("_maybe").drop("_maybe")
         seen_days = [r["_day"] for r in maybe.select("_day").distinct().collect()]
-        stored = self.read(seen_days).select(*self.keys, F.col(self.newest).alias("_stored"), F.lit(True).alias("_there"))
-        met = stage(join_on(maybe, stored, self.keys, "left"), "store-met")
-        newer = F.col("_there") & F.coalesce(F.col(self.newest) > F.col("_stored"), F.col(self.newest).isNotNull() & F.col("_stored").isNull())
-        replaced = met.where(newer).drop("_stored", "_there")
-        again = [r["_day"] for r in replaced.select("_day").distinct().collect()]
-        fresh = asked.where("NOT _maybe").drop("_maybe").unionByName(met.where("_there IS NULL").drop("_stored", "_there"))
+        fresh, again, compared = asked.where("NOT _maybe").drop("_maybe"), [], 0
+        if seen_days:
+            stored = self.read(seen_days).select(*self.keys, F.col(self.newest).alias("_stored"), F.lit(True).alias("_there"))
+            met = stage(join_on(maybe, stored, self.keys, "left"), "store-met")
+            compared = met.count()
+            newer = F.col("_there") & F.coalesce(F.col(self.newest) > F.col("_stored"), F.col(self.newest).isNotNull() & F.col("_stored").isNull())
+            replaced = met.where(newer).drop("_stored", "_there")
+            again = [r["_day"] for r in replaced.select("_day").distinct().collect()]
+            fresh = fresh.unionByName(met.where("_there IS NULL").drop("_stored", "_there"))
         if again:
-            # Days that are written again take their fresh rows along; staged, since they are read and written at once.
-            whole = self.read(again).select("*", self.folder_of).unionByName(replaced).unionByName(fresh.where(F.col("_day").isin(again)))
-            self._write(stage(best_row(whole, self.keys, [F.col(self.newest).desc_nulls_last()]), "store-days"), "games", "overwrite")
+            # Days that are written again take their fresh rows along. Stored keys are unique and so are new ones, so what is not
+            # replaced stays as it is. Spark moves the new files in after all stored ones were read.
+            gone = join_on(self.read(again).select("*", self.folder_of), replaced.select(*self.keys, F.lit(True).alias("_gone")), self.keys, "left")
+            whole = gone.where("_gone IS NULL").drop("_gone").unionByName(replaced).unionByName(fresh.where(F.col("_day").isin(again)))
+            self._write(whole, "games", "overwrite")
             fresh = fresh.where(~F.col("_day").isin(again))
         self._write(fresh, "games", "append")
-        return {"new": asked.where("NOT _maybe").count(), "compared": met.count(), "days_rewritten": len(again)}
+        return {"new": asked.where("NOT _maybe").count(), "compared": compared, "days_rewritten": len(again)}

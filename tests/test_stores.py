@@ -126,3 +126,19 @@ def test_survivors_among_rows_that_differ_in_maps(spark):
     df = spark.createDataFrame([("k", {"a": i}, [{"b": i}]) for i in range(6)], "key string, m map<string,int>, l array<map<string,int>>")
     picks = {str(best_row(df.repartition(n), ["key"], []).select("m", "l").first()) for n in (1, 2, 3, 5)}
     assert len(picks) == 1
+
+
+def test_days_without_a_new_key_keep_their_filter(spark, store):
+    def filters():
+        return {d: sorted(f for f in os.listdir(os.path.join(store.folder, "filter", d)) if f.endswith(".parquet"))
+                for d in os.listdir(f"{store.folder}/filter") if d.startswith("_day=")}
+
+    rows = [("a", "2025-01-01", 1, "1"), ("b", "2025-01-01", 1, "1"), ("a", "2025-01-02", 2, None), (None, None, 0, "1")]
+    assert store.append(games(spark, rows + rows[:1]))["new"] == 4
+    before = filters()
+    got = store.append(games(spark, [(t, d, n, "2") for t, d, n, _ in rows[1:]] + [("c", "2025-01-02", 2, "2")]))
+    assert got == {"new": 1, "compared": 3, "days_rewritten": 3}
+    after = filters()
+    assert after["_day=2025-01-01"] == before["_day=2025-01-01"] and after["_day=none"] == before["_day=none"]
+    assert after["_day=2025-01-02"] != before["_day=2025-01-02"]
+    assert content(store) == sorted([("a", "2025-01-01", 1, "1"), ("b", "2025-01-01", 1, "2"), ("a", "2025-01-02", 2, "2"), ("", "None", 0, "2"), ("c", "2025-01-02", 2, "2")])

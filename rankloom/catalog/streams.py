@@ -47,7 +47,9 @@ def s01(spark, sf):
     as_of = F.lit(DAY).cast("date")
     rows = A.table(spark, sf, "events").withColumn("early", (F.col("event_id") % 3 != 0) & (F.to_date("ts") < "2024-01-20"))
     for early in (True, False):
-        rows.where(F.col("early") == early).withColumn("file", F.col("event_id") % 9).write.partitionBy("file").mode("append").parquet(f"{folder}/in")
+        # One file per key however many tasks read the table: a run takes as many batches at any size.
+        rows.where(F.col("early") == early).withColumn("file", F.col("event_id") % 9).repartition("file").write.partitionBy("file").mode(
+            "append").parquet(f"{folder}/in")
         stream = I.game_stream(spark, f"{folder}/in", spark.read.parquet(f"{folder}/in").schema, files_per_batch=4)
         progress = state.run_progress(_event_games(stream), f"{folder}/job", as_of, 20)
     return progress.withColumn("last_scraped", day_text("last_scraped"))

@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import date
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -29,7 +29,7 @@ STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
-DAY_MS = 86_400_000
+DAY_MS, EPOCH = 86_400_000, date(1970, 1, 1)
 
 
 @contextmanager
@@ -70,7 +70,7 @@ def run_stateful(stream: DataFrame, processor: StatefulProcessor, key: str, outp
     """Process all that is available; rows that the processor gives go to ``<folder>/out``, once each."""
     spark = stream.sparkSession
     with state_store(spark):
-        found = stream.groupBy(key).transformWithStateInPandas(
+        found = stream.groupBy(key).transformWithState(
             processor, outputStructType=output, outputMode="Append", timeMode=time_mode)
         found.writeStream.format("parquet").option("checkpointLocation", f"{folder}/offsets").option(
             "path", f"{folder}/out").outputMode("append").trigger(availableNow=True).start().awaitTermination()
@@ -101,29 +101,33 @@ class Marks(StatefulProcessor):
         self.handle = handle
         self.mark = handle.getValueState("mark", MARK)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        run, pinned, last, games = self.mark.get() if self.mark.exists() else (-1, None, None, 0)
-        known = run >= 0
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        found = self.mark.get()
+        before = tuple(found) if found else (-1, None, None, 0)
+        run, pinned, last, games = before
         if run < self.run:
             run, pinned = self.run, last
-        for batch in rows:
-            dates = batch["date"][batch["accepted"] & ((batch["date"] >= pinned) if pinned else True)]
-            if len(dates):
-                newest = dates.max()
-                last, games, known = newest if last is None else max(last, newest), games + len(dates), True
-        if known:
+        dates = [r["date"] for r in rows if r["accepted"] and (pinned is None or r["date"] >= pinned)]
+        if dates:
+            last, games = max(dates) if last is None else max(last, max(dates)), games + len(dates)
+        if (found or dates) and (run, pinned, last, games) != before:
             self.mark.update((run, pinned, last, games))
-            if self.keep_days is not None and last is not None:
-                for old in list(self.handle.listTimers()):
-                    self.handle.deleteTimer(old)
-                self.handle.registerTimer(int(pd.Timestamp(last).timestamp()) * 1000 + (self.keep_days + 1) * DAY_MS)
+            if self.keep_days is not None and last != before[2]:
+                # One timer stands, at the time that the last date gave it.
+                if before[2] is not None:
+                    self.handle.deleteTimer(self._forget_at(before[2]))
+                self.handle.registerTimer(self._forget_at(last))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.mark.exists():
-            _, _, last, games = self.mark.get()
+    def _forget_at(self, last: date) -> int:
+        return (last - EPOCH).days * DAY_MS + (self.keep_days + 1) * DAY_MS
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        found = self.mark.get()
+        if found:
+            _, _, last, games = found
             self.mark.clear()
-            yield pd.DataFrame({"team_id_master": [key[0]], "last_scraped": [last], "games_scraped": [games]})
+            yield Row(team_id_master=key[0], last_scraped=last, games_scraped=games)
 
     def close(self) -> None:
         pass
@@ -165,29 +169,39 @@ class Identities(StatefulProcessor):
         self.feeds = handle.getMapState("feeds", "provider string", FEED)
         self.span = handle.getValueState("span", SPAN)
 
-    def _earliest(self, state, seen: pd.Series) -> None:
+    def _earliest(self, state, seen: dict[str, str]) -> None:
         for name, first in seen.items():
-            if not state.containsKey((name,)) or first < state.getValue((name,))[0]:
+            known = state.getValue((name,))
+            if known is None or first < known[0]:
                 state.updateValue((name,), (first,))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first, name, last = self.span.get() if self.span.exists() else (None, None, None)
-        for batch in rows:
-            seen = batch["seen_at"]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = self.span.get()
+        first, name, last = before or (None, None, None)
+        aliases: dict[str, str] = {}
+        clubs: dict[str, str] = {}
+        feeds: dict[str, tuple[str, str]] = {}
+        for r in rows:
+            seen = r["seen_at"]
             # Sighting and name as one sortable pair; a sighting without a time comes first, as in the batch form.
-            at = min(zip(seen, batch["team_name"].fillna(""), strict=True))
+            at = (seen, r["team_name"] or "")
             if first is None or at < (first, name or ""):
-                first, name = at[0], at[1]
-            last = seen.max() if last is None else max(last, seen.max())
-            for state, column in ((self.aliases, "alias"), (self.clubs, "club")):
-                named = batch[batch[column].notna()]
-                if len(named):
-                    self._earliest(state, named.groupby(column)["seen_at"].min())
-            for provider, entries in batch[batch["provider"].notna()].groupby("provider"):
-                newest = max(zip(entries["seen_at"], entries["provider_team_id"].fillna(""), strict=True))
-                if not self.feeds.containsKey((provider,)) or newest > tuple(self.feeds.getValue((provider,))):
-                    self.feeds.updateValue((provider,), newest)
-        self.span.update((first, name, last))
+                first, name = at
+            last = seen if last is None else max(last, seen)
+            for named, column in ((aliases, "alias"), (clubs, "club")):
+                if r[column] is not None:
+                    named[r[column]] = min(seen, named.get(r[column], seen))
+            if r["provider"] is not None:
+                entry = (seen, r["provider_team_id"] or "")
+                feeds[r["provider"]] = max(entry, feeds.get(r["provider"], entry))
+        self._earliest(self.aliases, aliases)
+        self._earliest(self.clubs, clubs)
+        for provider, newest in feeds.items():
+            known = self.feeds.getValue((provider,))
+            if known is None or newest > tuple(known):
+                self.feeds.updateValue((provider,), newest)
+        if before is None or (first, name, last) != tuple(before):
+            self.span.update((first, name, last))
         return iter(())
 
     def close(self) -> None:

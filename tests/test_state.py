@@ -102,3 +102,58 @@ def test_empty_stream(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.createDataFrame([], SCHEMA).write.parquet(source)
     assert run(stream_of(spark, source, 1), str(tmp_path / "job")) == {}
+
+
+class Kept(dict):
+    """A state variable that counts what it is asked."""
+
+    def __init__(self):
+        self.calls = []
+
+    def _called(self, name, result=None):
+        self.calls.append(name)
+        return result
+
+    def get(self):
+        return self._called("get", self.__dict__.get("value"))
+
+    def update(self, value):
+        self._called("update")
+        self.value = value
+
+    def getValue(self, key):
+        return self._called("getValue", dict.get(self, key))
+
+    def updateValue(self, key, value):
+        self._called("updateValue")
+        self[key] = value
+
+    def registerTimer(self, at):
+        self._called("registerTimer")
+
+    def deleteTimer(self, at):
+        self._called("deleteTimer")
+
+
+def test_a_team_asks_its_state_little(spark):
+    from datetime import date
+
+    marks = state.Marks(0, 20)
+    marks.handle, marks.mark = Kept(), Kept()
+    for day in (3, 9, 9, 5):
+        list(marks.handleInputRows(("a",), iter([{"date": date(2025, 1, day), "accepted": True}]), None))
+    list(marks.handleInputRows(("a",), iter([{"date": date(2025, 1, 20), "accepted": False}]), None))
+    assert marks.mark.value == (0, None, date(2025, 1, 9), 4)
+    assert marks.mark.calls.count("get") == 5 and marks.mark.calls.count("update") == 4 and len(marks.mark.calls) == 9
+    assert marks.handle.calls == ["registerTimer", "deleteTimer", "registerTimer"]
+
+
+def test_a_known_sighting_changes_no_state(spark):
+    known = state.Identities()
+    known.aliases, known.clubs, known.feeds, known.span = Kept(), Kept(), Kept(), Kept()
+    row = {"seen_at": "3", "team_name": "Red", "alias": "Red", "club": "Club", "provider": "f", "provider_team_id": "1"}
+    for _ in range(2):
+        list(known.handleInputRows(("a",), iter([dict(row), {**row, "seen_at": "4", "alias": None, "provider_team_id": None}]), None))
+    assert (dict(known.aliases), dict(known.clubs), dict(known.feeds)) == ({("Red",): ("3",)}, {("Club",): ("3",)}, {("f",): ("4", "")})
+    assert known.span.value == ("3", "Red", "4")
+    assert known.aliases.calls == ["getValue", "updateValue", "getValue"] and known.span.calls == ["get", "update", "get"]

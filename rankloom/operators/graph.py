@@ -39,19 +39,21 @@ def baseline_schedule(games: DataFrame, strengths: DataFrame) -> DataFrame:
     A game against oneself counts once. Teams without a known opponent get the
     median of all strengths. ``strengths`` should be staged.
     """
+    # A pair is one row with its number of games, however often it played.
     one_way = games.select(
         F.col("team_id_master").alias("team"), F.col("opponent_id_master").alias("opponent")
-    )
-    other_way = one_way.where(~F.col("team").eqNullSafe(F.col("opponent"))).select(
-        F.col("opponent").alias("team"), F.col("team").alias("opponent")
+    ).dropna().groupBy("team", "opponent").agg(F.count("*").alias("games"))
+    one_way = stage(one_way, "one_way")
+    other_way = one_way.where("team <> opponent").select(
+        F.col("opponent").alias("team"), F.col("team").alias("opponent"), "games"
     )
     known = strengths.select(F.col("team").alias("opponent"), F.col("strength").alias("opp_strength"))
     met = stage(
         one_way.unionByName(other_way).join(known, "opponent")
-        .join(strengths.select("team"), "team", "left_semi").select("team", "opp_strength"),
+        .join(strengths.select("team"), "team", "left_semi").select("team", "opp_strength", "games"),
         "met",
     )
-    medians = exact_quantiles(met, ["team"], ["opp_strength"], [0.5])
+    medians = exact_quantiles(met, ["team"], ["opp_strength"], [0.5], "games")
     league = exact_quantiles(strengths, [], ["strength"], [0.5]).select(F.col("strength_q")[0]).scalar()
     return strengths.join(medians, "team", "left").select(
         "team", F.coalesce(F.col("opp_strength_q")[0], league).alias("baseline_sos")

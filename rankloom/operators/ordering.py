@@ -58,17 +58,20 @@ def ranked(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], na
     return global_positions(df, group_cols, order, name)
 
 
-def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str], probs: Sequence[float],
+                    times: str | None = None) -> DataFrame:
     """Linear-interpolated quantiles: one row per group, ``<col>_q`` array per value column.
 
     Equal values are counted first, so a tie is one row whatever its size; the
     values around each quantile are those at which the running count passes its
     place. A missing key is a group, and a group without values has a null array.
+    ``times`` names a column that says how often a row counts.
     """
     groups = list(group_cols)
     values = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in value_cols])
-    counts = df.select(*groups, F.explode(values).alias("_p")).select(*groups, "_p._col", "_p._v").groupBy(
-        *groups, "_col", "_v").agg(F.count("*").alias("_n"))
+    often = F.col(times) if times else F.lit(1)
+    counts = df.select(*groups, often.cast("long").alias("_t"), F.explode(values).alias("_p")).select(*groups, "_t", "_p._col", "_p._v").groupBy(
+        *groups, "_col", "_v").agg(F.sum("_t").alias("_n"))
     key = [*groups, "_col"]
     rows = _in_order(counts.where(F.col("_v").isNotNull()), key, [F.col("_v")])
     inside = Window.partitionBy("_pid").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)

@@ -99,3 +99,23 @@ def test_builds_are_written_compressed_and_read_back(spark, tmp_path):
     assert {p.suffix for p in tmp_path.glob("build_1/games_feed/slice_key=*/part-*")} == {".gz"}
     found = files.consolidate_builds(spark, root, ["AZ"], ["M"], ["U10"])
     assert sorted((r["team_id_master"], r["slice_key"], r["gf"]) for r in found.collect()) == [("t1", "AZ_M_U10", 2.0), ("t2", "AZ_M_U10", 0.0)]
+
+
+def test_schedule_pairs_are_rows_however_often_they_played(spark, monkeypatch):
+    from statistics import median
+
+    from rankloom.operators import graph
+
+    games = ([("a", "b")] * 400 + [("a", "c")] * 399 + [("a", "d")] * 3 + [("b", "b"), ("c", None), (None, "c"), ("d", "x")]) * 2
+    strength = {"a": 1.0, "b": 2.0, "c": 5.0, "d": 9.0}
+    met = {t: [] for t in strength}
+    for x, y in games:
+        for team, opponent in [(x, y)] + [(y, x)] * (x != y):
+            if team in strength and opponent in strength:
+                met[team].append(strength[opponent])
+    df = spark.createDataFrame(games, "team_id_master string, opponent_id_master string")
+    staged, stage = {}, graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, name="stage": staged.setdefault(name, stage(df, name)))
+    found = graph.baseline_schedule(df, spark.createDataFrame(list(strength.items()), "team string, strength double"))
+    assert {r["team"]: r["baseline_sos"] for r in found.collect()} == {t: median(v or strength.values()) for t, v in met.items()}
+    assert staged["met"].count() == 7

@@ -24,8 +24,12 @@ def flexible_date(text: Column) -> Column:
 
 
 def iso_date(text: Column) -> Column:
-    """Date part of ISO text; null when it does not parse."""
-    return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), text.try_cast("timestamp").cast("date"))
+    """Date part of ISO text; null when it does not parse.
+
+    The cast reads plain days as well. One short expression: filters on it are copied below joins and must stay small enough
+    to be compiled.
+    """
+    return text.try_cast("timestamp").cast("date")
 
 
 def result_code(goals_for: Column, goals_against: Column) -> Column:

@@ -119,3 +119,14 @@ def test_schedule_pairs_are_rows_however_often_they_played(spark, monkeypatch):
     found = graph.baseline_schedule(df, spark.createDataFrame(list(strength.items()), "team string, strength double"))
     assert {r["team"]: r["baseline_sos"] for r in found.collect()} == {t: median(v or strength.values()) for t, v in met.items()}
     assert staged["met"].count() == 7
+
+
+def test_iso_dates_are_one_cast_with_the_results_of_the_pattern(spark):
+    from rankloom.functions.games import iso_date
+
+    texts = ("2024-02-29", "2023-02-29", "0000-01-01", "0001-01-01", "1582-10-10", "2024-1-5", " 2024-01-05 ", "2024-01-05T23:30:00-05:00", "2024-01-05\n",
+             "12024-01-05", "+12024-01-05", "-2024-01-05", "2024-01-05x", "not a date", "", None, "2024", "2024-13-01", "24-01-01", "10:00", "T10:00", "9999-12-31")
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    pattern = F.coalesce(F.try_to_date("t", "yyyy-MM-dd"), F.col("t").try_cast("timestamp").cast("date"))
+    assert df.where(~pattern.eqNullSafe(iso_date(F.col("t")))).count() == 0
+    assert "gettimestamp" not in optimized(df.select(iso_date(F.col("t")))).lower()

@@ -8,7 +8,9 @@ documents are packed greedily, the largest that fits first, cut where none fits.
 to sequences whose lengths are powers of two. So no sequence needs padding.
 
 Tokens: words between blanks never share a token in these vocabularies, so each distinct word is encoded once per
-task and documents are put together from arrays.
+task and documents are put together from arrays. Where the vocabulary folds case and parts letters, numbers and signs, a word
+below U+0180 is folded and parted here, each distinct part is encoded once and the tokenizer does the merges alone; other
+words, and those that hold a special token, go through the whole tokenizer.
 
 Defined cases: null and empty texts have one token, the closing one; a text of any length is cut over as many sequences as
 it takes; repeated rows are packed each; null ids are kept; an empty table gives no rows; of other columns only the id
@@ -17,10 +19,14 @@ is read. Sequence ids are unique, not dense: task number times 2^32 and a count.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import unicodedata
 import zlib
 from bisect import bisect_right, insort
-from itertools import islice
+from collections import defaultdict
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +46,36 @@ TRIPLES, KEPT_WORDS, KEPT_CHARS = 4, 400_000, 16_000_000
 SWEEPS = 8
 #: Words encoded together; characters at which Python parts words and the vocabulary does not.
 TOGETHER, PARTED = 1000, "\x1c\x1d\x1e\x1f"
+#: The steps before the merges that ``parts_of`` stands for; its characters are their own NFC and fold one to one.
+BLANKS, PLAIN, OUTSIDE = "\t\n\v\f\r \x85\xa0", [chr(c) for c in range(0x180) if c != 0x130], "[^\0-įı-ſ]"
+FOLDED = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PARTING = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 PIECE = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-class Words(dict):
+def numbers() -> defaultdict:
     """Numbers of words in the order they are first asked for."""
+    return defaultdict(count().__next__)
 
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
+
+def newest(words: dict, known: int) -> list[str]:
+    """The words after the first ``known``."""
+    return list(islice(reversed(words), len(words) - known))[::-1]
+
+
+def parting() -> re.Pattern:
+    """The pattern of ``PARTING`` for characters of ``PLAIN``, and a line feed as a part."""
+    letters, numbers = ("".join(c for c in PLAIN if unicodedata.category(c)[0] == kind) for kind in "LN")
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{BLANKS}{letters}{numbers}]+|\n")
+
+
+def gathered(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ids of all ranges, one range after another."""
+    ends = np.cumsum(lengths)
+    return ids[np.repeat(starts - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 class Encoder:
@@ -56,19 +83,34 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = sorted((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
+        added = self.tokenizer.get_added_tokens_decoder()
+        special = sorted((i, t.content) for i, t in added.items() if t.special)
         self.mark_id, self.mark = special[0] if special else (None, None)
+        shape = json.loads(self.tokenizer.to_str())
+        suffix = shape["model"].get("end_of_word_suffix")
+        self.merges = None
+        if suffix and shape["normalizer"] == FOLDED and shape["pre_tokenizer"] == PARTING and all(t.special for t in added.values()):
+            self.merges = Tokenizer(self.tokenizer.model)
+            self.merges.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            vocabulary = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+            self.parts_of = parting().findall
+            self.whole = re.compile("|".join([OUTSIDE, *(re.escape(t.content) for t in added.values())])).finditer
         self.forget()
 
     def forget(self) -> None:
-        self.words, self.ids, self.at = Words(), np.array([END], np.uint32), np.array([0, 1], np.int64)
-        self.words["\n"] = 0  # stands for the end of a text: no word has a line feed
+        # The line feed stands for the end of a text, and of a word among parts: no word has one.
+        self.words, self.ids, self.at = numbers(), np.array([END], np.uint32), np.array([0, 1], np.int64)
+        self.parts, self.part_ids, self.part_at = numbers(), np.zeros(0, np.uint32), np.zeros(2, np.int64)
+        self.words["\n"], self.parts["\n"]  # asked for first: number 0
         self.chars = 0
 
-    def code(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def code_whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, and how many each has. Words are encoded together, parted by a special token that none of them holds."""
         ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for start in range(0, len(words), TOGETHER):
@@ -85,27 +127,69 @@ class Encoder:
                 counts.append(np.array([len(c) for c in coded], np.int64))
         return np.concatenate(ids), np.concatenate(counts)
 
+    def code_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``code_whole`` for folded parts: the last token of each, and no other, ends with the suffix."""
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for start in range(0, len(parts), TOGETHER):
+            group = parts[start:start + TOGETHER]
+            found = np.array(self.merges.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.last[found])
+            whole = len(ends) == len(group) and ends[-1] == len(found) - 1
+            # Not so where a vocabulary lacks single bytes.
+            found, sizes = (found, np.diff(ends, prepend=-1)) if whole else self.code_whole(group)
+            ids.append(found)
+            counts.append(sizes)
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def code(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, and how many each has, put together from parts."""
+        if self.merges is None:
+            return self.code_whole(words)
+        text = "".join([f"{w}\n" for w in words])
+        at = np.array([m.start() for m in self.whole(text)], np.int64)
+        whole = np.unique(np.searchsorted(np.cumsum([len(w) + 1 for w in words]), at, side="right"))
+        if len(whole):
+            words = list(words)
+            apart = [words[i] for i in whole]
+            for i in whole:
+                words[i] = ""
+            text = "".join([f"{w}\n" for w in words])
+        found, known = self.parts_of(text.lower()), len(self.parts)
+        order = np.fromiter(map(self.parts.__getitem__, found), np.int64, len(found))
+        coded, counts = self.code_parts(newest(self.parts, known))
+        self.part_ids = np.concatenate([self.part_ids, coded])
+        self.part_at = np.concatenate([self.part_at, self.part_at[-1] + np.cumsum(counts, dtype=np.int64)])
+        lengths = np.diff(self.part_at)[order]
+        ids = gathered(self.part_ids, self.part_at[order], lengths)
+        ends = np.cumsum(lengths)[order == 0]
+        lengths = np.diff(ends, prepend=0)
+        if len(whole):
+            coded, counts = self.code_whole(apart)
+            starts = ends - lengths
+            starts[whole], lengths[whole] = len(ids) + np.cumsum(counts) - counts, counts
+            ids = gathered(np.concatenate([ids, coded]), starts, lengths)
+        return ids, lengths
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (with the end)."""
         if len(self.words) > KEPT_WORDS or self.chars > KEPT_CHARS:
             self.forget()
-        known, numbers, sizes = len(self.words), [], []
+        known, found, sizes = len(self.words), [], []
         for text in texts:
             # The short way parts at four control characters as well, which are no blanks for the vocabulary.
             words = text.split() if not any(c in text for c in PARTED) else text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            numbers += map(self.words.__getitem__, words)
-            numbers.append(0)
+            found += words
+            found.append("\n")
             sizes.append(len(words) + 1)
-        new = list(islice(self.words, known, None))
+        order = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
+        new = newest(self.words, known)
         self.chars += sum(map(len, new))
         coded, counts = self.code(new)
         self.ids = np.concatenate([self.ids, coded])
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(counts, dtype=np.int64)])
-        order = np.array(numbers, np.int64)
         length = np.diff(self.at)[order]
-        ends = np.cumsum(length)
-        ids = self.ids[np.repeat(self.at[order] - ends + length, length) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        return ids, np.concatenate([[0], ends[np.cumsum(sizes) - 1]]) if texts else np.zeros(1, np.int64)
+        ids = gathered(self.ids, self.at[order], length)
+        return ids, np.concatenate([[0], np.cumsum(length)[np.cumsum(sizes) - 1]]) if texts else np.zeros(1, np.int64)
 
 
 def encoded(encode: Encoder, unit: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:

@@ -297,3 +297,16 @@ def test_words_encoded_together_equal_words_alone():
     text = "a\x1cb  c\u00a0d\u2028e\nf\tg\x0bh\u3000i"
     ids, _ = encode([text])
     assert ids.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids + [packing.END]
+
+
+def test_plain_words_do_not_pass_the_whole_tokenizer(monkeypatch):
+    encode, asked = packing.Encoder(packing.public_vocabulary()), []
+    whole = encode.code_whole
+    monkeypatch.setattr(encode, "code_whole", lambda words: asked.extend(words) or whole(words))
+    odd = ["İstanbul", "ΑΣ", "Ⱥb", "été", "x<|endoftext|>y", "a’s"]
+    plain = ["Größe", "CAN'T", "we'LLs", "''s", "a1b22²", "_x_", "<|ENDOFTEXT|>", "Œuvre,", "the", "The", "\x85", "\x00\x7f"]
+    texts = [" ".join(plain + odd), " \n", "", " ".join(plain), "a\x1cB \v c\x1dİ", *("".join(f"{chr(c)}A{chr(c)}1'{chr(c)} " for c in range(s, s + 64)) for s in range(0, 0x2100, 64))]
+    ids, at = encode(texts)
+    assert asked[:len(odd)] == odd and not any(all(ord(c) < 0x130 for c in w) and "<|endoftext|>" not in w for w in asked)
+    for i, text in enumerate(texts):
+        assert ids[at[i]:at[i + 1]].tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids + [packing.END]

@@ -2,7 +2,9 @@
 
 A *run key* is the scenario plus optional pool columns (for example gender and
 age group). Every layer is keyed by it, so rating one slice, all slices or a
-whole scenario sweep is the same plan. Layers:
+whole scenario sweep is the same plan. Scenarios that agree in all parameters a
+layer and those below it read share its rows, which are copied to each scenario
+where the first differing layer begins. Layers:
 
 select -> weights -> raw -> opponent / adaptive / performance -> shrink ->
 schedule strength -> scale -> score -> rank.
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,6 +41,14 @@ METRICS = (
     "sao_shrunk", "sad_shrunk", "sos_component", "sao_norm", "sad_norm", "sos_norm", "powerscore",
     "powerscore_adj", "gp_mult",
 )
+# Parameters that decide the rows of a layer, those of the layers below it included.
+SELECTION = (
+    "window_days", "max_games", "goal_diff_cap", "outlier_z", "recent_k", "recent_share", "tail_start", "tail_end",
+    "tail_start_weight", "tail_end_weight", "fill_short_history", "ridge_ga",
+)
+CONTRIBUTION = (
+    *SELECTION, "performance_k", "performance_decay", "performance_threshold", "adaptive_alpha", "adaptive_beta")
+SCHEDULE = (*CONTRIBUTION, "shrink_tau", "unranked_base")
 RANK_ORDER = ("powerscore_adj", "sao_norm", "sad_norm", "sos_norm", "gp_used")
 
 
@@ -68,6 +78,25 @@ class RunSpec:
             return F.lit(as_dict(next(iter(self.configs.values())))[name])
         return F.col(f"_cfg.{name}")
 
+    def _alike(self, names: Sequence[str]) -> dict[str, list[str]]:
+        """Scenarios with equal values of the parameters, by the first of them."""
+        sets: dict[tuple, list[str]] = {}
+        for scenario, config in self.configs.items():
+            sets.setdefault(tuple(as_dict(config)[n] for n in names), []).append(scenario)
+        return {found[0]: found for found in sets.values()}
+
+    def shared(self, names: Sequence[str]) -> RunSpec:
+        """The run with one scenario for all that agree in the parameters."""
+        return replace(self, configs={scenario: self.configs[scenario] for scenario in self._alike(names)})
+
+    def spread(self, df: DataFrame, names: Sequence[str]) -> DataFrame:
+        """Rows of ``shared(names)`` once for every scenario they stand for; no names: the rows have every scenario."""
+        alike = self._alike(names) if names else {}
+        if all(len(found) == 1 for found in alike.values()):
+            return df
+        copies = F.from_json(F.lit(json.dumps(alike)), "map<string, array<string>>")
+        return df.withColumn("scenario", F.explode(F.element_at(copies, F.col("scenario"))))
+
     def _scenario_structs(self) -> Column:
         """All configurations as one constant: parsing a text is far cheaper to build than a literal per value."""
         kinds = {bool: "boolean", int: "int", float: "double", str: "string"}
@@ -193,8 +222,11 @@ def strength_lookup(raw: DataFrame, league: DataFrame, spec: RunSpec) -> DataFra
 
 # ---------------------------------------------------------------- game layers
 
-def game_contributions(selected: DataFrame, strengths: DataFrame, spec: RunSpec) -> DataFrame:
-    """Per game: opponent, adaptive and performance contributions, raw where the opponent is unknown."""
+def game_contributions(selected: DataFrame, strengths: DataFrame, spec: RunSpec, shared: Sequence[str] = ()) -> DataFrame:
+    """Per game: opponent, adaptive and performance contributions, raw where the opponent is unknown.
+
+    ``shared``: both inputs are rows of ``spec.shared(shared)``.
+    """
     opponent = strengths.select(
         *spec.keys, F.col(TEAM).alias("_opp_key"), F.col("off_ratio").alias("opp_off_ratio"),
         F.col("def_ratio").alias("opp_def_ratio"), F.col("def_scaled").alias("opp_def_scaled"),
@@ -205,7 +237,8 @@ def game_contributions(selected: DataFrame, strengths: DataFrame, spec: RunSpec)
         spread_null(F.col(OPPONENT), TEAM, "game_index").alias("_opp_key"),
     )
     # Opponent first, own team last: the rows then already sit by team for the sum that follows.
-    rows = spec.with_params(join_on(join_on(rows, opponent, [*spec.keys, "_opp_key"], "left"), own, spec.team_keys))
+    rows = join_on(join_on(rows, opponent, [*spec.keys, "_opp_key"], "left"), own, spec.team_keys)
+    rows = spec.with_params(spec.spread(rows, shared))
     known = F.col("opp_def_scaled").isNotNull()
     off, dfn = F.col("weight") * F.col("gf"), F.col("weight") * _defence()
     expected = F.col("off_scaled") - F.col("opp_def_scaled")
@@ -266,9 +299,12 @@ def alias_strengths(strengths: DataFrame, aliases: DataFrame | None, spec: RunSp
 
 
 def schedule_strength(
-    selected: DataFrame, shrunk: DataFrame, spec: RunSpec, aliases: DataFrame | None = None
+    selected: DataFrame, shrunk: DataFrame, spec: RunSpec, aliases: DataFrame | None = None, shared: Sequence[str] = ()
 ) -> DataFrame:
-    """Mean strength of each team's distinct opponents; unknown opponents count at the base value."""
+    """Mean strength of each team's distinct opponents; unknown opponents count at the base value.
+
+    ``shared``: ``selected`` are rows of ``spec.shared(shared)``.
+    """
     strength = 0.5 * F.col("sao_shrunk") + 0.5 * F.col("sad_shrunk")
     # Staged, so that a popular opponent's pairs can be split against it.
     lookup = stage(alias_strengths(shrunk.select(*spec.team_keys, strength.alias("strength")), aliases, spec), "strengths")
@@ -283,7 +319,7 @@ def schedule_strength(
         )
     # One distinct after resolving; the mean below then counts each opponent once.
     pairs = pairs.distinct()
-    pairs = pairs.where(F.col("known_id") != canonical_id(F.col(TEAM)))
+    pairs = spec.spread(pairs.where(F.col("known_id") != canonical_id(F.col(TEAM))), shared)
     met = (
         spec.with_params(join_on(pairs, lookup, [*spec.keys, "known_id"], "left"))
         .groupBy(*spec.team_keys)
@@ -377,20 +413,21 @@ def rank_rows(teams: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 
 def rate_teams(games: DataFrame, spec: RunSpec, aliases: DataFrame | None = None) -> DataFrame:
     """All layers up to the score, one row per run key and team (staged, unranked)."""
-    selected = stage(select_games(games, spec), "selected")
-    raw = stage(team_raw(selected, spec), "team_raw")
-    league = stage(league_stats(raw, spec), "league")
-    strengths = strength_lookup(raw, league, spec)
-    layers = team_layers(game_contributions(selected, strengths, spec), spec)
-    shrunk = stage(shrink(raw, layers, league, spec), "shrunk")
-    scheduled = stage(schedule_strength(selected, shrunk, spec, aliases), "scheduled")
+    chosen, played, met = (spec.shared(names) for names in (SELECTION, CONTRIBUTION, SCHEDULE))
+    selected = stage(select_games(games, chosen), "selected")
+    raw = stage(team_raw(selected, chosen), "team_raw")
+    league = stage(league_stats(raw, chosen), "league")
+    strengths = strength_lookup(raw, league, chosen)
+    layers = met.spread(team_layers(game_contributions(selected, strengths, played, SELECTION), played), CONTRIBUTION)
+    shrunk = stage(shrink(met.spread(raw, SELECTION), layers, met.spread(league, SELECTION), met), "shrunk")
+    scheduled = stage(spec.spread(schedule_strength(selected, shrunk, met, aliases, SELECTION), SCHEDULE), "scheduled")
     scaled = robust_scale(
         scheduled, spec.keys,
         {"sao_shrunk": "sao_norm", "sad_shrunk": "sad_norm", "sos_component": "sos_norm"},
     )
-    newest = selected.where(F.col("game_index") == 0).select(
+    newest = spec.spread(selected.where(F.col("game_index") == 0).select(
         *spec.team_keys, F.col("date").alias("last_game_date"), *[c for c in ATTRIBUTES if c not in spec.pool_cols]
-    )
+    ), SELECTION)
     return stage(with_status(join_on(score(scaled, spec), newest, spec.team_keys), spec), "scored")
 
 

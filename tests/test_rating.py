@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rankloom.config import BASELINE, override, scenarios
+from rankloom.config import BASELINE, as_dict, override, scenarios
 from rankloom.operators import ordering
 from rankloom.plans import ranking as R
 from rankloom.plans import tuning as T
@@ -153,6 +153,31 @@ def test_pools_equal_separate_runs(spark):
         assert {t: v for (g, t), v in got.items() if g == gender} == {r["team_id_master"]: (r["rank"], round(r["powerscore_adj"], 9)) for r in alone}
 
 
+def test_scenarios_that_agree_share_layers(spark, monkeypatch):
+    changed = {f"changed_{name}": {name: not value if isinstance(value, bool) else max(1, value // 3) if isinstance(value, int) else value * 1.3}
+               for name, value in as_dict(BASELINE).items()}
+    configs = {name: override(BASELINE, c) for name, c in {"baseline": {}, **changed, "again": {}}.items()}
+    games = stage(spark.createDataFrame(random_games(11, 12, 250), GAME_NORM), "games")
+    aliases = spark.createDataFrame([("A2", "2"), ("A4", "4")], "alias_id string, canonical_id string")
+    spec = R.run_spec(AS_OF.isoformat(), configs, ("gender",))
+
+    def rated():
+        rows = R.rank_teams(games, spec, aliases).collect()
+        return {(r["scenario"], r["gender"], r["team_id_master"]): [r[c] for c in (
+            "rank", "team", "club", "state", "age_group", "gp_used", "status", "last_game_date")] + [pytest.approx(r[c], abs=1e-9) for c in R.METRICS]
+            for r in rows}, len(rows)
+
+    assert len(R.run_spec(AS_OF.isoformat(), scenarios()).shared(R.SELECTION).configs) == 7
+    assert len(spec.shared(R.SELECTION).configs) == len(R.SELECTION) + 1
+    found, size = rated()
+    monkeypatch.setattr(R.RunSpec, "shared", lambda self, names: self)
+    monkeypatch.setattr(R.RunSpec, "spread", lambda self, df, names: df)
+    alone, _ = rated()
+    assert size == len(found) and found.keys() == alone.keys() and {s for s, _, _ in found} == set(configs)
+    plain = {k: [getattr(v, "expected", v) for v in row] for k, row in found.items()}
+    assert all(plain[k] == alone[k] for k in alone)
+
+
 def test_option_fill_short_history_spreads_weight(spark):
     rows = [("t", None, "t", "o", None, "CO", "M", "U10", AS_OF - dt.timedelta(days=i), 2.0, 1.0) for i in range(4)]
     cfg = override(BASELINE, {"fill_short_history": True})

@@ -15,7 +15,7 @@ from rankloom.operators.clean import require_columns
 from rankloom.operators.matching import best_matches
 from rankloom.operators.windows import best_row
 from rankloom.schemas import COMPLETENESS_WEIGHTS, PROVIDER_PREFERENCE
-from rankloom.storage import stage
+from rankloom.storage import shuffled, stage
 
 TEAM_KEY = ("team_name", "age_group", "gender", "state")
 CELL = ("age_group", "gender", "state")
@@ -184,7 +184,7 @@ def renamed_teams(new: DataFrame, old: DataFrame, threshold: float | None = None
         [*keys, "right_name"], [F.col(f"old_{c}").asc_nulls_last() for c in extra] or [F.lit(1)],
     )
     rows = new.select(*keys, F.col("team_name").alias("left_name"), *[F.col(c).alias(f"new_{c}") for c in extra])
-    return rows.join(best, [*keys, "left_name"]).join(first_old, [*keys, "right_name"]).select(
+    return rows.join(shuffled(best), [*keys, "left_name"]).join(shuffled(first_old), [*keys, "right_name"]).select(
         F.col("right_name").alias("old_team_name"), F.col("left_name").alias("new_team_name"), *keys,
         (F.col("score") * 100).alias("similarity_score"),
         *[f"{side}_{c}" for c in extra for side in ("old", "new")],

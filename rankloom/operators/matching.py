@@ -18,7 +18,7 @@ looked for at falling cutoffs: a name that has a match above one has its best an
 
 Letter pairs are numbered by occurrence, so shared ones are counted as multisets. Every name sends only its rarest pairs, as
 many as the bound leaves (a prefix filter; the longer side of a window sends all), and pairs that meet are counted in
-full before they are scored. Names that occur on both sides are settled before all that, at score 1.
+full before they are scored, and so are their letters: a form has at most as many in common as both names hold. Names that occur on both sides are settled before all that, at score 1.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions import similarity as sim
 from rankloom.operators.windows import best_row
-from rankloom.storage import stage
+from rankloom.storage import counted, shuffled, stage
 
 LEAST_CUTOFF = 2 / 3
 #: Scores above which best matches are looked for, one after the other, before the cutoff.
@@ -50,13 +50,29 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _so_far(values: Column, x: Column, i: Column) -> Column:
+    """How often the value at place ``i`` has come up to there."""
+    return F.size(F.filter(F.slice(values, F.lit(1), i + 1), lambda y: y == x))
+
+
+def letters_of(text: Column) -> Column:
+    """The letters of a text without its blanks, as their codes, numbered by occurrence."""
+    def codes(solid: Column) -> Column:
+        return F.filter(F.transform(F.sequence(F.lit(1), F.length(solid) + 1), lambda i: F.ascii(F.substring(solid, i, F.lit(1)))), lambda c: c > 0)
+
+    def numbered(found: Column) -> Column:
+        return F.transform(found, lambda x, i: F.shiftleft(x.cast("long"), 32) + _so_far(found, x, i))
+
+    return _let(_let(F.regexp_replace(text, r"\s", ""), codes), numbered)
+
+
 def letter_pairs(text: Column, ends: tuple[str, str] = ("\x02", "\x03")) -> Column:
     """Letter pairs of the text between its ``ends``, numbered by occurrence."""
     def cut(padded: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2)))
 
     def numbered(pairs: Column) -> Column:
-        return F.transform(pairs, lambda x, i: F.concat(x, F.size(F.filter(F.slice(pairs, F.lit(1), i + 1), lambda y: y == x)).cast("string")))
+        return F.transform(pairs, lambda x, i: F.concat(x, _so_far(pairs, x, i).cast("string")))
 
     return _let(_let(F.concat(F.lit(ends[0]), text, F.lit(ends[1])), cut), numbered)
 
@@ -78,17 +94,20 @@ def _forms(name: Column) -> dict[str, Column]:
 
 def _entries(df: DataFrame, keys: Sequence[str], name_col: str) -> DataFrame:
     """Distinct names with a number, their forms' letter pairs and their words; staged, so that the numbers stay."""
-    named = df.select(*keys, F.col(name_col).alias("name")).where(F.length("name") > 0).distinct()
+    # By number: by their size, which is small for the work that they are, the names would be one task.
+    named = df.select(*keys, F.col(name_col).alias("name")).where(F.length("name") > 0).distinct().repartition(
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     forms = _forms(F.col("name"))
     return stage(named.select(
         F.monotonically_increasing_id().alias("id"), *keys, "name", F.length("name").alias("size"), F.array_distinct(sim.words(F.col("name"))).alias("words"),
+        letters_of(F.col("name")).alias("letters"),
         *[letter_pairs(f, ("\x02", "\x03") if k == "plain" else (" ", " ")).alias(k) for k, f in forms.items()], *[F.length(f).alias(f"{k}_size") for k, f in forms.items()]), "match-names")
 
 
 def _reachable(entries: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Names whose block has others, with ``shortest`` and ``longest`` of these."""
     sizes = others.groupBy(*keys).agg(F.min("size").alias("shortest"), F.max("size").alias("longest"))
-    return entries.join(stage(sizes, "match-sizes"), keys)
+    return entries.join(counted(stage(sizes, "match-sizes")), keys)
 
 
 def _word_share(cutoff: float) -> float:
@@ -146,10 +165,10 @@ def candidate_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], cuto
     keys = list(keys)
     reach = [_reachable(left, right, keys), _reachable(right, left, keys)]
     traces = [_traces(reach[0], keys, cutoff, True), _traces(reach[1], keys, cutoff, False)]
-    counts = stage(traces[0].unionByName(traces[1]).groupBy("trace").agg(F.count("*").alias("n")), "match-counts")
+    counts = counted(stage(traces[0].unionByName(traces[1]).groupBy("trace").agg(F.count("*").alias("n")), "match-counts"))
     a, b = (stage(_rarest(t, counts), "match-traces").withColumnsRenamed({"id": f"{side}_id", "size": f"{side}_size", "words_size": f"{side}_words_size"})
             for t, side in zip(traces, ("left", "right"), strict=True))
-    met = a.join(b, [*keys, "kind", "trace"]).where(
+    met = a.join(shuffled(b), [*keys, "kind", "trace"]).where(
         F.when(F.col("kind") == "words in right", F.col("right_words_size") >= F.col("left_words_size"))
         .when(F.col("kind") == "words in left", F.col("left_words_size") >= F.col("right_words_size"))
         .when(F.col("kind") == "word", F.greatest("left_size", "right_size") >= F.least("left_size", "right_size") * sim.UNEQUAL)
@@ -159,21 +178,24 @@ def candidate_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], cuto
     short = (F.col("size") <= short_size(cutoff)) & (F.col("longest") >= F.col("size") * sim.UNEQUAL)
     for few, all_names, ids in ((reach[0], right, ("left_id", "right_id")), (reach[1], left, ("right_id", "left_id"))):
         letters = _letters(few.where(short), keys).withColumnRenamed("id", ids[0])
-        found = found.unionByName(letters.join(_letters(all_names, keys).withColumnRenamed("id", ids[1]), [*keys, "trace"]).select("left_id", "right_id"))
+        found = found.unionByName(letters.join(shuffled(_letters(all_names, keys).withColumnRenamed("id", ids[1])), [*keys, "trace"]).select("left_id", "right_id"))
 
     def side(df: DataFrame, tag: str, with_keys: bool) -> DataFrame:
         kept = [c for c in df.columns if c not in keys and c != "id"]
         return df.select(F.col("id").alias(f"{tag}_id"), *(keys if with_keys else []), *[F.col(c).alias(f"{tag}_{c}") for c in kept])
 
-    both = found.distinct().join(side(left, "left", True), "left_id").join(side(right, "right", False), "right_id")
+    both = found.distinct().join(shuffled(side(left, "left", True)), "left_id").join(shuffled(side(right, "right", False)), "right_id")
     return both.where((F.col("left_name") != F.col("right_name")) & _can_pass(cutoff)).select(*keys, "left_name", "right_name")
 
 
 def _can_pass(cutoff: float) -> Column:
-    """Whether the shared letter pairs and words of a pair allow a score above the cutoff."""
+    """Whether the shared letters, letter pairs and words of a pair allow a score above the cutoff."""
+    blanks = [F.col(f"{side}_size") - F.size(f"{side}_letters") for side in ("left", "right")]
+    letters = F.size(F.array_intersect("left_letters", "right_letters")) + F.least(*blanks)
+
     def enough(form: str, share: float) -> Column:
         a, b = F.col(f"left_{form}_size"), F.col(f"right_{form}_size")
-        return (F.least(a, b) * 2.0 > (a + b) * share - 1e-9) & (
+        return (F.least(a, b, letters) * 2.0 > (a + b) * share - 1e-9) & (
             F.size(F.array_intersect(f"left_{form}", f"right_{form}")) >= shared_at_least(a + b, share))
 
     shorter, longer = F.least("left_size", "right_size"), F.greatest("left_size", "right_size")
@@ -196,7 +218,7 @@ def best_matches(left: DataFrame, right: DataFrame, keys: Sequence[str], cutoff:
     """
     inner = [f"_key{i}" for i in range(len(keys))]  # a key may be called like a column in here
     a, b = (_entries(df.select(*[F.col(k).alias(i) for k, i in zip(keys, inner, strict=True)], name_col), inner, name_col) for df in (left, right))
-    names = b.select(*inner, "name")
+    names = shuffled(b.select(*inner, "name"))
     same = a.select(*inner, "name").join(names, [*inner, "name"]).select(
         *inner, F.col("name").alias("left_name"), F.col("name").alias("right_name"), F.lit(1.0).alias("score"))
     open_names = stage(a.join(names, [*inner, "name"], "left_anti").select(*a.columns), "match-open")
@@ -207,6 +229,6 @@ def best_matches(left: DataFrame, right: DataFrame, keys: Sequence[str], cutoff:
         scored = stage(pairs.withColumn("score", score), "match-scores").where(F.col("score") > level)
         found.append(stage(best_row(scored, [*inner, "left_name"], [F.desc("score"), F.asc("right_name")]), "match-best"))
         settled = found[-1].select(*inner, F.col("left_name").alias("name"))
-        open_names = stage(open_names.join(settled, [*inner, "name"], "left_anti").select(*a.columns), "match-open")
+        open_names = stage(open_names.join(shuffled(settled), [*inner, "name"], "left_anti").select(*a.columns), "match-open")
     best = reduce(DataFrame.unionByName, found)
     return best.select(*[F.col(i).alias(k) for k, i in zip(keys, inner, strict=True)], "left_name", "right_name", "score")

@@ -8,6 +8,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a few short columns that one broadcast may hold.
+FEW_ROWS = 500_000
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -39,9 +43,24 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     The plan above it starts from files, so a lost executor re-reads them
-    instead of re-running the job, and the optimizer knows the true size.
+    instead of re-running the job. The optimizer takes the files' size for
+    that of the rows; see ``shuffled`` for rows that files hold in much less.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join that sends none of its sides to the driver.
+
+    Files hold repeated texts in a small part of the memory that their rows take,
+    so by the size of its files a staged table is broadcast that no driver can hold.
+    """
+    return df.hint("merge")
+
+
+def counted(df: DataFrame) -> DataFrame:
+    """A staged table of a few short columns for a join: broadcast if it has few rows, else ``shuffled``."""
+    return F.broadcast(df) if df.count() <= FEW_ROWS else shuffled(df)

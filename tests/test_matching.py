@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,3 +141,31 @@ def test_letter_pairs_of_a_text_that_is_worked_out(spark):
     df = spark.createDataFrame([("b aab",), ("",), (None,)], "name string").select(matching.letter_pairs(text, (" ", " ")).alias("p"))
     assert [r["p"] for r in df.collect()][:2] == [[" a1", "aa1", "ab1", "b 1", " b1", "b 2"], ["  1"]]
     assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_letters_are_a_multiset_without_blanks(spark):
+    texts = ["aba a", " \t ", "", "é😀é😀", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, name string").select("i", matching.letters_of(F.col("name")).alias("x"))
+    found = {r["i"]: r["x"] for r in df.collect()}
+    assert [found[i] for i in range(3)] == [[(97 << 32) + 1, (98 << 32) + 1, (97 << 32) + 2, (97 << 32) + 3], [], []]
+    assert len(set(found[3])) == 4 and {x >> 32 for x in found[3]} == {ord("é"), ord("😀")}
+
+
+def test_names_that_share_too_few_letters_are_not_scored(spark):
+    left = [f"{w.upper()} FC DISTRICT {i % 13} SQUAD {i} " for i, w in enumerate(["Valley", "Harbor", "Summit"] * 5)]
+    right = [f"{w} FC District {i % 13} Squad {i}" for i, w in enumerate(["Valley", "Harbor", "Summit"] * 5)]
+    a, b = (spark.createDataFrame([(n, "AZ", "U10") for n in rows], "team_name string, state string, age_group string") for rows in (left, right))
+    assert not any(plain_score(x, y) > 0.7 for x in left for y in right)
+    assert matching.candidate_pairs(*[matching._entries(df, KEYS, "team_name") for df in (a, b)], KEYS, 0.7).count() == 0
+
+
+def test_staged_names_are_not_broadcast_by_the_size_of_their_files(spark, monkeypatch):
+    """Their letter pairs take some fifty times the room of the files."""
+    name = F.concat_ws(" ", F.lit("FC District"), (F.col("id") % 13).cast("string"), F.lit("Squad"), F.col("id").cast("string"))
+    df = spark.range(400).select(name.alias("team_name"), F.lit("AZ").alias("state"), F.lit("U10").alias("age_group"))
+    plans, stage = {}, matching.stage
+    monkeypatch.setattr(matching, "stage", lambda df, name="stage": plans.setdefault(name, []).append(
+        df._jdf.queryExecution().executedPlan().toString()) or stage(df, name))
+    matching.best_matches(df.withColumn("team_name", F.concat("team_name", F.lit(" Gold"))), df, KEYS).count()
+    sent = [re.findall(r"BroadcastExchange.*?FileScan parquet \[([^\]]*)", p, re.DOTALL) for k in ("match-pairs", "match-open") for p in plans[k]]
+    assert len(sent) > 3 and not any("name#" in columns for found in sent for columns in found if "plain#" in columns or "size#" not in columns)
